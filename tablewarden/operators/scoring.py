@@ -90,7 +90,7 @@ def run_status(results: DataFrame, by: str = "run_id") -> DataFrame:
 
 def failed_rules(results: DataFrame, catalog: DataFrame) -> DataFrame:
     """Rules with violations and their definition, worst first."""
-    wanted = catalog.select("rule_id", "expr", "data_domain")
+    wanted = catalog.select("rule_id", "expr", "description")
     return (
         results.where("violation_count > 0")
         .join(wanted, "rule_id")

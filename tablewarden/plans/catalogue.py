@@ -1,4 +1,12 @@
 """Loads every binding module, so that the registry is complete."""
 
-from tablewarden.plans import profiles, recon, rules  # noqa: F401
+from tablewarden.plans import (  # noqa: F401
+    cleaning,
+    governing,
+    profiles,
+    quarantines,
+    recon,
+    reporting,
+    rules,
+)
 from tablewarden.plans.registry import QUERIES  # noqa: F401

@@ -62,6 +62,17 @@ def column_catalog(spark: SparkSession, tables: Mapping[str, DataFrame], schema:
     )
 
 
+def populated_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows with a value per table and column, one scan per table."""
+    result = None
+    for name, df in tables.items():
+        wide = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
+        rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("populated_rows")) for c in df.columns])
+        one = wide.select(F.lit(name).alias("table_name"), F.inline(rows))
+        result = one if result is None else result.unionByName(one)
+    return result
+
+
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row counts of many tables as one result."""
     frames = [df.agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
