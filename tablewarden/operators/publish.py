@@ -12,25 +12,30 @@ from tablewarden.functions.timing import moment
 KEY_RANGES = 3  # hexadecimal digits, so 4,096 ranges
 
 
-def number_rows(df: DataFrame, key: Column, alias: str, start: "int | Column" = 0, digits: int = KEY_RANGES) -> DataFrame:
+def number_rows(
+    df: DataFrame, key: Column, alias: str, *, where: Column | None = None, start: "int | Column" = 0,
+    digits: int = KEY_RANGES,
+) -> DataFrame:
     """Consecutive numbers from ``start + 1`` for rows with distinct, non-null text keys.
 
     Rows are spread over ranges of the key's MD5; a row's number is the size of the earlier ranges
     plus its rank in its own range. Only the table of range sizes (16**digits rows) is broadcast.
+    With ``where``, only the rows it selects are numbered and the others get NULL.
     """
-    spread = df.withColumn("_key", key.cast("string")).withColumn(
+    wanted = F.coalesce(where, F.lit(False)) if where is not None else F.lit(True)
+    spread = df.withColumns({"_key": key.cast("string"), "_wanted": wanted}).withColumn(
         "_range", F.substring(F.md5(F.col("_key")), 1, digits)
     )
-    sizes = spread.groupBy("_range").agg(F.count("*").alias("_size"))
+    sizes = spread.groupBy("_range").agg(F.count_if("_wanted").alias("_size"))
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
-    rank = F.row_number().over(Window.partitionBy("_range").orderBy("_key"))
+    rank = F.row_number().over(Window.partitionBy("_range", "_wanted").orderBy("_key"))
     base = start if isinstance(start, Column) else F.lit(start).cast("bigint")
     return (
         spread.withColumn("_rank", rank)
         .join(F.broadcast(starts), "_range")
-        .withColumn(alias, base + F.col("_start") + F.col("_rank"))
-        .drop("_key", "_range", "_rank", "_start")
+        .withColumn(alias, F.when(F.col("_wanted"), base + F.col("_start") + F.col("_rank")))
+        .drop("_key", "_wanted", "_range", "_rank", "_start")
     )
 
 
@@ -115,15 +120,10 @@ def scd2_merge(
     versions = joined.select(
         F.explode(F.array_compact(F.array(F.when(known, old), F.when(changed | ~known, new)))).alias("v")
     ).select("v.*")
-    kept = versions.where(F.col(surrogate).isNotNull())
-    added = versions.where(F.col(surrogate).isNull()).drop(surrogate)
     last = dim.agg(F.coalesce(F.max(surrogate), F.lit(0).cast("bigint"))).scalar()
-    numbered = number_rows(added, F.col(key), "_number").withColumn(surrogate, F.col("_number") + last)
-    return (
-        dim.where("NOT is_current")
-        .unionByName(kept)
-        .unionByName(numbered.select(*dim.columns))
-    )
+    numbered = number_rows(versions, F.col(key), "_number", where=F.col(surrogate).isNull())
+    current = numbered.withColumn(surrogate, F.coalesce(F.col(surrogate), F.col("_number") + last))
+    return dim.where("NOT is_current").unionByName(current.select(*dim.columns))
 
 
 def publish_fact(

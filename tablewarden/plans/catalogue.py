@@ -8,5 +8,6 @@ from tablewarden.plans import (  # noqa: F401
     recon,
     reporting,
     rules,
+    streams,
 )
 from tablewarden.plans.registry import QUERIES  # noqa: F401

@@ -12,7 +12,7 @@ from tablewarden.operators.rules import Rule, not_in_set, not_positive
 from tablewarden.plans import inputs
 from tablewarden.plans.registry import Loader, chosen_sql, day_sql, draw_sql, query, stamp_sql
 from tablewarden.plans.rules import row_rule
-from tablewarden.sources import readers
+from tablewarden.sources import readers, writers
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
@@ -301,18 +301,19 @@ def defect_recall(load):
 
 # --- duplicates ------------------------------------------------------------------------------------
 LINE_COLUMNS = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"
+LINE_SQL = LINE_COLUMNS.replace("l_linenumber", "l_linenumber::BIGINT AS l_linenumber")
 LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey"]
 RANKED = """ranked AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate, l_partkey,
   l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) AS nth FROM lineitem)"""
 
 
-@query("dedup_keep_first", f"WITH {RANKED} SELECT {LINE_COLUMNS} FROM ranked WHERE nth = 1")
+@query("dedup_keep_first", f"WITH {RANKED} SELECT {LINE_SQL} FROM ranked WHERE nth = 1")
 def dedup_keep_first(load):
     kept = dedup.keep_first(load("lineitem"), ["l_orderkey", "l_linenumber"], LINE_ORDER)
     return kept.select(*LINE_COLUMNS.split(", "))
 
 
-@query("dedup_surplus", f"WITH {RANKED} SELECT {LINE_COLUMNS} FROM ranked WHERE nth > 1")
+@query("dedup_surplus", f"WITH {RANKED} SELECT {LINE_SQL} FROM ranked WHERE nth > 1")
 def dedup_surplus(load):
     extra = dedup.surplus_rows(load("lineitem"), ["l_orderkey", "l_linenumber"], LINE_ORDER)
     return extra.select(*LINE_COLUMNS.split(", "))
@@ -411,13 +412,14 @@ def publish_dim(load):
 
 
 def versioned(load: Loader):
-    """The dimension as first published, all versions open."""
-    return dimension(load).select(
+    """The dimension as first published, all versions open, written and read back as a load would find it."""
+    dim = dimension(load).select(
         "customer_sk", "customer_bk", "name", "email", "country",
         F.lit(LOADED).cast("timestamp_ntz").alias("effective_from"),
         F.lit(None).cast("timestamp_ntz").alias("effective_to"),
         F.lit(True).alias("is_current"),
     )
+    return writers.stored(dim, "dim_customer")
 
 
 def incoming(load: Loader):
@@ -485,7 +487,7 @@ FACT = f"""{DIM}, {inputs.DIRTY_SALES}, sales AS (SELECT * EXCLUDE (nth) FROM (S
 
 def facts(load: Loader):
     sales = dedup.keep_first(inputs.dirty_sales(load), ["order_id"], ["order_date"])
-    dim = dimension(load).withColumn("is_current", F.lit(True))
+    dim = versioned(load)
     return publish.publish_fact(
         sales, dim, dim_key="customer_bk", dim_surrogate="customer_sk", reference="customer_id"
     )

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewarden.session import new_path
 
 def write_evidence(df: DataFrame, path: str, *, run_date: str, run_id: str) -> None:
     """Add the rows of one run. Writing the run again replaces its partition, nothing else."""
@@ -45,3 +46,11 @@ def export_reports(
         writer.option("header", True).csv(path) if fmt == "csv" else writer.format(fmt).save(path)
         paths.append(path)
     return paths
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a result once to the shared folder and read it back, for plans that use it several times."""
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
