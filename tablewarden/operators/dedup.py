@@ -31,9 +31,10 @@ def keep_first(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
 def surplus_rows(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """Every row but the first of its key, exact copies included.
 
-    Identical rows are counted per input partition first, so neither a hot key nor a third of the
-    table being one and the same row lands in one task. The kept row of each key is then found
-    by an aggregate and taken out with a join on the whole row, whose values are well spread.
+    Only rows of repeated keys go on; with few of them Spark broadcasts the keys and the table is
+    not shuffled at all. Identical rows are counted per input partition, so neither a hot key nor
+    a third of the table being one and the same row lands in one task. The kept row of each key is
+    found by an aggregate and taken out with a join on the whole row, whose values are well spread.
     NULL keys are no duplicates of each other.
     """
     columns = df.columns
@@ -42,7 +43,8 @@ def surplus_rows(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     for column in key:
         has_key = has_key & F.col(column).isNotNull()
     whole = F.struct(*key, *order, *rest)
-    keyed = df.where(has_key)
+    repeated = df.where(has_key).groupBy(*key).agg(F.count("*").alias("_n")).where("_n > 1").select(*key)
+    keyed = df.join(repeated, key, "left_semi").select(*columns)
     copies = (
         keyed.withColumn("_part", F.spark_partition_id())
         .groupBy(*columns, "_part")

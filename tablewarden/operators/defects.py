@@ -148,10 +148,11 @@ def inject_duplicates(
     """Append exact copies of the drawn rows; the smallest draw is always copied, so there is at least one."""
     if rate <= 0:
         return df
-    marked = df.withColumn("_draw", draw(key, op, seed))
     smallest = df.agg(F.min(draw(key, op, seed))).scalar()
-    copies = marked.where((F.col("_draw") < F.lit(threshold(rate))) | (F.col("_draw") == smallest))
-    return df.unionByName(copies.drop("_draw"))
+    drawn = draw(key, op, seed)
+    copied = (drawn < F.lit(threshold(rate))) | (drawn == smallest)
+    copies = F.when(copied, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return df.select("*", F.explode(copies).alias("_copy")).drop("_copy")
 
 
 # --- table plans -------------------------------------------------------------------

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewarden.functions.timing import moment
-from tablewarden.operators.rules import Rule, Tables
+from tablewarden.operators.rules import Rule, Tables, literal
 from tablewarden.schemas import PCT
 
 WARN_BAND = 5  # fixed value: percentage points below the minimum that only warn
@@ -29,22 +29,27 @@ def grade(rate: Column, minimum: Column) -> Column:
     )
 
 
-def _described(rule: Rule, total: Column, violations: Column, error: str | None = None) -> Column:
-    """One result row as a struct: literals of the rule plus its two counts."""
-    return F.struct(
-        F.lit(rule.rule_id).alias("rule_id"),
-        F.lit(rule.name).alias("rule_name"),
-        F.lit(rule.schema).alias("schema_name"),
-        F.lit(rule.table).alias("table_name"),
-        F.lit(rule.column).cast("string").alias("column_name"),
-        F.lit(rule.dimension).alias("dimension"),
-        F.lit(rule.severity).alias("severity"),
-        F.lit(rule.domain).alias("data_domain"),
-        F.lit(rule.min_pass_pct).cast(PCT).alias("min_pass_pct"),
-        total.cast("bigint").alias("total_rows"),
-        violations.cast("bigint").alias("violation_count"),
-        F.lit(error).cast("string").alias("error_msg"),
-    )
+def _described(rule: Rule, total: str, violations: str, error: str | None = None) -> str:
+    """One result row as a struct expression: literals of the rule plus its two counts."""
+    fields = {
+        "rule_id": literal(rule.rule_id),
+        "rule_name": literal(rule.name),
+        "schema_name": literal(rule.schema),
+        "table_name": literal(rule.table),
+        "column_name": "CAST(NULL AS string)" if rule.column is None else literal(rule.column),
+        "dimension": literal(rule.dimension),
+        "severity": literal(rule.severity),
+        "data_domain": literal(rule.domain),
+        "min_pass_pct": f"CAST({float(rule.min_pass_pct)!r} AS {PCT.simpleString()})",
+        "total_rows": f"CAST({total} AS bigint)",
+        "violation_count": f"CAST({violations} AS bigint)",
+        "error_msg": "CAST(NULL AS string)" if error is None else literal(error),
+    }
+    return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in fields.items()) + ")"
+
+
+def _rows(described: Iterable[str]) -> Column:
+    return F.expr(f"inline(array({', '.join(described)}))")
 
 
 def graded(counts: DataFrame, *, run_id: str, as_of) -> DataFrame:
@@ -69,22 +74,30 @@ def analysis_error(df: DataFrame, rule: Rule) -> str | None:
     return None if kind in ("boolean", "void") else f"NOT_BOOLEAN: {kind}"
 
 
+def analysed(df: DataFrame, rules: list[Rule]) -> list[tuple[Rule, str | None]]:
+    """Each rule with its analysis error; the rules are looked at one by one only if they fail together."""
+    try:
+        together = df.select(*[r.bad.alias(f"bad_{i}") for i, r in enumerate(rules)]).schema
+    except (AnalysisException, ParseException):
+        return [(rule, analysis_error(df, rule)) for rule in rules]
+    if all(f.dataType.typeName() in ("boolean", "void") for f in together.fields):
+        return [(rule, None) for rule in rules]
+    return [(rule, analysis_error(df, rule)) for rule in rules]
+
+
 # --- counting --------------------------------------------------------------------
 def row_rule_counts(df: DataFrame, rules: Iterable[Rule], slice_by: list[Column] | None = None) -> DataFrame:
     """Total and violations of every row rule, from one aggregate over one scan."""
-    checks = [(rule, analysis_error(df, rule)) for rule in rules]
+    checks = analysed(df, list(rules))
     sums = [F.count("*").alias("total")]
     sums += [F.count_if(rule.bad).alias(f"bad_{i}") for i, (rule, error) in enumerate(checks) if not error]
     grouped = df.groupBy(*slice_by) if slice_by else df.groupBy()
     wide = grouped.agg(*sums)
-    rows = F.array(
-        *[
-            _described(rule, F.col("total"), F.lit(0) if error else F.col(f"bad_{i}"), error)
-            for i, (rule, error) in enumerate(checks)
-        ]
+    rows = _rows(
+        _described(rule, "total", "0" if error else f"bad_{i}", error) for i, (rule, error) in enumerate(checks)
     )
     slices = [c for c in wide.columns if c != "total" and not c.startswith("bad_")]
-    return wide.select(*slices, F.inline(rows))
+    return wide.select(*slices, rows)
 
 
 def unique_rule_counts(df: DataFrame, rule: Rule) -> DataFrame:
@@ -96,7 +109,7 @@ def unique_rule_counts(df: DataFrame, rule: Rule) -> DataFrame:
     return per_key.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("total"),
         F.coalesce(F.sum(F.when(has_key, F.col("copies") - 1)), F.lit(0)).alias("bad"),
-    ).select(F.inline(F.array(_described(rule, F.col("total"), F.col("bad")))))
+    ).select(_rows([_described(rule, "total", "bad")]))
 
 
 def reference_rule_counts(df: DataFrame, rule: Rule, parent: DataFrame) -> DataFrame:
@@ -111,7 +124,7 @@ def reference_rule_counts(df: DataFrame, rule: Rule, parent: DataFrame) -> DataF
     return joined.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("total"),
         F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("copies"))), F.lit(0)).alias("bad"),
-    ).select(F.inline(F.array(_described(rule, F.col("total"), F.col("bad")))))
+    ).select(_rows([_described(rule, "total", "bad")]))
 
 
 def selector_rule_counts(rule: Rule, tables: Tables) -> DataFrame:
@@ -123,9 +136,7 @@ def selector_rule_counts(rule: Rule, tables: Tables) -> DataFrame:
             rule.selector(tables).agg(F.lit(0).cast("bigint").alias("total"), F.count("*").alias("bad"))
         )
     )
-    return both.agg(F.sum("total").alias("total"), F.sum("bad").alias("bad")).select(
-        F.inline(F.array(_described(rule, F.col("total"), F.col("bad"))))
-    )
+    return both.agg(F.sum("total").alias("total"), F.sum("bad").alias("bad")).select(_rows([_described(rule, "total", "bad")]))
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -181,8 +192,8 @@ def run_isolated(spark: SparkSession, df: DataFrame, rules: list[Rule], *, run_i
     shape = row_rule_counts(df, rules[:1]).schema
     frames = [spark.createDataFrame(rows, shape)]
     for rule, error in failures:
-        described = _described(rule, F.col("total"), F.lit(0), error)
-        frames.append(df.agg(F.count("*").alias("total")).select(F.inline(F.array(described))))
+        described = _described(rule, "total", "0", error)
+        frames.append(df.agg(F.count("*").alias("total")).select(_rows([described])))
     return graded(_union(frames), run_id=run_id, as_of=as_of)
 
 

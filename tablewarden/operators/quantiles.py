@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -11,9 +11,9 @@ def exact_percentiles(
 ) -> DataFrame:
     """Interpolated percentiles per group, as columns named by ``probs``.
 
-    Equal values are counted first. Approximate quantiles cut each group into ``buckets`` ranges;
-    ranks inside a range follow from the rows counted in the ranges before it, so one task sorts
-    at most about 1/buckets of a group, and the result is exact whatever the cut points are.
+    Equal values are counted first. Approximate quantiles cut each group into ``buckets`` ranges
+    (a power of two), and the rows counted per range tell which ranges hold the wanted ranks. Only
+    those are sorted, about 1/buckets of a group each, so the result is exact whatever the cuts are.
     """
     by = by or []
     keyed = df.where(F.col(value).isNotNull()).withColumn("_v", F.col(value).cast("double"))
@@ -25,34 +25,50 @@ def exact_percentiles(
     cuts = keyed.groupBy(*by).agg(
         F.percentile_approx("_v", shares, 10000).alias("_cuts"), F.count("*").alias("_total")
     )
-    # number of cut points below the value; constant in a range of values
-    placed = counts.join(cuts, by).withColumn(
-        "_bucket", F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))
-    )
-    sizes = placed.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_size"))
+    placed = counts.join(cuts, by).withColumn("_bucket", _cuts_below(buckets)).drop("_cuts")
+    sizes = placed.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_size"), F.max("_total").alias("_all_rows"))
     earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*by, "_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
+    starts = sizes.withColumn("_start", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+
+    def ranks(total: str) -> list[tuple[str, Column]]:
+        found = []
+        for label, prob in probs.items():
+            position = F.lit(float(prob)) * (F.col(total) - 1)
+            found += [(f"_{label}_lo", F.floor(position)), (f"_{label}_hi", F.ceil(position))]
+        return found
+
+    wanted = F.lit(False)
+    for _, rank in ranks("_all_rows"):
+        wanted = wanted | ((F.col("_start") <= rank) & (rank < F.col("_start") + F.col("_size")))
+    needed = placed.join(starts.where(wanted).select(*by, "_bucket", "_start"), [*by, "_bucket"])
 
     inside = Window.partitionBy(*by, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        placed.join(starts, [*by, "_bucket"])
-        .withColumn("_last", F.col("_start") + F.sum("_n").over(inside) - 1)
-        .withColumn("_first", F.col("_last") - F.col("_n") + 1)
+    ranked = needed.withColumn("_last", F.col("_start") + F.sum("_n").over(inside) - 1).withColumn(
+        "_first", F.col("_last") - F.col("_n") + 1
     )
-
-    picks = []
+    wide = ranked.groupBy(*by).agg(
+        F.max("_total").alias("_total"),
+        *[
+            F.max(F.when((F.col("_first") <= rank) & (rank <= F.col("_last")), F.col("_v"))).alias(name)
+            for name, rank in ranks("_total")
+        ],
+    )
+    columns = []
     for label, prob in probs.items():
         position = F.lit(float(prob)) * (F.col("_total") - 1)
-        for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
-            hit = (F.col("_first") <= rank) & (rank <= F.col("_last"))
-            picks.append(F.max(F.when(hit, F.col("_v"))).alias(f"_{label}_{side}"))
-        picks.append(F.max(position - F.floor(position)).alias(f"_{label}_part"))
-    wide = ranked.groupBy(*by).agg(*picks)
-    columns = [
-        (
-            F.col(f"_{label}_lo") * (1 - F.col(f"_{label}_part"))
-            + F.col(f"_{label}_hi") * F.col(f"_{label}_part")
-        ).alias(label)
-        for label in probs
-    ]
+        part = position - F.floor(position)
+        columns.append((F.col(f"_{label}_lo") * (1 - part) + F.col(f"_{label}_hi") * part).alias(label))
     return wide.select(*[c for c in by if c != "_all"], *columns)
+
+
+def _cuts_below(buckets: int) -> Column:
+    """How many of the sorted cut points lie below the value, by halving steps."""
+    steps, step = [], buckets // 2
+    while step:
+        steps.append(F.lit(step))
+        step //= 2
+    return F.aggregate(
+        F.array(*steps),
+        F.lit(0),
+        lambda at, step: F.when(F.get(F.col("_cuts"), at + step - 1) < F.col("_v"), at + step).otherwise(at),
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewarden.functions import standardize
@@ -422,15 +423,15 @@ def versioned(load: Loader):
     return writers.stored(dim, "dim_customer")
 
 
-def incoming(load: Loader):
+def incoming(dim: DataFrame):
     """A later snapshot: some customers gone, some with a new address, some unknown so far."""
     key = F.col("customer_bk")
-    rows = conformed_customers(load).select("customer_bk", "name", "email", "country")
+    rows = dim.select("customer_bk", "name", "email", "country")
     kept = rows.where(~chosen(key, "left", 0.1)).withColumn(
         "email", F.when(chosen(key, "moved", 0.2), F.concat(F.lit("new."), "email")).otherwise(F.col("email"))
     )
     new = rows.where(chosen(key, "joined", 0.05)).withColumn("customer_bk", F.concat(F.lit("NEW"), key))
-    return kept.unionByName(new)
+    return writers.stored(kept.unionByName(new), "incoming_customers")
 
 
 SCD_AS_OF = "2003-01-01 00:00:00"
@@ -451,26 +452,27 @@ SCD = f"""{DIM}, incoming AS (
       customer_bk, name, email, country, '{SCD_AS_OF}', NULL, true FROM compared WHERE changed OR NOT known)"""
 
 
-@query("scd2_merge", f"WITH {SCD} SELECT * FROM versions")
-def scd2_merge(load):
+def merged_customers(load: Loader):
+    dim = versioned(load)
     return publish.scd2_merge(
-        versioned(load), incoming(load), key="customer_bk", surrogate="customer_sk",
+        dim, incoming(dim), key="customer_bk", surrogate="customer_sk",
         attributes=["name", "email", "country"], as_of=SCD_AS_OF,
     )
 
 
+@query("scd2_merge", f"WITH {SCD} SELECT * FROM versions")
+def scd2_merge(load):
+    return merged_customers(load)
+
+
 @query(
     "rule_history",
     f"""WITH {SCD} SELECT customer_bk, count(*) AS versions, count(*) FILTER (WHERE is_current) AS open_versions,
       max(effective_from) AS latest_from FROM versions GROUP BY customer_bk HAVING count(*) > 1""",
 )
 def rule_history(load):
-    merged = publish.scd2_merge(
-        versioned(load), incoming(load), key="customer_bk", surrogate="customer_sk",
-        attributes=["name", "email", "country"], as_of=SCD_AS_OF,
-    )
     return (
-        merged.groupBy("customer_bk")
+        merged_customers(load).groupBy("customer_bk")
         .agg(
             F.count("*").alias("versions"),
             F.count_if("is_current").alias("open_versions"),

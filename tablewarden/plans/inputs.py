@@ -18,7 +18,7 @@ def money(column: str) -> Column:
 def staged_customers(load: Loader) -> DataFrame:
     key = F.col("c_custkey")
     nation = load("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return load("customer").join(F.broadcast(nation), "c_nationkey").select(
+    return load("customer").join(nation, "c_nationkey").select(
         F.concat(F.lit("CUST"), key).alias("customer_id"),
         F.col("c_name").alias("name"),
         F.col("c_mktsegment").alias("segment"),

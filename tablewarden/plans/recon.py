@@ -67,12 +67,13 @@ def jobs_sql(kinds: list[str] | None = None) -> str:
     """CTE ``recon`` with one row per active job of the wanted types."""
     rows = " UNION ALL ".join(
         f"SELECT {c.job_id}::BIGINT AS job_id, '{c.job_name}' AS job_name, '{c.check_type}' AS check_type, "
-        f"({s})::DOUBLE AS source_value, ({t})::DOUBLE AS target_value, {c.tolerance_pct}::DOUBLE AS tolerance_pct"
+        f"({s})::DECIMAL(38,6) AS s, ({t})::DECIMAL(38,6) AS t, {c.tolerance_pct}::DOUBLE AS tolerance_pct"
         for c, s, t in JOBS
         if c.active and (kinds is None or c.check_type in kinds)
     )
-    return f"""{inputs.RECON}, pairs AS ({rows}), recon AS (
-      SELECT *, target_value - source_value AS diff, {diff_pct_sql('source_value', 'target_value')} AS diff_pct,
+    return f"""{inputs.RECON}, exact AS ({rows}), pairs AS (
+      SELECT * EXCLUDE (s, t), s::DOUBLE AS source_value, t::DOUBLE AS target_value, (t - s)::DOUBLE AS diff FROM exact),
+    recon AS (SELECT *, {diff_pct_sql('source_value', 'target_value')} AS diff_pct,
         {status_sql('source_value', 'target_value', 'tolerance_pct')} AS status FROM pairs)"""
 
 

@@ -79,9 +79,12 @@ def slow_windows(
     return _bounds(measured.where(F.col("p95") > limit))
 
 
-def sessions(df: DataFrame, stamp: str, *, late: str, by: list[str] | None = None, silence: str = SILENCE):
-    """Runs of events without a silence; in append mode a session that ends is a missing heartbeat."""
-    grouped = df.withWatermark(stamp, late).groupBy(F.session_window(stamp, silence).alias("w"), *(by or []))
+def sessions(df: DataFrame, stamp: str, *, late: str, by: list[str], silence: str = SILENCE) -> DataFrame:
+    """Runs of events without a silence; in append mode a session that ends is a missing heartbeat.
+
+    Streaming sessions need at least one key, such as the pipeline name.
+    """
+    grouped = df.withWatermark(stamp, late).groupBy(F.session_window(stamp, silence).alias("w"), *by)
     return grouped.agg(
         F.min(stamp).alias("first_event"), F.max(stamp).alias("last_event"), F.count("*").alias("row_count")
     ).drop("w")
