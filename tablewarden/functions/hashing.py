@@ -25,6 +25,18 @@ def chosen(key: Column, op: str, prob: float, seed: int = 42) -> Column:
     return draw(key, op, seed) < F.lit(threshold(prob))
 
 
+LONG_TEXT = 128  # characters; longer texts are compared by their SHA-256
+
+
+def compact(value: Column) -> Column:
+    """The text itself, or for a long one its start and the digest of all of it.
+
+    Equal exactly when the texts are, and in the order of the texts unless their starts agree.
+    """
+    short = F.concat(F.substring(value, 1, LONG_TEXT), F.lit(" sha256:"), F.sha2(value, 256))
+    return F.when(F.length(value) > LONG_TEXT, short).otherwise(value)
+
+
 def row_text(columns: list[Column], null_mark: str = "~") -> Column:
     """Rows as one text; NULL and the empty string stay different."""
     return F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit(null_mark)) for c in columns])

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewarden.functions.hashing import compact
 from tablewarden.functions.timing import moment
 from tablewarden.operators.rules import Rule, Tables, literal
 from tablewarden.schemas import PCT
@@ -105,7 +106,11 @@ def unique_rule_counts(df: DataFrame, rule: Rule) -> DataFrame:
     has_key = F.lit(True)
     for column in rule.key:
         has_key = has_key & F.col(column).isNotNull()
-    per_key = df.groupBy(*rule.key).agg(F.count("*").alias("copies"))
+    # long texts are shuffled as digests
+    keys = [
+        compact(F.col(c)).alias(c) if df.schema[c].dataType.typeName() == "string" else F.col(c) for c in rule.key
+    ]
+    per_key = df.select(*keys).groupBy(*rule.key).agg(F.count("*").alias("copies"))
     return per_key.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("total"),
         F.coalesce(F.sum(F.when(has_key, F.col("copies") - 1)), F.lit(0)).alias("bad"),

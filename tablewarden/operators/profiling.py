@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewarden.functions.hashing import LONG_TEXT, compact
 from tablewarden.functions.text import SEMANTIC_PATTERNS, semantic_label
 from tablewarden.operators.dedup import top_per_key
 
@@ -16,11 +17,28 @@ MIN_SHARE_TENTHS = 6  # fixed value: six tenths of the values decide a semantic
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column_name, value, n) for all columns; copies of a value are summed before the shuffle."""
-    cells = F.array(
-        *[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]
+    """(column_name, value, n) for all columns; copies of a value are summed before the shuffle.
+
+    A long text is represented by its digest, so documents are not shuffled; its semantic label is
+    taken from the text itself.
+    """
+
+    def cell(column: str) -> Column:
+        text = F.col(column).cast("string")
+        # only text-like columns can hold long values
+        is_text = df.schema[column].dataType.typeName() in ("string", "array", "struct", "binary")
+        long_label = F.when(F.length(text) > LONG_TEXT, F.coalesce(semantic_label(text), F.lit("text")))
+        return F.struct(
+            F.lit(column).alias("column_name"),
+            (compact(text) if is_text else text).alias("value"),
+            (long_label if is_text else F.lit(None).cast("string")).alias("long_label"),
+        )
+
+    return (
+        df.select(F.inline(F.array(*[cell(c) for c in columns])))
+        .groupBy("column_name", "value", "long_label")
+        .agg(F.count("*").alias("n"))
     )
-    return df.select(F.inline(cells)).groupBy("column_name", "value").agg(F.count("*").alias("n"))
 
 
 def _percent(part: Column, whole: Column) -> Column:
@@ -28,39 +46,64 @@ def _percent(part: Column, whole: Column) -> Column:
     return F.coalesce(F.round(ratio, 2), F.lit(0)).cast("double")
 
 
-def semantic_type_votes(counts: DataFrame) -> DataFrame:
-    """Inferred type per column: every distinct value votes with its number of rows."""
-    labelled = counts.where(F.col("value").isNotNull()).withColumn("label", semantic_label(F.col("value")))
-    votes = labelled.groupBy("column_name").agg(
-        F.sum("n").alias("voters"),
-        *[F.sum(F.when(F.col("label") == t, F.col("n")).otherwise(0)).alias(t) for t in SEMANTIC_PATTERNS],
+def column_stats(counts: DataFrame) -> DataFrame:
+    """Rows, NULLs, distinct values and inferred type per column, from the value counts.
+
+    Every distinct value votes with its number of rows; the first pattern that fits is its vote.
+    """
+    label = F.when(F.col("value").isNotNull(), F.coalesce("long_label", semantic_label(F.col("value"))))
+    stats = (
+        counts.withColumn("label", label)
+        .groupBy("column_name")
+        .agg(
+            F.sum("n").alias("row_count"),
+            F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("null_count"),
+            F.count("value").alias("distinct_count"),
+            *[F.sum(F.when(F.col("label") == t, F.col("n")).otherwise(0)).alias(t) for t in SEMANTIC_PATTERNS],
+        )
     )
+    voters = F.col("row_count") - F.col("null_count")
     winner = F.lit("text")
     for semantic in reversed(list(SEMANTIC_PATTERNS)):
-        winner = F.when(F.col(semantic) * 10 >= F.col("voters") * MIN_SHARE_TENTHS, semantic).otherwise(winner)
-    return votes.withColumn("inferred_type", winner)
-
-
-def count_stats(counts: DataFrame) -> DataFrame:
-    """Rows, NULLs and distinct values per column, from the value counts."""
-    stats = counts.groupBy("column_name").agg(
-        F.sum("n").alias("row_count"),
-        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("null_count"),
-        F.count("value").alias("distinct_count"),
-    )
-    return stats.withColumn("null_pct", _percent(F.col("null_count"), F.col("row_count"))).withColumn(
-        "distinct_pct", _percent(F.col("distinct_count"), F.col("row_count"))
+        winner = F.when(F.col(semantic) * 10 >= voters * MIN_SHARE_TENTHS, semantic).otherwise(winner)
+    return stats.select(
+        "column_name",
+        "row_count",
+        "null_count",
+        _percent(F.col("null_count"), F.col("row_count")).alias("null_pct"),
+        "distinct_count",
+        _percent(F.col("distinct_count"), F.col("row_count")).alias("distinct_pct"),
+        F.when(voters == 0, F.lit("unknown")).otherwise(winner).alias("inferred_type"),
     )
 
 
-def top_values(counts: DataFrame, n: int = TOP_N) -> DataFrame:
-    """The most frequent values per column as ``v:c|v:c``; ties in value order."""
+def top_values(df: DataFrame, columns: list[str], counts: DataFrame, n: int = TOP_N) -> DataFrame:
+    """The most frequent values per column as ``v:c|v:c``; ties in value order, long ones by start and digest.
+
+    Digests of long texts that made it to the top are swapped back for their texts, which takes a
+    second look at the text columns for at most ``n`` values each.
+    """
     best = top_per_key(
         counts.where(F.col("value").isNotNull()), ["column_name"], [F.desc("n"), F.asc("value")], n
     )
-    entry = F.struct((-F.col("n")).alias("rank"), F.col("value"), F.col("n"))
+    texts = [c for c in columns if df.schema[c].dataType.typeName() in ("string", "array", "struct", "binary")]
+    if texts:
+        cells = F.array(
+            *[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("full_text")) for c in texts]
+        )
+        long_texts = (
+            df.select(F.inline(cells))
+            .where(F.length("full_text") > LONG_TEXT)
+            .withColumn("value", compact(F.col("full_text")))
+        )
+        wanted = best.where("long_label IS NOT NULL").select("column_name", "value")
+        found = long_texts.join(wanted, ["column_name", "value"], "left_semi").distinct()
+        best = best.join(found, ["column_name", "value"], "left")
+    else:
+        best = best.withColumn("full_text", F.lit(None).cast("string"))
+    entry = F.struct((-F.col("n")).alias("rank"), "value", "n", F.coalesce("full_text", "value").alias("shown"))
     listed = F.transform(
-        F.array_sort(F.collect_list(entry)), lambda e: F.concat(e["value"], F.lit(":"), e["n"].cast("string"))
+        F.array_sort(F.collect_list(entry)), lambda e: F.concat(e["shown"], F.lit(":"), e["n"].cast("string"))
     )  # at most n entries per column
     return best.groupBy("column_name").agg(F.array_join(listed, "|").alias("top_values"))
 
@@ -105,10 +148,11 @@ def profile(
     """Full profile, one row per column. Exact; nothing is sampled."""
     columns = columns or [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
     counts = value_counts(df, columns)
-    parts = value_stats(df, columns).join(count_stats(counts), "column_name", "left")
-    parts = parts.join(
-        semantic_type_votes(counts).select("column_name", "inferred_type"), "column_name", "left"
-    ).join(top_values(counts, top_n), "column_name", "left")
+    parts = (
+        value_stats(df, columns)
+        .join(column_stats(counts), "column_name", "left")
+        .join(top_values(df, columns, counts, top_n), "column_name", "left")
+    )
     return parts.select(
         F.lit(schema).alias("schema_name"),
         F.lit(table).alias("table_name"),

@@ -87,9 +87,12 @@ def rule_rows(tables: Tables, rule: Rule) -> DataFrame:
         order = [c for c in df.columns if c not in rule.key]
         return surplus_rows(df, list(rule.key), order)
     if rule.parent:
+        # missing references are found among the distinct ones; usually few, so Spark broadcasts them
         table, column = rule.parent
         known = tables[table].select(F.col(column).alias("_reference")).distinct()
-        return df.join(known, F.col(rule.column) == F.col("_reference"), "left_anti")
+        used = df.select(F.col(rule.column).alias("_reference")).distinct()
+        missing = used.join(known, "_reference", "left_anti")
+        return df.join(missing, F.col(rule.column).eqNullSafe(F.col("_reference")), "left_semi")
     return rule.selector(tables)
 
 

@@ -2,6 +2,7 @@
 
 from tablewarden.plans import (  # noqa: F401
     cleaning,
+    exchange,
     governing,
     profiles,
     quarantines,

@@ -24,6 +24,7 @@ COLUMNS = {
              "p_retailprice": "double"},
     "dirty_customers": {c: "string" for c in
                         ("customer_id", "name", "segment", "email", "phone", "country", "signup_date")},
+    "documents": {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"},
     "clean_customers": {c: "string" for c in
                         ("customer_id", "name", "segment", "email", "phone", "country", "signup_date")},
 }
@@ -39,6 +40,10 @@ def label_sql(value: str) -> str:
     return f"CASE {cases} END"
 
 
+# order of tied values: long ones by their start and digest
+TIE_SQL = "CASE WHEN length(v) > 128 THEN substr(v, 1, 128) || ' sha256:' || sha256(v) ELSE v END"
+
+
 def column_sql(table: str, column: str, kind: str) -> str:
     """Profile row of one column, statement by statement as a reader would check it."""
     number = kind in NUMBERS
@@ -60,9 +65,9 @@ def column_sql(table: str, column: str, kind: str) -> str:
       count(DISTINCT {column}) AS distinct_count,
       {pct_sql(f'count(DISTINCT {column})', 'count(*)')} AS distinct_pct,
       min({column})::VARCHAR AS min_value, max({column})::VARCHAR AS max_value, {stats},
-      (SELECT string_agg(v || ':' || n, '|' ORDER BY n DESC, v) FROM
+      (SELECT string_agg(v || ':' || n, '|' ORDER BY n DESC, {TIE_SQL}) FROM
         (SELECT {column}::VARCHAR AS v, count(*) AS n FROM {table} WHERE {column} IS NOT NULL
-         GROUP BY 1 ORDER BY n DESC, v LIMIT 5)) AS top_values
+         GROUP BY 1 ORDER BY n DESC, {TIE_SQL} LIMIT 5)) AS top_values
       FROM {table}"""
 
 
@@ -102,6 +107,11 @@ def profile_all_tables(load):
     return base_profiles(load, *BASE)
 
 
+@query("profile_long_texts", profile_sql("documents"))
+def profile_long_texts(load):
+    return base_profiles(load, "documents")
+
+
 COUNTS = "table_name, column_name, row_count, null_count, null_pct, distinct_count, distinct_pct"
 
 
@@ -144,7 +154,8 @@ def profile_text(load):
 
 @query("profile_top_values", f"SELECT column_name, top_values FROM ({profile_sql('orders')})")
 def profile_top_values(load):
-    return profiling.top_values(profiling.value_counts(load("orders"), list(COLUMNS["orders"])))
+    orders, columns = load("orders"), list(COLUMNS["orders"])
+    return profiling.top_values(orders, columns, profiling.value_counts(orders, columns))
 
 
 @query("profile_semantic_type", f"WITH {CUSTOMERS} SELECT table_name, column_name, inferred_type FROM profiles")

@@ -51,9 +51,20 @@ def test_profile_against_brute_force(frame):
     assert (found["s"].min_length, found["s"].max_length, found["n"].min_length) == (1, 3, None)
 
 
+def test_long_texts_are_told_apart_and_shown_in_full(frame):
+    long = "x" * 500
+    values = [long + "a"] * 3 + [long + "b"] * 2 + ["short", None]
+    found = profiling.profile(frame([(v,) for v in values], "t string"), "t").first()
+    assert (found.distinct_count, found.null_count, found.max_length) == (3, 1, 501)
+    assert found.top_values == f"{long}a:3|{long}b:2|short:1"
+    emails = profiling.profile(frame([("a" * 200 + "@b.io",)], "t string"), "t").first()
+    assert emails.inferred_type == "email"
+
+
 def test_top_values_limits_before_the_shuffle(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
-    best = profiling.top_values(profiling.value_counts(df, ["o_orderkey", "o_orderstatus"]))
+    columns = ["o_orderkey", "o_orderstatus"]
+    best = profiling.top_values(df, columns, profiling.value_counts(df, columns))
     assert "WindowGroupLimit" in best._jdf.queryExecution().executedPlan().toString()
 
 
