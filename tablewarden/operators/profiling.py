@@ -16,29 +16,53 @@ TOP_N = 5  # fixed value
 MIN_SHARE_TENTHS = 6  # fixed value: six tenths of the values decide a semantic type
 
 
+def _carrier(kind: T.DataType) -> str:
+    """The type a column's values are counted as; whole numbers and doubles stay numbers until counted."""
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return "bigint"
+    return "double" if isinstance(kind, T.DoubleType) else "string"
+
+
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column_name, value, n) for all columns; copies of a value are summed before the shuffle.
 
-    A long text is represented by its digest, so documents are not shuffled; its semantic label is
-    taken from the text itself.
+    Columns of one kind are counted together and become text afterwards. A long text is represented
+    by its start and digest, so documents are not shuffled; its semantic label is taken from the
+    text itself. Columns travel by number, not by name.
     """
-
-    def cell(column: str) -> Column:
-        text = F.col(column).cast("string")
-        # only text-like columns can hold long values
-        is_text = df.schema[column].dataType.typeName() in ("string", "array", "struct", "binary")
-        long_label = F.when(F.length(text) > LONG_TEXT, F.coalesce(semantic_label(text), F.lit("text")))
-        return F.struct(
-            F.lit(column).alias("column_name"),
-            (compact(text) if is_text else text).alias("value"),
-            (long_label if is_text else F.lit(None).cast("string")).alias("long_label"),
+    carriers = {c: _carrier(df.schema[c].dataType) for c in columns}
+    names = F.array(*[F.lit(c) for c in columns])
+    parts = []
+    for carrier in ("bigint", "double", "string"):
+        members = [c for c in columns if carriers[c] == carrier]
+        if not members:
+            continue
+        keys = ["column_number", "value"]
+        cells = []
+        for column in members:
+            value = F.col(column).cast(carrier)
+            cell = [F.lit(columns.index(column)).alias("column_number")]
+            if carrier == "string":
+                label = F.when(F.length(value) > LONG_TEXT, F.coalesce(semantic_label(value), F.lit("text")))
+                cell += [compact(value).alias("value"), label.alias("long_label")]
+                keys = ["column_number", "value", "long_label"]
+            else:
+                cell.append(value.alias("value"))
+            cells.append(F.struct(*cell))
+        counted = df.select(F.inline(F.array(*cells))).groupBy(*keys).agg(F.count("*").alias("n"))
+        long_label = F.col("long_label") if carrier == "string" else F.lit(None).cast("string")
+        parts.append(
+            counted.select(
+                F.get(names, F.col("column_number")).alias("column_name"),
+                F.col("value").cast("string").alias("value"),
+                long_label.alias("long_label"),
+                "n",
+            )
         )
-
-    return (
-        df.select(F.inline(F.array(*[cell(c) for c in columns])))
-        .groupBy("column_name", "value", "long_label")
-        .agg(F.count("*").alias("n"))
-    )
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
 
 
 def _percent(part: Column, whole: Column) -> Column:
@@ -83,9 +107,9 @@ def top_values(df: DataFrame, columns: list[str], counts: DataFrame, n: int = TO
     Digests of long texts that made it to the top are swapped back for their texts, which takes a
     second look at the text columns for at most ``n`` values each.
     """
-    best = top_per_key(
-        counts.where(F.col("value").isNotNull()), ["column_name"], [F.desc("n"), F.asc("value")], n
-    )
+    # NULLs rank last and go afterwards, so that the counts are the same exchange the statistics read
+    order = [F.col("value").isNull().asc(), F.desc("n"), F.asc("value")]
+    best = top_per_key(counts, ["column_name"], order, n).where(F.col("value").isNotNull())
     texts = [c for c in columns if df.schema[c].dataType.typeName() in ("string", "array", "struct", "binary")]
     if texts:
         cells = F.array(
@@ -113,32 +137,43 @@ def is_number(kind: T.DataType) -> bool:
 
 
 def value_stats(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Range of every column; mean and deviation of numbers, lengths of everything else. One scan."""
+    """Range of every column; mean and deviation of numbers, lengths of everything else.
+
+    Numbers and the rest are read separately, each with its own columns: an aggregate over
+    numbers alone stays in generated code.
+    """
+    numbers = [c for c in columns if is_number(df.schema[c].dataType)]
+    others = [c for c in columns if c not in numbers]
+    if numbers and others:
+        return _value_stats(df, numbers, True).unionByName(_value_stats(df, others, False))
+    return _value_stats(df, columns, bool(numbers))
+
+
+def _value_stats(df: DataFrame, columns: list[str], number: bool) -> DataFrame:
     sums, rows = [], []
+    nothing = {"mean_value": "double", "stddev_value": "double", "min_length": "int", "max_length": "int"}
     for i, c in enumerate(columns):
-        col, number = F.col(c), is_number(df.schema[c].dataType)
-        sums += [F.min(col).cast("string").alias(f"mn{i}"), F.max(col).cast("string").alias(f"mx{i}")]
+        col = F.col(c)
+        sums += [F.min(col).alias(f"min_value{i}"), F.max(col).alias(f"max_value{i}")]
         if number:
-            sums += [F.avg(col.cast("double")).alias(f"av{i}"), F.stddev_samp(col.cast("double")).alias(f"sd{i}")]
+            found = ["mean_value", "stddev_value"]
+            sums += [
+                F.avg(col.cast("double")).alias(f"mean_value{i}"),
+                F.stddev_samp(col.cast("double")).alias(f"stddev_value{i}"),
+            ]
         else:
+            found = ["min_length", "max_length"]
             size = F.length(col.cast("string"))
-            sums += [F.min(size).alias(f"ml{i}"), F.max(size).alias(f"xl{i}")]
-
-        def pick(flag: bool, label: str, kind: str, index: int = i) -> Column:
-            return (F.col(f"{label}{index}") if flag else F.lit(None)).cast(kind)
-
-        rows.append(
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.lit(df.schema[c].dataType.simpleString()).alias("data_type"),
-                F.col(f"mn{i}").alias("min_value"),
-                F.col(f"mx{i}").alias("max_value"),
-                pick(number, "av", "double").alias("mean_value"),
-                pick(number, "sd", "double").alias("stddev_value"),
-                pick(not number, "ml", "int").alias("min_length"),
-                pick(not number, "xl", "int").alias("max_length"),
-            )
-        )
+            sums += [F.min(size).alias(f"min_length{i}"), F.max(size).alias(f"max_length{i}")]
+        fields = [
+            F.lit(c).alias("column_name"),
+            F.lit(df.schema[c].dataType.simpleString()).alias("data_type"),
+            F.col(f"min_value{i}").cast("string").alias("min_value"),
+            F.col(f"max_value{i}").cast("string").alias("max_value"),
+        ]
+        for name, kind in nothing.items():
+            fields.append((F.col(f"{name}{i}") if name in found else F.lit(None)).cast(kind).alias(name))
+        rows.append(F.struct(*fields))
     return df.agg(*sums).select(F.inline(F.array(*rows)))
 
 
@@ -174,6 +209,12 @@ def profile(
     )
 
 
+def type_profile(df: DataFrame, table: str, *, columns: list[str] | None = None) -> DataFrame:
+    """The short profile: counts and inferred types only, from one count of the values."""
+    columns = columns or [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return column_stats(value_counts(df, columns)).withColumn("table_name", F.lit(table))
+
+
 def profile_tables(tables: Mapping[str, DataFrame], *, schema: str = "main", top_n: int = TOP_N) -> DataFrame:
     """Profiles of several tables below each other."""
     result = None

@@ -48,7 +48,7 @@ def column_sql(table: str, column: str, kind: str) -> str:
     """Profile row of one column, statement by statement as a reader would check it."""
     number = kind in NUMBERS
     stats = (
-        f"round(avg({column}::DOUBLE), 6) AS mean_value, round(stddev_samp({column}::DOUBLE), 6) AS stddev_value, "
+        f"round(avg({column}::DOUBLE), 8) AS mean_value, round(stddev_samp({column}::DOUBLE), 8) AS stddev_value, "
         "NULL::BIGINT AS min_length, NULL::BIGINT AS max_length"
         if number
         else "NULL::DOUBLE AS mean_value, NULL::DOUBLE AS stddev_value, "
@@ -77,7 +77,7 @@ def profile_sql(*tables: str) -> str:
 
 def rounded(profiles):
     return profiles.withColumns(
-        {"mean_value": F.round("mean_value", 6), "stddev_value": F.round("stddev_value", 6)}
+        {"mean_value": F.round("mean_value", 8), "stddev_value": F.round("stddev_value", 8)}
     ).drop("schema_name")
 
 
@@ -86,11 +86,9 @@ def base_profiles(load, *names: str):
 
 
 def customer_profiles(load):
-    return rounded(
-        profiling.profile_tables(
-            {"clean_customers": inputs.staged_customers(load), "dirty_customers": inputs.dirty_customers(load)}
-        )
-    )
+    """Counts and types of the customers before and after the defects."""
+    clean = profiling.type_profile(inputs.staged_customers(load), "clean_customers")
+    return clean.unionByName(profiling.type_profile(inputs.dirty_customers(load), "dirty_customers"))
 
 
 CUSTOMERS = f"{inputs.DIRTY_CUSTOMERS}, profiles AS ({profile_sql('clean_customers', 'dirty_customers')})"
@@ -134,8 +132,8 @@ def profile_numeric(load):
         "column_name",
         "min_value",
         "max_value",
-        F.round("mean_value", 6).alias("mean_value"),
-        F.round("stddev_value", 6).alias("stddev_value"),
+        F.round("mean_value", 8).alias("mean_value"),
+        F.round("stddev_value", 8).alias("stddev_value"),
     )
 
 
@@ -174,8 +172,8 @@ def profile_semantic_type(load):
     FROM a FULL JOIN b USING (column_name)""",
 )
 def profile_drift(load):
-    before = profiling.profile(inputs.staged_customers(load), "customers")
-    after = profiling.profile(inputs.dirty_customers(load), "customers")
+    before = profiling.type_profile(inputs.staged_customers(load), "customers")
+    after = profiling.type_profile(inputs.dirty_customers(load), "customers")
     return profiling.drift(before, after)
 
 
@@ -196,7 +194,11 @@ def suggest_rules(load):
     WHERE null_count = 0 AND distinct_count = row_count""",
 )
 def candidate_keys(load):
-    return profiling.candidate_keys(base_profiles(load, *BASE))
+    result = None
+    for name in BASE:
+        one = profiling.type_profile(load(name), name)
+        result = one if result is None else result.unionByName(one)
+    return profiling.candidate_keys(result)
 
 
 DECLARED = {"email": "email", "phone": "phone_us", "signup_date": "date_iso", "customer_id": "integer"}
