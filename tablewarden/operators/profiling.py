@@ -13,6 +13,7 @@ from tablewarden.functions.text import SEMANTIC_PATTERNS, semantic_label
 from tablewarden.operators.dedup import top_per_key
 
 TOP_N = 5  # fixed value
+COLUMN = ["column_name"]
 MIN_SHARE_TENTHS = 6  # fixed value: six tenths of the values decide a semantic type
 
 
@@ -70,7 +71,7 @@ def _percent(part: Column, whole: Column) -> Column:
     return F.coalesce(F.round(ratio, 2), F.lit(0)).cast("double")
 
 
-def column_stats(counts: DataFrame) -> DataFrame:
+def column_stats(counts: DataFrame, by: list[str] = COLUMN) -> DataFrame:
     """Rows, NULLs, distinct values and inferred type per column, from the value counts.
 
     Every distinct value votes with its number of rows; the first pattern that fits is its vote.
@@ -78,7 +79,7 @@ def column_stats(counts: DataFrame) -> DataFrame:
     label = F.when(F.col("value").isNotNull(), F.coalesce("long_label", semantic_label(F.col("value"))))
     stats = (
         counts.withColumn("label", label)
-        .groupBy("column_name")
+        .groupBy(*by)
         .agg(
             F.sum("n").alias("row_count"),
             F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("null_count"),
@@ -91,7 +92,7 @@ def column_stats(counts: DataFrame) -> DataFrame:
     for semantic in reversed(list(SEMANTIC_PATTERNS)):
         winner = F.when(F.col(semantic) * 10 >= voters * MIN_SHARE_TENTHS, semantic).otherwise(winner)
     return stats.select(
-        "column_name",
+        *by,
         "row_count",
         "null_count",
         _percent(F.col("null_count"), F.col("row_count")).alias("null_pct"),
@@ -101,7 +102,20 @@ def column_stats(counts: DataFrame) -> DataFrame:
     )
 
 
-def top_values(df: DataFrame, columns: list[str], counts: DataFrame, n: int = TOP_N) -> DataFrame:
+def long_texts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, value, full_text) of the texts that value counts hold as digests."""
+    texts = [c for c in columns if df.schema[c].dataType.typeName() in ("string", "array", "struct", "binary")]
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("full_text")) for c in texts]
+    if not cells:
+        return df.sparkSession.createDataFrame([], "column_name string, full_text string, value string")
+    return (
+        df.select(F.inline(F.array(*cells)))
+        .where(F.length("full_text") > LONG_TEXT)
+        .withColumn("value", compact(F.col("full_text")))
+    )
+
+
+def top_values(counts: DataFrame, texts: DataFrame, n: int = TOP_N, by: list[str] = COLUMN) -> DataFrame:
     """The most frequent values per column as ``v:c|v:c``; ties in value order, long ones by start and digest.
 
     Digests of long texts that made it to the top are swapped back for their texts, which takes a
@@ -109,27 +123,15 @@ def top_values(df: DataFrame, columns: list[str], counts: DataFrame, n: int = TO
     """
     # NULLs rank last and go afterwards, so that the counts are the same exchange the statistics read
     order = [F.col("value").isNull().asc(), F.desc("n"), F.asc("value")]
-    best = top_per_key(counts, ["column_name"], order, n).where(F.col("value").isNotNull())
-    texts = [c for c in columns if df.schema[c].dataType.typeName() in ("string", "array", "struct", "binary")]
-    if texts:
-        cells = F.array(
-            *[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("full_text")) for c in texts]
-        )
-        long_texts = (
-            df.select(F.inline(cells))
-            .where(F.length("full_text") > LONG_TEXT)
-            .withColumn("value", compact(F.col("full_text")))
-        )
-        wanted = best.where("long_label IS NOT NULL").select("column_name", "value")
-        found = long_texts.join(wanted, ["column_name", "value"], "left_semi").distinct()
-        best = best.join(found, ["column_name", "value"], "left")
-    else:
-        best = best.withColumn("full_text", F.lit(None).cast("string"))
+    best = top_per_key(counts, by, order, n).where(F.col("value").isNotNull())
+    wanted = best.where("long_label IS NOT NULL").select(*by, "value")
+    found = texts.join(wanted, [*by, "value"], "left_semi").distinct()
+    best = best.join(found, [*by, "value"], "left")
     entry = F.struct((-F.col("n")).alias("rank"), "value", "n", F.coalesce("full_text", "value").alias("shown"))
     listed = F.transform(
         F.array_sort(F.collect_list(entry)), lambda e: F.concat(e["shown"], F.lit(":"), e["n"].cast("string"))
     )  # at most n entries per column
-    return best.groupBy("column_name").agg(F.array_join(listed, "|").alias("top_values"))
+    return best.groupBy(*by).agg(F.array_join(listed, "|").alias("top_values"))
 
 
 def is_number(kind: T.DataType) -> bool:
@@ -177,20 +179,36 @@ def _value_stats(df: DataFrame, columns: list[str], number: bool) -> DataFrame:
     return df.agg(*sums).select(F.inline(F.array(*rows)))
 
 
+def columns_of(df: DataFrame) -> list[str]:
+    """Columns that can be profiled; maps cannot be compared."""
+    return [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+
+
 def profile(
     df: DataFrame, table: str, *, schema: str = "main", columns: list[str] | None = None, top_n: int = TOP_N
 ) -> DataFrame:
     """Full profile, one row per column. Exact; nothing is sampled."""
-    columns = columns or [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    counts = value_counts(df, columns)
+    return profile_tables({table: df.select(*columns) if columns else df}, schema=schema, top_n=top_n)
+
+
+def profile_tables(tables: Mapping[str, DataFrame], *, schema: str = "main", top_n: int = TOP_N) -> DataFrame:
+    """Profiles of all columns of several tables; statistics and top values are taken for all at once."""
+    counts, texts, values = [], [], []
+    for name, df in tables.items():
+        columns, label = columns_of(df), F.lit(name)
+        counts.append(value_counts(df, columns).withColumn("table_name", label))
+        texts.append(long_texts(df, columns).withColumn("table_name", label))
+        values.append(value_stats(df, columns).withColumn("table_name", label))
+    by = ["table_name", "column_name"]
+    counted = _stack(counts)
     parts = (
-        value_stats(df, columns)
-        .join(column_stats(counts), "column_name", "left")
-        .join(top_values(df, columns, counts, top_n), "column_name", "left")
+        _stack(values)
+        .join(column_stats(counted, by), by, "left")
+        .join(top_values(counted, _stack(texts), top_n, by), by, "left")
     )
     return parts.select(
         F.lit(schema).alias("schema_name"),
-        F.lit(table).alias("table_name"),
+        "table_name",
         "column_name",
         "data_type",
         F.coalesce("inferred_type", F.lit("unknown")).alias("inferred_type"),
@@ -209,18 +227,16 @@ def profile(
     )
 
 
-def type_profile(df: DataFrame, table: str, *, columns: list[str] | None = None) -> DataFrame:
+def type_profiles(tables: Mapping[str, DataFrame]) -> DataFrame:
     """The short profile: counts and inferred types only, from one count of the values."""
-    columns = columns or [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    return column_stats(value_counts(df, columns)).withColumn("table_name", F.lit(table))
+    counts = [value_counts(df, columns_of(df)).withColumn("table_name", F.lit(n)) for n, df in tables.items()]
+    return column_stats(_stack(counts), ["table_name", "column_name"])
 
 
-def profile_tables(tables: Mapping[str, DataFrame], *, schema: str = "main", top_n: int = TOP_N) -> DataFrame:
-    """Profiles of several tables below each other."""
-    result = None
-    for name, df in tables.items():
-        one = profile(df, name, schema=schema, top_n=top_n)
-        result = one if result is None else result.unionByName(one)
+def _stack(frames: list[DataFrame]) -> DataFrame:
+    result = frames[0]
+    for frame in frames[1:]:
+        result = result.unionByName(frame)
     return result
 
 

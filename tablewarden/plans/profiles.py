@@ -87,8 +87,9 @@ def base_profiles(load, *names: str):
 
 def customer_profiles(load):
     """Counts and types of the customers before and after the defects."""
-    clean = profiling.type_profile(inputs.staged_customers(load), "clean_customers")
-    return clean.unionByName(profiling.type_profile(inputs.dirty_customers(load), "dirty_customers"))
+    return profiling.type_profiles(
+        {"clean_customers": inputs.staged_customers(load), "dirty_customers": inputs.dirty_customers(load)}
+    )
 
 
 CUSTOMERS = f"{inputs.DIRTY_CUSTOMERS}, profiles AS ({profile_sql('clean_customers', 'dirty_customers')})"
@@ -153,7 +154,7 @@ def profile_text(load):
 @query("profile_top_values", f"SELECT column_name, top_values FROM ({profile_sql('orders')})")
 def profile_top_values(load):
     orders, columns = load("orders"), list(COLUMNS["orders"])
-    return profiling.top_values(orders, columns, profiling.value_counts(orders, columns))
+    return profiling.top_values(profiling.value_counts(orders, columns), profiling.long_texts(orders, columns))
 
 
 @query("profile_semantic_type", f"WITH {CUSTOMERS} SELECT table_name, column_name, inferred_type FROM profiles")
@@ -172,8 +173,8 @@ def profile_semantic_type(load):
     FROM a FULL JOIN b USING (column_name)""",
 )
 def profile_drift(load):
-    before = profiling.type_profile(inputs.staged_customers(load), "customers")
-    after = profiling.type_profile(inputs.dirty_customers(load), "customers")
+    before = profiling.type_profiles({"customers": inputs.staged_customers(load)})
+    after = profiling.type_profiles({"customers": inputs.dirty_customers(load)})
     return profiling.drift(before, after)
 
 
@@ -194,11 +195,7 @@ def suggest_rules(load):
     WHERE null_count = 0 AND distinct_count = row_count""",
 )
 def candidate_keys(load):
-    result = None
-    for name in BASE:
-        one = profiling.type_profile(load(name), name)
-        result = one if result is None else result.unionByName(one)
-    return profiling.candidate_keys(result)
+    return profiling.candidate_keys(profiling.type_profiles({n: load(n) for n in BASE}))
 
 
 DECLARED = {"email": "email", "phone": "phone_us", "signup_date": "date_iso", "customer_id": "integer"}

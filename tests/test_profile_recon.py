@@ -64,7 +64,7 @@ def test_long_texts_are_told_apart_and_shown_in_full(frame):
 def test_top_values_limits_before_the_shuffle(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     columns = ["o_orderkey", "o_orderstatus"]
-    best = profiling.top_values(df, columns, profiling.value_counts(df, columns))
+    best = profiling.top_values(profiling.value_counts(df, columns), profiling.long_texts(df, columns))
     assert "WindowGroupLimit" in best._jdf.queryExecution().executedPlan().toString()
 
 
