@@ -28,13 +28,13 @@ def chosen(key: Column, op: str, prob: float, seed: int = 42) -> Column:
 LONG_TEXT = 128  # characters; longer texts are compared by their SHA-256
 
 
-def compact(value: Column) -> Column:
-    """The text itself, or for a long one its start and the digest of all of it.
+def compact(value: str) -> str:
+    """SQL text for the value itself, or for a long one its start and the digest of all of it.
 
     Equal exactly when the texts are, and in the order of the texts unless their starts agree.
     """
-    short = F.concat(F.substring(value, 1, LONG_TEXT), F.lit(" sha256:"), F.sha2(value, 256))
-    return F.when(F.length(value) > LONG_TEXT, short).otherwise(value)
+    short = f"concat(substring({value}, 1, {LONG_TEXT}), ' sha256:', sha2({value}, 256))"
+    return f"CASE WHEN length({value}) > {LONG_TEXT} THEN {short} ELSE {value} END"
 
 
 def row_text(columns: list[Column], null_mark: str = "~") -> Column:

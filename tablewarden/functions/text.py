@@ -21,13 +21,10 @@ SEMANTIC_PATTERNS = {
 }
 
 
-def semantic_label(value: Column) -> Column:
-    """Name of the first semantic pattern the trimmed text matches, else NULL."""
-    text = F.trim(value)
-    label = F.lit(None).cast("string")
-    for name, pattern in reversed(list(SEMANTIC_PATTERNS.items())):
-        label = F.when(text.rlike(pattern), F.lit(name)).otherwise(label)
-    return label
+def semantic_label(value: str) -> str:
+    """SQL text for the name of the first semantic pattern the trimmed value matches, else NULL."""
+    cases = " ".join(f"WHEN trim({value}) RLIKE r'{pattern}' THEN '{name}'" for name, pattern in SEMANTIC_PATTERNS.items())
+    return f"CASE {cases} END"
 
 
 def title_case(value: Column) -> Column:

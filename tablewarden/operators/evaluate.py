@@ -108,7 +108,7 @@ def unique_rule_counts(df: DataFrame, rule: Rule) -> DataFrame:
         has_key = has_key & F.col(column).isNotNull()
     # long texts are shuffled as digests
     keys = [
-        compact(F.col(c)).alias(c) if df.schema[c].dataType.typeName() == "string" else F.col(c) for c in rule.key
+        F.expr(compact(f"`{c}`")).alias(c) if df.schema[c].dataType.typeName() == "string" else F.col(c) for c in rule.key
     ]
     per_key = df.select(*keys).groupBy(*rule.key).agg(F.count("*").alias("copies"))
     return per_key.agg(

@@ -38,19 +38,17 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
         members = [c for c in columns if carriers[c] == carrier]
         if not members:
             continue
-        keys = ["column_number", "value"]
+        keys = ["column_number", "value"] + (["long_label"] if carrier == "string" else [])
         cells = []
         for column in members:
-            value = F.col(column).cast(carrier)
-            cell = [F.lit(columns.index(column)).alias("column_number")]
+            value = f"CAST(`{column}` AS {carrier})"
+            shown, label = value, ""
             if carrier == "string":
-                label = F.when(F.length(value) > LONG_TEXT, F.coalesce(semantic_label(value), F.lit("text")))
-                cell += [compact(value).alias("value"), label.alias("long_label")]
-                keys = ["column_number", "value", "long_label"]
-            else:
-                cell.append(value.alias("value"))
-            cells.append(F.struct(*cell))
-        counted = df.select(F.inline(F.array(*cells))).groupBy(*keys).agg(F.count("*").alias("n"))
+                shown = compact(value)
+                label = f"CASE WHEN length({value}) > {LONG_TEXT} THEN coalesce({semantic_label(value)}, 'text') END"
+                label = f", 'long_label', {label}"
+            cells.append(f"named_struct('column_number', {columns.index(column)}, 'value', {shown}{label})")
+        counted = df.select(F.expr(f"inline(array({', '.join(cells)}))")).groupBy(*keys).agg(F.count("*").alias("n"))
         long_label = F.col("long_label") if carrier == "string" else F.lit(None).cast("string")
         parts.append(
             counted.select(
@@ -76,7 +74,7 @@ def column_stats(counts: DataFrame, by: list[str] = COLUMN) -> DataFrame:
 
     Every distinct value votes with its number of rows; the first pattern that fits is its vote.
     """
-    label = F.when(F.col("value").isNotNull(), F.coalesce("long_label", semantic_label(F.col("value"))))
+    label = F.expr(f"CASE WHEN value IS NOT NULL THEN coalesce(long_label, {semantic_label('value')}) END")
     stats = (
         counts.withColumn("label", label)
         .groupBy(*by)
@@ -84,7 +82,7 @@ def column_stats(counts: DataFrame, by: list[str] = COLUMN) -> DataFrame:
             F.sum("n").alias("row_count"),
             F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("null_count"),
             F.count("value").alias("distinct_count"),
-            *[F.sum(F.when(F.col("label") == t, F.col("n")).otherwise(0)).alias(t) for t in SEMANTIC_PATTERNS],
+            *[F.expr(f"sum(CASE WHEN label = '{t}' THEN n ELSE 0 END)").alias(t) for t in SEMANTIC_PATTERNS],
         )
     )
     voters = F.col("row_count") - F.col("null_count")
@@ -105,13 +103,13 @@ def column_stats(counts: DataFrame, by: list[str] = COLUMN) -> DataFrame:
 def long_texts(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column_name, value, full_text) of the texts that value counts hold as digests."""
     texts = [c for c in columns if df.schema[c].dataType.typeName() in ("string", "array", "struct", "binary")]
-    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("full_text")) for c in texts]
+    cells = [f"named_struct('column_name', '{c}', 'full_text', CAST(`{c}` AS string))" for c in texts]
     if not cells:
         return df.sparkSession.createDataFrame([], "column_name string, full_text string, value string")
     return (
-        df.select(F.inline(F.array(*cells)))
+        df.select(F.expr(f"inline(array({', '.join(cells)}))"))
         .where(F.length("full_text") > LONG_TEXT)
-        .withColumn("value", compact(F.col("full_text")))
+        .withColumn("value", F.expr(compact("full_text")))
     )
 
 
@@ -153,30 +151,23 @@ def value_stats(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def _value_stats(df: DataFrame, columns: list[str], number: bool) -> DataFrame:
     sums, rows = [], []
-    nothing = {"mean_value": "double", "stddev_value": "double", "min_length": "int", "max_length": "int"}
     for i, c in enumerate(columns):
-        col = F.col(c)
-        sums += [F.min(col).alias(f"min_value{i}"), F.max(col).alias(f"max_value{i}")]
+        column, kind = f"`{c}`", df.schema[c].dataType.simpleString()
+        found = {"min_value": f"min({column})", "max_value": f"max({column})"}
         if number:
-            found = ["mean_value", "stddev_value"]
-            sums += [
-                F.avg(col.cast("double")).alias(f"mean_value{i}"),
-                F.stddev_samp(col.cast("double")).alias(f"stddev_value{i}"),
-            ]
+            found["mean_value"] = f"avg(CAST({column} AS double))"
+            found["stddev_value"] = f"stddev_samp(CAST({column} AS double))"
         else:
-            found = ["min_length", "max_length"]
-            size = F.length(col.cast("string"))
-            sums += [F.min(size).alias(f"min_length{i}"), F.max(size).alias(f"max_length{i}")]
-        fields = [
-            F.lit(c).alias("column_name"),
-            F.lit(df.schema[c].dataType.simpleString()).alias("data_type"),
-            F.col(f"min_value{i}").cast("string").alias("min_value"),
-            F.col(f"max_value{i}").cast("string").alias("max_value"),
-        ]
-        for name, kind in nothing.items():
-            fields.append((F.col(f"{name}{i}") if name in found else F.lit(None)).cast(kind).alias(name))
-        rows.append(F.struct(*fields))
-    return df.agg(*sums).select(F.inline(F.array(*rows)))
+            found["min_length"] = f"min(length(CAST({column} AS string)))"
+            found["max_length"] = f"max(length(CAST({column} AS string)))"
+        sums += [F.expr(aggregate).alias(f"{name}{i}") for name, aggregate in found.items()]
+        kinds = {"min_value": "string", "max_value": "string", "mean_value": "double", "stddev_value": "double",
+                 "min_length": "int", "max_length": "int"}
+        fields = [f"'column_name', '{c}', 'data_type', '{kind}'"]
+        for name, target in kinds.items():
+            fields.append(f"'{name}', CAST({f'{name}{i}' if name in found else 'NULL'} AS {target})")
+        rows.append(f"named_struct({', '.join(fields)})")
+    return df.agg(*sums).select(F.expr(f"inline(array({', '.join(rows)}))"))
 
 
 def columns_of(df: DataFrame) -> list[str]:
