@@ -1,4 +1,4 @@
 """Loads every module that registers a training-data query."""
 
-from tablewarden.llm import decontaminate, lines, packing, quality, simhash, windows  # noqa: F401
+from tablewarden.llm import decontaminate, lines, packing, quality, simhash, suffixes, windows  # noqa: F401
 from tablewarden.llm.common import QUERIES  # noqa: F401
