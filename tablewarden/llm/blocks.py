@@ -55,8 +55,8 @@ def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
 
 def packed_rows(block: int, buckets: np.ndarray, values: np.ndarray) -> pa.Table:
     """One row per bucket with its values, which are sorted by bucket."""
-    own, starts = np.unique(buckets, return_index=True)
-    stops = np.append(starts[1:], len(values))
+    own, starts, counts = np.unique(buckets, return_index=True, return_counts=True)
+    stops = starts + counts
     parts = [values[a:b].tobytes() for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
     return pa.Table.from_arrays(
         [pa.array(np.full(len(own), block, np.int32)), pa.array(own.astype(np.int32)), pa.array(parts, pa.binary())], FIELDS

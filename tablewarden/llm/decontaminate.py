@@ -216,7 +216,10 @@ def contamination(
     chars = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n_blocks = max(1, -(-chars // block_chars))
     carried = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.struct("*")
-    own = docs.select(carried.alias("row"), F.col(f"`{text_col}`").cast("binary").alias("text"))
+    text = F.col(f"`{text_col}`").cast("binary")
+    if n_blocks > 1:  # the parts of one row meet by its columns and its text
+        carried = F.struct(carried.alias("row"), F.sha2(F.coalesce(text, F.lit(b"")), 256).alias("digest"))
+    own = docs.select(carried.alias("row"), text.alias("text"))
     kinds = own.schema["row"].dataType.simpleString()
     parts = []
     for k in range(n_blocks):
@@ -251,14 +254,38 @@ def merged(parts: DataFrame, n_blocks: int) -> DataFrame:
     """The blocks' findings for each row together; a row that is there n times comes n times."""
     key = F.sha2(F.to_json(F.struct("row"), {"ignoreNullFields": "false"}), 256)
     grouped = parts.groupBy(key.alias("key")).agg(
-        F.any_value("row").alias("row"), F.max("n_words").alias("n_words"), F.count("*").alias("n"),
+        F.any_value("row.row").alias("row"), F.max("n_words").alias("n_words"), F.count("*").alias("n"),
         F.collect_set(F.when(F.size("hits") > 0, F.struct("hits", "items"))).alias("found"),
     )
     copies = F.explode(F.sequence(F.lit(1), (F.col("n") / n_blocks).cast("int")))
     return grouped.select("row", "n_words", "found", copies.alias("copy")).drop("copy")
 
 
-@query("op5_benchmark_decontamination")
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def words_sql(text: str) -> str:
+    split = f"string_split_regex(translate(coalesce({text}, ''), '{UPPER}', '{LOWER}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"list_filter({split}, lambda x: x <> '')"
+
+
+SQL = f"""
+WITH b AS (SELECT item_id::VARCHAR AS item, {words_sql("text")} AS w FROM benchmark),
+s AS (SELECT item, w, least(13, len(w)) AS size FROM b WHERE len(w) > 0 AND item IS NOT NULL),
+q AS (SELECT DISTINCT item, size, array_to_string(w[i + 1 : i + size], ' ') AS t FROM (SELECT *, unnest(range(len(w) - size + 1)) AS i FROM s)),
+d AS (SELECT row_number() OVER () AS r, doc_id, {words_sql("text")} AS w FROM documents),
+p AS (SELECT r, i, size, array_to_string(w[i + 1 : i + size], ' ') AS t
+    FROM (SELECT r, w, size, unnest(range(len(w) - size + 1)) AS i FROM d, (SELECT DISTINCT size FROM q) WHERE len(w) >= size)),
+m AS (SELECT r, i, size, item FROM p JOIN q USING (size, t)),
+h AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS k FROM m) GROUP BY r),
+n AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM m) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN n USING (r)
+"""
+
+
+@query("op5_benchmark_decontamination", SQL)
 def op5(spark, folder):
     found = contamination(read(spark, folder, "documents"), read(spark, folder, "benchmark"), carry=["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")

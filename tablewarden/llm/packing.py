@@ -299,7 +299,7 @@ def pack(
     capacity: int = 1024,
     carry: list[str] | None = None,
 ) -> DataFrame:
-    """One row per piece: row (the columns in ``carry``, or all), piece, start, length, ids_crc32, sequence_id, offset.
+    """One row per piece: row (the columns in ``carry``, or all but the text), piece, start, length, ids_crc32, sequence_id, offset.
 
     ``definition`` is the JSON of a tokenizer. A document is its ids and the end id; NULL and empty texts are the end
     id alone. Only documents of more than ``capacity`` ids are cut, into full pieces after a first shorter one. Every row
@@ -308,11 +308,9 @@ def pack(
     Only the number of pieces of each length reaches the driver, ``capacity`` numbers at most. Pieces of one length are
     alike, so reduction and best fit work on these counts, and each piece looks its slot up by its rank.
     """
-    if not docs.columns:
-        raise ValueError("documents without columns")
+    carry = carry or [c for c in docs.columns if c != text_col]
     shared = docs.sparkSession.sparkContext.broadcast(definition)
-    carried = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.struct("*")
-    own = docs.select(carried.alias("row"), F.col(f"`{text_col}`").cast("binary").alias("text"))
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(f"`{text_col}`").cast("binary").alias("text"))
     schema = PIECES.format(own.schema["row"].dataType.simpleString())
     pieces = settled(own.mapInArrow(cutter(shared, capacity), schema), "pieces")
     blocks = settled(pieces.groupBy("block", "length").agg(F.count("*").alias("n")), "piece-counts")

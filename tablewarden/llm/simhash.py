@@ -58,7 +58,7 @@ def forest(prints: np.ndarray, distance: int, shared: int) -> list[tuple[int, in
         front, left = [left[0]], left[1:]
         while front and len(left):
             one = front.pop()
-            apart = left ^ one
+            apart = (left ^ one).view(np.uint64)
             tally = (apart.view(np.uint8).reshape(-1, BYTES) == 0).sum(axis=1)
             near = (tally >= shared) & (np.bitwise_count(apart) <= distance)
             reached = left[near]
