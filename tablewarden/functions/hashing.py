@@ -37,9 +37,18 @@ def compact(value: str) -> str:
     return f"CASE WHEN length({value}) > {LONG_TEXT} THEN {short} ELSE {value} END"
 
 
-def row_text(columns: list[Column], null_mark: str = "~") -> Column:
-    """Rows as one text; NULL and the empty string stay different."""
-    return F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit(null_mark)) for c in columns])
+def row_text(columns: list[Column]) -> Column:
+    """Rows as one text: each field with its length before it, NULL as a dash. Unlike rows have unlike texts."""
+    fields = []
+    for column in columns:
+        text = column.cast("string")
+        fields.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.concat_ws("|", *fields)
+
+
+def hex_to_decimal(digest: Column, digits: int = 16) -> Column:
+    """Read the first 16 hexadecimal digits (64 bits) of a digest as an unsigned number."""
+    return F.conv(F.substring(digest, 1, digits), 16, 10).cast("decimal(20,0)")
 
 
 def row_digest(columns: list[Column]) -> Column:

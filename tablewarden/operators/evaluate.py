@@ -24,10 +24,14 @@ def pass_rate(total: Column, violations: Column) -> Column:
     return F.when(total == 0, F.lit(100)).otherwise(rate).cast(PCT)
 
 
-def grade(rate: Column, minimum: Column) -> Column:
-    return (
-        F.when(rate >= minimum, "PASS").when(rate >= minimum - F.lit(WARN_BAND), "WARN").otherwise("FAIL")
-    )
+def grade(total: Column, violations: Column, minimum: Column) -> Column:
+    """Status from the exact counts: a rounded rate of 100 still fails a minimum of 100 when one row is bad."""
+    good = ((total - violations) * 100).cast("decimal(24,0)")
+
+    def reached(least: Column) -> Column:
+        return good >= least * total.cast("decimal(20,0)")
+
+    return F.when(reached(minimum), "PASS").when(reached(minimum - F.lit(WARN_BAND)), "WARN").otherwise("FAIL")
 
 
 def _described(rule: Rule, total: str, violations: str, error: str | None = None) -> str:
@@ -57,9 +61,10 @@ def graded(counts: DataFrame, *, run_id: str, as_of) -> DataFrame:
     """Pass rate and status for (total_rows, violation_count) rows; errors get neither a rate nor a pass."""
     failed = F.col("error_msg").isNotNull()
     rate = F.when(~failed, pass_rate(F.col("total_rows"), F.col("violation_count")))
+    status = grade(F.col("total_rows"), F.col("violation_count"), F.col("min_pass_pct"))
     return (
         counts.withColumn("pass_rate_pct", rate)
-        .withColumn("status", F.when(failed, "ERROR").otherwise(grade(F.col("pass_rate_pct"), F.col("min_pass_pct"))))
+        .withColumn("status", F.when(failed, "ERROR").otherwise(status))
         .withColumn("run_id", F.lit(run_id))
         .withColumn("executed_at", moment(as_of))
     )
@@ -90,15 +95,19 @@ def analysed(df: DataFrame, rules: list[Rule]) -> list[tuple[Rule, str | None]]:
 def row_rule_counts(df: DataFrame, rules: Iterable[Rule], slice_by: list[Column] | None = None) -> DataFrame:
     """Total and violations of every row rule, from one aggregate over one scan."""
     checks = analysed(df, list(rules))
-    sums = [F.count("*").alias("total")]
-    sums += [F.count_if(rule.bad).alias(f"bad_{i}") for i, (rule, error) in enumerate(checks) if not error]
+    counts = [F.count("*")] + [F.count_if(rule.bad) for rule, error in checks if not error]
+    named = [i for i, (_, error) in enumerate(checks) if not error]
     grouped = df.groupBy(*slice_by) if slice_by else df.groupBy()
-    wide = grouped.agg(*sums)
+    wide = grouped.agg(*counts)
+    slices = wide.columns[: len(wide.columns) - len(counts)]
+    # counts get names that no slice column has
+    mark = "_" * (1 + max([len(c) - len(c.lstrip("_")) for c in slices], default=0))
+    aliases = [f"{mark}total"] + [f"{mark}bad_{i}" for i in named]
+    wide = wide.toDF(*slices, *aliases)
     rows = _rows(
-        _described(rule, "total", "0" if error else f"bad_{i}", error) for i, (rule, error) in enumerate(checks)
+        _described(rule, f"{mark}total", "0" if error else f"{mark}bad_{i}", error) for i, (rule, error) in enumerate(checks)
     )
-    slices = [c for c in wide.columns if c != "total" and not c.startswith("bad_")]
-    return wide.select(*slices, rows)
+    return wide.select(*[F.col(f"`{c}`") for c in slices], rows)
 
 
 def unique_rule_counts(df: DataFrame, rule: Rule) -> DataFrame:

@@ -114,14 +114,20 @@ def change_audit(
 ) -> DataFrame:
     """INSERT, UPDATE and DELETE rows between two snapshots with old and new row as JSON.
 
-    ``changed_cols`` is NULL when nothing changed. The snapshots are stacked and reduced by key.
+    ``changed_cols`` is NULL when nothing changed. The snapshots are stacked and reduced by key; a key that is NULL or
+    twice in a snapshot ends the job with a message.
     """
     columns = before.columns
     stacked = before.withColumn("_old", F.lit(True)).unionByName(after.withColumn("_old", F.lit(False)))
     whole = F.struct(*columns)
     pair = stacked.groupBy(key).agg(
-        F.max(F.when(F.col("_old"), whole)).alias("o"), F.max(F.when(~F.col("_old"), whole)).alias("n")
+        F.max(F.when(F.col("_old"), whole)).alias("o"), F.max(F.when(~F.col("_old"), whole)).alias("n"),
+        F.greatest(F.count_if("_old"), F.count_if(~F.col("_old"))).alias("copies"),
     )
+    unfit = F.when(F.col(key).isNull(), F.raise_error(F.lit(f"{table}: {key} is NULL"))).when(
+        F.col("copies") > 1, F.raise_error(F.lit(f"{table}: a value of {key} is there twice"))
+    )
+    pair = pair.withColumn("_unfit", unfit.cast("string")).where("_unfit IS NULL")
     differing = F.array_compact(
         F.array(*[F.when(~F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")), F.lit(c)) for c in columns])
     )
@@ -145,7 +151,7 @@ def change_audit(
 
 def audit_activity(audit: DataFrame, *, as_of, window: str = "90 days") -> DataFrame:
     """Audit events per user, object and action in a trailing window."""
-    recent = audit.where((F.col("event_time") > ago(as_of, window)) & (F.col("event_time") <= moment(as_of)))
+    recent = audit.where((F.col("event_time") >= ago(as_of, window)) & (F.col("event_time") <= moment(as_of)))
     return recent.groupBy("db_user", "schema_name", "table_name", "action").agg(
         F.count("*").alias("event_count"),
         F.min("event_time").alias("first_event"),

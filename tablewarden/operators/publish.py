@@ -16,15 +16,18 @@ def number_rows(
     df: DataFrame, key: Column, alias: str, *, where: Column | None = None, start: "int | Column" = 0,
     digits: int = KEY_RANGES,
 ) -> DataFrame:
-    """Consecutive numbers from ``start + 1`` for rows with distinct, non-null text keys.
+    """Consecutive numbers from ``start + 1`` for rows with distinct text keys; rows without a key come first.
 
     Rows are spread over ranges of the key's MD5; a row's number is the size of the earlier ranges
     plus its rank in its own range. Only the table of range sizes (16**digits rows) is broadcast.
     With ``where``, only the rows it selects are numbered and the others get NULL.
     """
     wanted = F.coalesce(where, F.lit(False)) if where is not None else F.lit(True)
+    if not 1 <= digits <= 4:
+        raise ValueError("digits must be 1 to 4: the table of range sizes is broadcast")
+    # rows without a key are a range of their own
     spread = df.withColumns({"_key": key.cast("string"), "_wanted": wanted}).withColumn(
-        "_range", F.substring(F.md5(F.col("_key")), 1, digits)
+        "_range", F.coalesce(F.substring(F.md5(F.col("_key")), 1, digits), F.lit(""))
     )
     sizes = spread.groupBy("_range").agg(F.count_if("_wanted").alias("_size"))
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -59,13 +62,26 @@ def insert_if_absent(target: DataFrame, rows: DataFrame, key: list[str]) -> Data
     return rows.join(target.select(*key).distinct(), key, "left_anti")
 
 
+def unique_by(df: DataFrame, key: list[str], side: str) -> DataFrame:
+    """The same rows; a key that is there twice, or is NULL, ends the job with a message."""
+    missing = F.lit(False)
+    for column in key:
+        missing = missing | F.col(column).isNull()
+    copies = F.count("*").over(Window.partitionBy(*key))
+    checked = F.when(missing, F.raise_error(F.lit(f"{side}: a key in {key} is NULL"))).when(
+        copies > 1, F.raise_error(F.lit(f"{side}: a key in {key} is there twice"))
+    )
+    return df.withColumn("_checked", checked.cast("string")).where("_checked IS NULL").drop("_checked")
+
+
 def merge_by_key(
     base: DataFrame, updates: DataFrame, key: list[str], *, on_conflict: str = "ignore", columns: list[str] | None = None
 ) -> DataFrame:
     """Upsert: new keys are added; known keys stay (ignore) or take the listed columns (update).
 
-    Both sides hold a key once. A listed column is taken even when its new value is NULL.
+    Both sides hold a key once, else the job fails. A listed column is taken even when its new value is NULL.
     """
+    base, updates = unique_by(base, key, "base"), unique_by(updates, key, "updates")
     rest = [c for c in base.columns if c not in key]
     listed = (rest if columns is None else columns) if on_conflict == "update" else []
     joined = base.select(*key, F.struct(*rest).alias("_b")).join(
@@ -85,10 +101,12 @@ def scd2_merge(
 ) -> DataFrame:
     """Type-2 merge: changed keys get their open version closed and a new one; others stay.
 
-    Old and new versions of a key come out of one join; new versions continue the surrogate numbers.
+    Old and new versions of a key come out of one join; new versions continue the surrogate numbers. A key that is
+    open or comes in twice, or comes in as NULL, ends the job with a message; versions with a NULL key stay as they are.
     """
-    open_rows = dim.where("is_current").select(F.col(key), F.struct(*dim.columns).alias("_d"))
-    fresh = incoming.select(F.col(key), F.struct(*attributes).alias("_i"))
+    keyed = F.col("is_current") & F.col(key).isNotNull()
+    open_rows = unique_by(dim.where(keyed), [key], "open versions").select(F.col(key), F.struct(*dim.columns).alias("_d"))
+    fresh = unique_by(incoming, [key], "incoming").select(F.col(key), F.struct(*attributes).alias("_i"))
     joined = open_rows.join(fresh, key, "full_outer")
     known, offered = F.col("_d").isNotNull(), F.col("_i").isNotNull()
     same = F.lit(True)
@@ -123,7 +141,7 @@ def scd2_merge(
     last = dim.agg(F.coalesce(F.max(surrogate), F.lit(0).cast("bigint"))).scalar()
     numbered = number_rows(versions, F.col(key), "_number", where=F.col(surrogate).isNull())
     current = numbered.withColumn(surrogate, F.coalesce(F.col(surrogate), F.col("_number") + last))
-    return dim.where("NOT is_current").unionByName(current.select(*dim.columns))
+    return dim.where(~F.coalesce(keyed, F.lit(False))).unionByName(current.select(*dim.columns))
 
 
 def publish_fact(

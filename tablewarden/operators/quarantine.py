@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewarden.functions.hashing import row_text
@@ -40,9 +40,13 @@ def _record(rule: Rule) -> Column:
 def _filed(df: DataFrame, key: list[str], payload: list[str], run_id: str, at: Column) -> DataFrame:
     """Shape rows that carry a ``bad`` struct into quarantine records."""
     row_key = F.col(key[0]).cast("string") if len(key) == 1 else row_text([F.col(k) for k in key])
-    identity = F.concat_ws("|", F.lit(run_id), F.col("bad.rule_id"), row_text([F.col(k) for k in key]))
+    identity = F.concat_ws("|", F.lit(run_id), F.col("bad.rule_id"), row_key)
+    # rows under one key are told apart by their rank, so that each has an id of its own; others keep run, rule and key
+    ranked = Window.partitionBy("bad.rule_id", *key).orderBy(F.sha2(F.to_json(F.struct(*payload)), 256))
+    nth = F.row_number().over(ranked)
+    df = df.withColumn("_identity", F.when(nth > 1, F.concat_ws("|", identity, F.lit("row"), nth)).otherwise(identity))
     return df.select(
-        F.md5(identity).alias("quarantine_id"),
+        F.md5("_identity").alias("quarantine_id"),
         F.lit(run_id).alias("run_id"),
         "bad.rule_id",
         "bad.schema_name",
@@ -69,9 +73,10 @@ def quarantine(
     as_of,
     payload: list[str] | None = None,
 ) -> DataFrame:
-    """One record per row and broken row rule, from one scan and without a shuffle.
+    """One record per row and broken row rule, from one scan; only bad rows are shuffled, to number those of one key.
 
-    The id depends on run, rule and key only, so running again writes the same records.
+    The id depends on run, rule and key, and on the rank by content among bad rows of one key, so running again
+    writes the same records.
     """
     found = F.array_compact(F.array(*[F.when(rule.bad, _record(rule)) for rule in rules]))
     marked = df.select("*", F.explode(found).alias("bad"))

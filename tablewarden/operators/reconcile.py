@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.functions.hashing import hex_to_long, row_digest
+from tablewarden.functions.hashing import hex_to_decimal, row_digest
 from tablewarden.functions.timing import moment
 from tablewarden.operators.dedup import latest_per_key
 from tablewarden.schemas import CHECK_TYPES
@@ -52,12 +52,15 @@ def diff_pct(source: Column, target: Column) -> Column:
 
 
 def recon_status(source: Column, target: Column, tolerance: Column) -> Column:
-    """ERROR without both values, PASS without difference, WARN within tolerance, else FAIL."""
-    pct = diff_pct(source, target)
+    """ERROR without both values, PASS without difference, WARN within tolerance, else FAIL.
+
+    The exact difference decides, not the rounded percentage: one lost row of any number is no PASS.
+    """
+    gap, base = F.abs(target - source), F.when(source == 0, F.lit(1).cast(NUMBER)).otherwise(F.abs(source))
     return (
         F.when(source.isNull() | target.isNull(), "ERROR")
-        .when(pct == 0, "PASS")
-        .when(pct <= tolerance, "WARN")
+        .when(gap == 0, "PASS")
+        .when(gap.cast("double") * 100 <= tolerance.cast("double") * base.cast("double"), "WARN")
         .otherwise("FAIL")
     )
 
@@ -73,9 +76,10 @@ def compared(values: DataFrame) -> DataFrame:
 
 
 # --- scalars ---------------------------------------------------------------------
-def fingerprint(columns: list[str]) -> Column:
-    """Order-independent total of row hashes. A sum, since XOR would cancel duplicate rows."""
-    return F.sum(hex_to_long(row_digest([F.col(c.strip()) for c in columns])))
+def fingerprint(columns: list[str], keep: Column) -> Column:
+    """Order-independent total of the 64-bit hashes of the kept rows. A sum, since XOR would cancel duplicate rows."""
+    total = F.sum(F.when(keep, hex_to_decimal(row_digest([F.col(c.strip()) for c in columns]))))
+    return F.coalesce(total, F.lit(0).cast("decimal(30,0)"))
 
 
 def _scalar(check: Check, measure: str | None, where: str) -> Column:
@@ -89,7 +93,7 @@ def _scalar(check: Check, measure: str | None, where: str) -> Column:
     if check.check_type == "null_check":
         return F.count_if(keep & F.col(measure).isNull())
     if check.check_type == "hash_check":
-        return fingerprint(measure.split(","))
+        return fingerprint(measure.split(","), keep)
     raise ValueError(check.check_type)
 
 

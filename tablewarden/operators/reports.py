@@ -219,13 +219,14 @@ ROUTING = {
     "HIGH": ["slack", "teams", "email"],
     "CRITICAL": ["slack", "teams", "email", "pagerduty"],
 }
-DIGEST_SIZE = 20
+DIGEST_SIZE = 20  # default of alert_routing
 DIGEST_CHANNELS = ["slack", "teams"]
 
 
-def alert_routing(alerts: DataFrame) -> DataFrame:
-    """Alerts per channel: paging keeps the newest alert per deduplication key, chat digests
-    show the 20 newest, mail gets all. Delivery is left to the caller."""
+def alert_routing(alerts: DataFrame, digest_size: int = DIGEST_SIZE) -> DataFrame:
+    """Alerts per channel: paging keeps the newest alert per deduplication key, chat digests show the newest
+    ``digest_size``, mail gets all. ``omitted`` is the number of alerts of the channel (for paging, of the key) that
+    are not shown. Delivery is left to the caller."""
     channels = F.array()
     for severity in SEVERITIES:
         names = F.array(*[F.lit(c) for c in ROUTING[severity]])
@@ -235,8 +236,16 @@ def alert_routing(alerts: DataFrame) -> DataFrame:
     )
     newest = [F.desc("triggered_at"), F.asc("dedup_key"), F.desc("magnitude"), F.asc("object")]
     mail = routed.where(F.col("channel") == "email")
-    chat = top_per_key(routed.where(F.col("channel").isin(DIGEST_CHANNELS)), ["channel"], newest, DIGEST_SIZE)
+    chat = top_per_key(routed.where(F.col("channel").isin(DIGEST_CHANNELS)), ["channel"], newest, digest_size)
     paged = top_per_key(routed.where(F.col("channel") == "pagerduty"), ["channel", "dedup_key"], newest)
+    totals = routed.groupBy(F.col("channel").alias("c"), "dedup_key").agg(F.count("*").alias("n"))
+    of_key = totals.where(F.col("c") == "pagerduty").select("c", F.col("dedup_key").alias("k"), (F.col("n") - 1).alias("omitted"))
+    of_chat = totals.where(F.col("c").isin(DIGEST_CHANNELS)).groupBy("c").agg(
+        F.greatest(F.sum("n") - digest_size, F.lit(0)).alias("omitted")
+    )
+    mail = mail.withColumn("omitted", F.lit(0).cast("bigint"))
+    chat = chat.join(of_chat, F.col("channel") == F.col("c")).drop("c")
+    paged = paged.join(of_key, (F.col("channel") == F.col("c")) & (F.col("dedup_key") == F.col("k"))).drop("c", "k")
     return mail.unionByName(chat).unionByName(paged)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
+from string import Formatter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,11 +68,12 @@ def name(column: str) -> str:
 
 
 def literal(value) -> str:
-    """A Spark SQL literal; text is a raw string, so regular expressions survive."""
+    """A Spark SQL literal; text is a raw string, so regular expressions survive, or escaped if it has both quotes."""
     if isinstance(value, str):
         quote = '"' if "'" in value else "'"
         if quote in value:
-            raise ValueError("text with both kinds of quotes")
+            escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+            return f"'{escaped}'"
         return f"r{quote}{value}{quote}"
     return repr(value)
 
@@ -123,19 +125,35 @@ def not_in_set(column: str, allowed: Iterable, *, standardize: bool = False) ->
 
 
 # --- the catalogue as a table ----------------------------------------------------
+@dataclass(frozen=True)
+class SqlSelector:
+    """Bad rows as a SELECT over tables written in braces, such as ``{orders}``; unlike a function it can be stored."""
+
+    sql: str
+
+    def __call__(self, tables: Tables) -> DataFrame:
+        used = {name for _, name, _, _ in Formatter().parse(self.sql) if name}
+        frames = {name: tables[name] for name in used}
+        return next(iter(frames.values())).sparkSession.sql(self.sql, **frames)
+
+
 def catalog(spark: SparkSession, rules: Iterable[Rule]) -> DataFrame:
-    """Rule definitions as rows."""
-    rows = [
-        (r.rule_id, r.name, r.schema, r.table, r.column, r.dimension, r.severity, r.violation,
-         float(r.min_pass_pct), r.active, r.domain, r.description)
-        for r in rules
-    ]
+    """Rule definitions of every kind as rows; selectors must be SQL."""
+    rows = []
+    for r in rules:
+        if r.selector is not None and not isinstance(r.selector, SqlSelector):
+            raise ValueError(f"{r.rule_id}: a selector in Python cannot be stored, use SqlSelector")
+        rows.append(
+            (r.rule_id, r.name, r.schema, r.table, r.column, r.dimension, r.severity, r.violation,
+             float(r.min_pass_pct), r.active, r.domain, r.description, list(r.key) or None,
+             r.parent and r.parent[0], r.parent and r.parent[1], r.selector and r.selector.sql)
+        )
     return spark.createDataFrame(rows, schemas.RULES)
 
 
 def from_catalog(rows: DataFrame, *, table: str | None = None) -> list[Rule]:
-    """Active rules of a catalogue table, optionally of one table only."""
-    wanted = rows.where("is_active AND expr IS NOT NULL")
+    """Active rules of a catalogue table, optionally of one table only. A row without a definition is an error."""
+    wanted = rows.where("is_active")
     if table is not None:
         wanted = wanted.where(F.col("table_name") == table)
     return [
@@ -143,6 +161,8 @@ def from_catalog(rows: DataFrame, *, table: str | None = None) -> list[Rule]:
             rule_id=r.rule_id, name=r.rule_name, schema=r.schema_name, table=r.table_name,
             column=r.column_name, dimension=r.dimension, severity=r.severity, violation=r.expr,
             min_pass_pct=r.min_pass_pct, domain=r.data_domain, description=r.description or "",
+            key=tuple(r.key_columns or ()), parent=(r.parent_table, r.parent_column) if r.parent_table else None,
+            selector=SqlSelector(r.selector) if r.selector else None,
         )
         for r in wanted.orderBy("rule_id").collect()  # one row per rule, never data rows
     ]

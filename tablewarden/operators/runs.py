@@ -15,7 +15,7 @@ from tablewarden.operators import profiling, reconcile, scoring
 from tablewarden.operators import quarantine as qr
 from tablewarden.operators.evaluate import evaluate_tables
 from tablewarden.operators.rules import Rule, Tables
-from tablewarden.sources.writers import write_evidence
+from tablewarden.sources.writers import read_evidence, write_evidence
 
 
 def _header(
@@ -37,8 +37,7 @@ def _header(
 
 
 def _written(spark: SparkSession, path: str, run_date: str, run_id: str) -> DataFrame:
-    rows = spark.read.parquet(path).where((F.col("run_date") == run_date) & (F.col("run_id") == run_id))
-    return rows.withColumn("run_id", F.col("run_id").cast("string"))
+    return read_evidence(spark, path).where((F.col("run_date") == run_date) & (F.col("run_id") == run_id))
 
 
 def run_rules(
@@ -107,7 +106,9 @@ def run_quarantine(
     day = as_of[:10]
     results = _written(spark, f"{folder}/rule_results", day, run_id)
     failing = {r.rule_id for r in results.where("violation_count > 0").select("rule_id").collect()}  # rule ids only
+    rules = list(rules)
     active = [r for r in rules if r.rule_id in failing]
+    active_tables = next(((r.table, r) for r in rules if r.violation is not None and r.table in keys), None)
     parts = []
     for name in dict.fromkeys(r.table for r in active if r.violation is not None):
         row_rules = [r for r in active if r.table == name and r.violation is not None]
@@ -117,6 +118,10 @@ def run_quarantine(
             parts.append(
                 qr.quarantine_selected(tables, rule, key=keys[rule.table], run_id=run_id, as_of=as_of)
             )
+    if not parts and active_tables:  # an earlier capture of this run is replaced by no rows
+        name, rule = active_tables
+        nothing = tables[name].where(F.lit(False))
+        parts.append(qr.quarantine(nothing, [rule], key=keys[name], run_id=run_id, as_of=as_of))
     captured = 0
     if parts:
         rows = parts[0]

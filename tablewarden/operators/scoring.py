@@ -119,10 +119,9 @@ def slow_rules(durations: DataFrame, *, rule: str = "rule_name", duration: str =
     )
 
 
-def ordered_labels(df: DataFrame, by: list[str], label: str, vocabulary: list[str], alias: str) -> DataFrame:
-    """Distinct labels of each group as one sorted, comma-separated text.
+def ordered_labels(df: DataFrame, by: list[str], label: str, alias: str) -> DataFrame:
+    """Distinct labels of each group as one sorted, comma-separated text; NULL labels are left out.
 
-    The labels come from a known vocabulary, so a group keeps one flag per label and never a list of its rows.
+    Labels are collected as sets before the shuffle, so a group keeps one entry per label and never a list of its rows.
     """
-    flags = [F.when(F.count_if(F.col(label) == v) > 0, F.lit(v)) for v in sorted(vocabulary)]
-    return df.groupBy(*by).agg(F.array_join(F.array(*flags), ",").alias(alias))
+    return df.groupBy(*by).agg(F.array_join(F.array_sort(F.collect_set(label)), ",").alias(alias))

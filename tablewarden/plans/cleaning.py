@@ -189,15 +189,15 @@ def demo_unbalanced(tables):
 
 
 DEMO_RULES = {
-    "bad_currency": row_rule("orders_currency_validity", "orders", "currency", "validity", "HIGH", 99.5,
+    "bad_currency": row_rule("known_currency", "orders", "currency", "validity", "HIGH", 99.5,
                              not_in_set("currency", CURRENCIES)),
-    "future_date": row_rule("orders_future_dated", "orders", "order_date", "timeliness", "HIGH", 99.5,
+    "future_date": row_rule("no_order_after_the_run", "orders", "order_date", "timeliness", "HIGH", 99.5,
                             f"order_date > timestamp_ntz'{DEMO_AS_OF}'"),
-    "negative_quantity": row_rule("order_items_negative_qty", "items", "quantity", "validity", "HIGH", 99.5,
+    "negative_quantity": row_rule("quantities_above_zero", "items", "quantity", "validity", "HIGH", 99.5,
                                   not_positive("quantity")),
-    "orphan_line": Rule("order_items_orphan", "order_items_orphan", "items", "referential", "CRITICAL", "order_id",
+    "orphan_line": Rule("items_belong_to_an_order", "items_belong_to_an_order", "items", "referential", "CRITICAL", "order_id",
                         parent=("orders", "order_id")),
-    "wrong_total": Rule("orders_total_consistency", "orders_total_consistency", "orders", "consistency", "HIGH",
+    "wrong_total": Rule("total_equals_items", "total_equals_items", "orders", "consistency", "HIGH",
                         "total_amount", selector=demo_unbalanced, min_pass_pct=98),
 }
 DEMO_KEYS = {"bad_currency": "order_id", "future_date": "order_id", "negative_quantity": "item_id",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablewarden.functions import sql_functions
+from tablewarden.functions import masking
 from tablewarden.operators import reports
 from tablewarden.plans import governing, inputs, reporting
 from tablewarden.plans.governing import email_sql, partial_sql
@@ -81,7 +81,7 @@ def audit_extract(load):
       sha256(coalesce(phone, '')) AS phone FROM dirty_customers""",
 )
 def sql_masking_functions(load):
-    sql_functions.register(load.spark)
+    masking.register(load.spark)
     return inputs.dirty_customers(load).select(
         "customer_id", F.expr("mask_partial(name)").alias("name"), F.expr("mask_email(email)").alias("email"),
         F.expr("hash_id(phone)").alias("phone"),

@@ -104,23 +104,27 @@ STRAYS = Rule("SAL01", "sales have a customer", "dirty_sales", "integrity", "CRI
     "quarantine_duplicates",
     f"""WITH {inputs.DIRTY_CUSTOMERS}, ranked AS (SELECT *, row_number() OVER (PARTITION BY customer_id
         ORDER BY name, segment, email NULLS FIRST, phone NULLS FIRST, country, signup_date) AS nth FROM dirty_customers)
-    SELECT customer_id AS business_key, {payload_sql(['customer_id', 'name', 'email'])} AS payload,
-      'CUS09 — customers unique' AS failure_reason FROM ranked WHERE nth > 1""",
+    , surplus AS (SELECT customer_id, {payload_sql(['customer_id', 'name', 'email'])} AS payload FROM ranked WHERE nth > 1),
+    numbered AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY sha256(payload)) AS n FROM surplus)
+    SELECT md5('{RUN}|{DUPLICATES.rule_id}|' || customer_id || CASE WHEN n > 1 THEN '|row|' || n ELSE '' END) AS quarantine_id,
+      customer_id AS business_key, payload, 'CUS09 — customers unique' AS failure_reason FROM numbered""",
 )
 def quarantine_duplicates(load):
     tables = {"dirty_customers": inputs.dirty_customers(load)}
     rows = q.quarantine_selected(
         tables, DUPLICATES, key=["customer_id"], run_id=RUN, as_of=AS_OF, payload=["customer_id", "name", "email"]
     )
-    return rows.select("business_key", "payload", "failure_reason")
+    return rows.select("quarantine_id", "business_key", "payload", "failure_reason")
 
 
 @query(
     "quarantine_orphans",
     f"""WITH {inputs.CLEAN_CUSTOMERS}, {inputs.DIRTY_SALES}
-    SELECT md5('{RUN}|SAL01|' || order_id) AS quarantine_id, order_id AS business_key,
-      {payload_sql(['order_id', 'customer_id'])} AS payload FROM dirty_sales s
-    WHERE NOT EXISTS (SELECT 1 FROM clean_customers c WHERE c.customer_id = s.customer_id)""",
+    , strays AS (SELECT order_id, {payload_sql(['order_id', 'customer_id'])} AS payload FROM dirty_sales s
+      WHERE NOT EXISTS (SELECT 1 FROM clean_customers c WHERE c.customer_id = s.customer_id)),
+    numbered AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY sha256(payload)) AS n FROM strays)
+    SELECT md5('{RUN}|SAL01|' || order_id || CASE WHEN n > 1 THEN '|row|' || n ELSE '' END) AS quarantine_id,
+      order_id AS business_key, payload FROM numbered""",
 )
 def quarantine_orphans(load):
     tables = {"dirty_sales": inputs.dirty_sales(load), "clean_customers": inputs.staged_customers(load)}

@@ -12,10 +12,11 @@ from tablewarden.plans.registry import Loader, query
 
 RUN, AS_OF = "run-1", "2001-08-02 00:00:00"
 COLUMNS = ["customer_id", "status", "total_amount", "order_date"]
-ROW_TEXT_SQL = (
-    "concat_ws('|', customer_id::VARCHAR, coalesce(status, '~'), total_amount::VARCHAR, "
-    "strftime(order_date, '%Y-%m-%d %H:%M:%S'))"
-)
+ROW_TEXT_SQL = "concat_ws('|', " + ", ".join(
+    f"coalesce(length({c}) || ':' || {c}, '-')"
+    for c in ("customer_id::VARCHAR", "status", "total_amount::VARCHAR", "strftime(order_date, '%Y-%m-%d %H:%M:%S')")
+) + ")"
+FINGERPRINT_SQL = f"coalesce(sum(('0x' || substr(md5({ROW_TEXT_SQL}), 1, 16))::UBIGINT::HUGEINT), 0)"
 
 
 def diff_pct_sql(s: str, t: str) -> str:
@@ -23,10 +24,10 @@ def diff_pct_sql(s: str, t: str) -> str:
 
 
 def status_sql(s: str, t: str, tol: str) -> str:
-    pct = diff_pct_sql(s, t)
+    base = f"CASE WHEN {s} = 0 THEN 1 ELSE abs({s}) END"
     return (
-        f"CASE WHEN {s} IS NULL OR {t} IS NULL THEN 'ERROR' WHEN {pct} = 0 THEN 'PASS' "
-        f"WHEN {pct} <= {tol} THEN 'WARN' ELSE 'FAIL' END"
+        f"CASE WHEN {s} IS NULL OR {t} IS NULL THEN 'ERROR' WHEN {s} = {t} THEN 'PASS' "
+        f"WHEN abs({t} - {s}) * 100 <= {tol} * {base} THEN 'WARN' ELSE 'FAIL' END"
     )
 
 
@@ -57,8 +58,11 @@ JOBS = [
            parent=("customer", "c_custkey")),
      "SELECT 0", "SELECT count(*) FROM target t WHERE NOT EXISTS (FROM customer c WHERE c_custkey = customer_id)"),
     (Check(10, "orders_fingerprint", "hash_check", "source", "target", measure=",".join(COLUMNS)),
-     f"SELECT sum(('0x' || substr(md5({ROW_TEXT_SQL}), 1, 8))::BIGINT) FROM source",
-     f"SELECT sum(('0x' || substr(md5({ROW_TEXT_SQL}), 1, 8))::BIGINT) FROM target"),
+     f"SELECT {FINGERPRINT_SQL} FROM source", f"SELECT {FINGERPRINT_SQL} FROM target"),
+    (Check(12, "orders_fingerprint_open", "hash_check", "source", "source", measure=",".join(COLUMNS),
+           source_where="status = 'O'", target_where="status = 'O' AND order_id > 0"),
+     f"SELECT {FINGERPRINT_SQL} FROM source WHERE status = 'O'",
+     f"SELECT {FINGERPRINT_SQL} FROM source WHERE status = 'O' AND order_id > 0"),
     (Check(11, "orders_inactive", "row_count", "source", "target", active=False), None, None),
 ]
 

@@ -89,5 +89,9 @@ def rate_sql(total: str, bad: str) -> str:
     return f"CASE WHEN {total} = 0 THEN 100.0::DOUBLE ELSE round(({total} - {bad}) * 100.0::DOUBLE / {total}, 4) END"
 
 
-def grade_sql(rate: str, minimum: str) -> str:
-    return f"CASE WHEN {rate} >= {minimum} THEN 'PASS' WHEN {rate} >= {minimum} - 5 THEN 'WARN' ELSE 'FAIL' END"
+def grade_sql(total: str, bad: str, minimum: str) -> str:
+    """Status by exact counts: the minimum has four decimals at most."""
+    good, least = f"({total} - {bad}) * 1000000::HUGEINT", f"round({minimum} * 10000)::HUGEINT"
+    return (
+        f"CASE WHEN {good} >= {least} * {total} THEN 'PASS' WHEN {good} >= ({least} - 50000) * {total} THEN 'WARN' ELSE 'FAIL' END"
+    )

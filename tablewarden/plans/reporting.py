@@ -139,7 +139,7 @@ RESULTS = f"""{DAYS}, counts AS ({' UNION ALL '.join(
     f"{x.rule_id} AS violation_count FROM days" for x, _ in DAY_RULES)}),
   rated AS (SELECT *, {rate_sql('total_rows', 'violation_count')} AS pass_rate_pct FROM counts),
   results AS (SELECT *, strftime(day, '%Y%m%d')::BIGINT AS execution_id, day + INTERVAL 6 HOUR AS executed_at,
-    {grade_sql('pass_rate_pct', 'min_pass_pct')} AS status FROM rated)"""
+    {grade_sql('total_rows', 'violation_count', 'min_pass_pct')} AS status FROM rated)"""
 RUNS = f"""{RESULTS}, runs AS (
   SELECT strftime(day, '%Y%m%d')::BIGINT AS execution_id, 'daily' AS pipeline_name, 'scheduler' AS triggered_by,
     day + INTERVAL 5 HOUR AS started_at, day + INTERVAL 5 HOUR + to_seconds(total * 90) AS ended_at,
@@ -333,8 +333,10 @@ def active_alerts(load):
       ranked AS (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY triggered_at DESC, dedup_key,
           magnitude DESC, object NULLS FIRST) AS nth,
         row_number() OVER (PARTITION BY channel, dedup_key ORDER BY triggered_at DESC, magnitude DESC,
-          object NULLS FIRST) AS nth_of_key FROM routed)
-    SELECT channel, alert_type, severity, subject, magnitude, {stamp_sql('triggered_at')} AS triggered_at, dedup_key
+          object NULLS FIRST) AS nth_of_key, count(*) OVER (PARTITION BY channel) AS in_channel,
+        count(*) OVER (PARTITION BY channel, dedup_key) AS of_key FROM routed)
+    SELECT channel, alert_type, severity, subject, magnitude, {stamp_sql('triggered_at')} AS triggered_at, dedup_key,
+      CASE channel WHEN 'email' THEN 0 WHEN 'pagerduty' THEN of_key - 1 ELSE greatest(in_channel - 20, 0) END AS omitted
     FROM ranked WHERE channel = 'email' OR (channel IN ('slack', 'teams') AND nth <= 20)
       OR (channel = 'pagerduty' AND nth_of_key = 1)""",
 )

@@ -6,20 +6,28 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewarden.session import new_path
 
+
 def write_evidence(df: DataFrame, path: str, *, run_date: str, run_id: str) -> None:
-    """Add the rows of one run. Writing the run again replaces its partition, nothing else."""
-    (
-        df.drop("run_date", "run_id")
-        .withColumn("run_date", F.lit(run_date))
-        .withColumn("run_id", F.lit(run_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_date", "run_id")
-        .parquet(path)
-    )
+    """Add the rows of one run. Writing the run again replaces its partition, nothing else, also by no rows."""
+    folder = f"{path}/run_date={_escaped(run_date)}/run_id={_escaped(run_id)}"
+    df.drop("run_date", "run_id").write.mode("overwrite").parquet(folder)
+
+
+def _escaped(value: str) -> str:
+    """A partition value as a folder name, as Spark reads it back."""
+    return "".join(c if c.isalnum() or c in "-_." else "".join(f"%{b:02X}" for b in c.encode()) for c in value)
+
+
+def read_evidence(spark, path: str) -> DataFrame:
+    """All runs of an evidence table; run_date and run_id are text, whatever they look like."""
+    found = spark.read.parquet(path).schema
+    text = T.StructType([T.StructField(n, T.StringType()) for n in ("run_date", "run_id")])
+    own = T.StructType([f for f in found.fields if f.name not in ("run_date", "run_id")] + text.fields)
+    return spark.read.schema(own).parquet(path)
 
 
 def export_reports(

@@ -55,17 +55,28 @@ def table_of(stream: DataFrame, label: str, *, mode: str = "complete") -> DataFr
     """Run a stream over the data at hand and return the table it wrote to the shared folder."""
     spark = stream.sparkSession
     path = new_path(spark, label)
+    _empty_table(spark, stream.schema, path, mode)
     run_available(stream, path, mode=mode, checkpoint=new_path(spark, f"{label}-checkpoint"))
     written = spark.read.parquet(path)
     return written.drop("batch_id") if mode != "complete" else written
 
 
+def _empty_table(spark: SparkSession, schema, path: str, mode: str = "append") -> None:
+    """A table without rows, so that it can be read also when no batch writes to it."""
+    folder = path if mode == "complete" else f"{path}/batch_id=-1"
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(folder)
+
+
 def quarantine_stream(
     stream: DataFrame, rules: Iterable[Rule], *, key: list[str], run_id: str, as_of, clean_path: str,
     bad_path: str, checkpoint: str, payload: list[str] | None = None,
 ) -> StreamingQuery:
     """Good rows to one table, records of bad rows to another; both are written per batch."""
-    rules = list(rules)
+    rules, spark = list(rules), stream.sparkSession
+    none = spark.createDataFrame([], stream.schema)
+    _empty_table(spark, stream.schema, clean_path)
+    bad_schema = quarantine(none, rules, key=key, run_id=run_id, as_of=as_of, payload=payload).schema
+    _empty_table(spark, bad_schema, bad_path)
 
     def write(df: DataFrame, batch: int) -> None:
         good, _ = split(df, rules)
