@@ -37,16 +37,18 @@ def _record(rule: Rule) -> Column:
     )
 
 
-def _filed(df: DataFrame, key: list[str], payload: list[str], run_id: str, at: Column) -> DataFrame:
+def _filed(
+    df: DataFrame, key: list[str], payload: list[str], run_id: str, at: Column, unique_key: bool = False
+) -> DataFrame:
     """Shape rows that carry a ``bad`` struct into quarantine records."""
     row_key = F.col(key[0]).cast("string") if len(key) == 1 else row_text([F.col(k) for k in key])
     identity = F.concat_ws("|", F.lit(run_id), F.col("bad.rule_id"), row_key)
-    # rows under one key are told apart by their rank, so that each has an id of its own; others keep run, rule and key
-    ranked = Window.partitionBy("bad.rule_id", *key).orderBy(F.sha2(F.to_json(F.struct(*payload)), 256))
-    nth = F.row_number().over(ranked)
-    df = df.withColumn("_identity", F.when(nth > 1, F.concat_ws("|", identity, F.lit("row"), nth)).otherwise(identity))
+    if not unique_key:  # rows under one key are told apart by their rank, so that each has an id of its own
+        ranked = Window.partitionBy("bad.rule_id", *key).orderBy(F.sha2(F.to_json(F.struct(*payload)), 256))
+        df = df.withColumn("_nth", F.row_number().over(ranked))
+        identity = F.concat_ws("|", identity, F.when(F.col("_nth") > 1, F.concat(F.lit("row|"), F.col("_nth"))))
     return df.select(
-        F.md5("_identity").alias("quarantine_id"),
+        F.md5(identity).alias("quarantine_id"),
         F.lit(run_id).alias("run_id"),
         "bad.rule_id",
         "bad.schema_name",
@@ -72,15 +74,16 @@ def quarantine(
     run_id: str,
     as_of,
     payload: list[str] | None = None,
+    unique_key: bool = True,
 ) -> DataFrame:
-    """One record per row and broken row rule, from one scan; only bad rows are shuffled, to number those of one key.
+    """One record per row and broken row rule, from one scan and without a shuffle.
 
-    The id depends on run, rule and key, and on the rank by content among bad rows of one key, so running again
-    writes the same records.
+    The id depends on run, rule and key, so running again writes the same records. Where rows can share a key, say so by
+    ``unique_key=False``: bad rows are then shuffled, and the id also depends on the rank by content within the key.
     """
     found = F.array_compact(F.array(*[F.when(rule.bad, _record(rule)) for rule in rules]))
     marked = df.select("*", F.explode(found).alias("bad"))
-    return _filed(marked, key, payload or df.columns, run_id, moment(as_of))
+    return _filed(marked, key, payload or df.columns, run_id, moment(as_of), unique_key)
 
 
 def rule_rows(tables: Tables, rule: Rule) -> DataFrame:

@@ -72,7 +72,7 @@ def test_surplus_rows_of_one_key_have_ids_of_their_own(frame):
     ids = [x.quarantine_id for x in q.quarantine_selected({"t": df}, unique, key=["id"], run_id="r", as_of=AS_OF).collect()]
     again = [x.quarantine_id for x in q.quarantine_selected({"t": df.repartition(3)}, unique, key=["id"], run_id="r", as_of=AS_OF).collect()]
     assert len(set(ids)) == 3 and sorted(ids) == sorted(again)
-    rows = q.quarantine(df, [rule("v = 'b'")], key=["id"], run_id="r", as_of=AS_OF)
+    rows = q.quarantine(df, [rule("v = 'b'")], key=["id"], run_id="r", as_of=AS_OF, unique_key=False)
     assert rows.select("quarantine_id").distinct().count() == 3
 
 
