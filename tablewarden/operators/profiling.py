@@ -114,18 +114,20 @@ def long_texts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def top_values(counts: DataFrame, texts: DataFrame, n: int = TOP_N, by: list[str] = COLUMN) -> DataFrame:
-    """The most frequent values per column as ``v:c|v:c``; ties in value order, long ones by start and digest.
+    """The most frequent values per column as ``v:c|v:c``; ties of any length in the order of their SHA-256.
 
-    Digests of long texts that made it to the top are swapped back for their texts, which takes a
-    second look at the text columns for at most ``n`` values each.
+    Digests of long texts that made it to the top are swapped back for their texts, which takes a second look at the
+    text columns for at most ``n`` values each; so few are broadcast, and the texts stay where they are.
     """
     # NULLs rank last and go afterwards, so that the counts are the same exchange the statistics read
-    order = [F.col("value").isNull().asc(), F.desc("n"), F.asc("value")]
+    tie = F.when(F.col("long_label").isNotNull(), F.right("value", F.lit(64))).otherwise(F.sha2("value", 256))
+    counts = counts.withColumn("_tie", tie)
+    order = [F.col("value").isNull().asc(), F.desc("n"), F.asc("_tie")]
     best = top_per_key(counts, by, order, n).where(F.col("value").isNotNull())
-    wanted = best.where("long_label IS NOT NULL").select(*by, "value")
+    wanted = F.broadcast(best.where("long_label IS NOT NULL").select(*by, "value"))  # n rows per column at most
     found = texts.join(wanted, [*by, "value"], "left_semi").distinct()
     best = best.join(found, [*by, "value"], "left")
-    entry = F.struct((-F.col("n")).alias("rank"), "value", "n", F.coalesce("full_text", "value").alias("shown"))
+    entry = F.struct((-F.col("n")).alias("rank"), "_tie", "n", F.coalesce("full_text", "value").alias("shown"))
     listed = F.transform(
         F.array_sort(F.collect_list(entry)), lambda e: F.concat(e["shown"], F.lit(":"), e["n"].cast("string"))
     )  # at most n entries per column

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablewarden.operators.attach import attach
+
 
 def exact_percentiles(
     df: DataFrame, value: str, probs: dict[str, float], by: list[str] | None = None, buckets: int = 256
@@ -17,15 +19,13 @@ def exact_percentiles(
     """
     by = by or []
     keyed = df.where(F.col(value).isNotNull()).withColumn("_v", F.col(value).cast("double"))
-    if not by:
-        keyed, by = keyed.withColumn("_all", F.lit(1)), ["_all"]
     counts = keyed.groupBy(*by, "_v").agg(F.count("*").alias("_n"))
 
     shares = [i / buckets for i in range(1, buckets)]
     cuts = keyed.groupBy(*by).agg(
         F.percentile_approx("_v", shares, 10000).alias("_cuts"), F.count("*").alias("_total")
     )
-    placed = counts.join(cuts, by).withColumn("_bucket", _cuts_below(buckets)).drop("_cuts")
+    placed = attach(counts, cuts, by).withColumn("_bucket", _cuts_below(buckets)).drop("_cuts")
     sizes = placed.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_size"), F.max("_total").alias("_all_rows"))
     earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("_start", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
@@ -58,7 +58,7 @@ def exact_percentiles(
         position = F.lit(float(prob)) * (F.col("_total") - 1)
         part = position - F.floor(position)
         columns.append((F.col(f"_{label}_lo") * (1 - part) + F.col(f"_{label}_hi") * part).alias(label))
-    return wide.select(*[c for c in by if c != "_all"], *columns)
+    return wide.where("_total IS NOT NULL").select(*by, *columns)
 
 
 def _cuts_below(buckets: int) -> Column:

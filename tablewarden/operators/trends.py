@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewarden.functions.timing import seconds_between
+from tablewarden.operators.attach import attach
 from tablewarden.operators.quantiles import exact_percentiles
 
 
@@ -13,7 +14,7 @@ def zscore_rows(df: DataFrame, value: str, *, by: list[str], limit: float = 3.0)
     """Rows further than ``limit`` sample deviations from the mean of their group."""
     stats = df.groupBy(*by).agg(F.avg(value).alias("group_mean"), F.stddev_samp(value).alias("group_sd"))
     z = F.abs(F.col(value) - F.col("group_mean")) / F.nullif("group_sd", F.lit(0.0))
-    return df.join(stats, by).withColumn("z", z).where(F.col("z") > limit)
+    return attach(df, stats, by).withColumn("z", z).where(F.col("z") > limit)
 
 
 def outlier_counts(df: DataFrame, value: str, *, by: list[str], whisker: float = 1.5) -> DataFrame:
@@ -25,7 +26,7 @@ def outlier_counts(df: DataFrame, value: str, *, by: list[str], whisker: float =
     counts = df.groupBy(*by, value).agg(F.count("*").alias("_n"))
     below = F.sum(F.when(F.col(value) < F.col("low_fence"), F.col("_n")).otherwise(0))
     above = F.sum(F.when(F.col(value) > F.col("high_fence"), F.col("_n")).otherwise(0))
-    return counts.join(fences, by).groupBy(*by, "q1", "q3", "low_fence", "high_fence").agg(
+    return attach(counts, fences, by).groupBy(*by, "q1", "q3", "low_fence", "high_fence").agg(
         F.sum("_n").alias("row_count"), below.alias("below"), above.alias("above")
     )
 

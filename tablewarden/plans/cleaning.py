@@ -10,12 +10,12 @@ from tablewarden.functions.hashing import chosen
 from tablewarden.operators import dedup, defects, publish
 from tablewarden.operators.quarantine import rule_rows
 from tablewarden.operators.rules import Rule, not_in_set, not_positive
-from tablewarden.plans import inputs
+from tablewarden.plans import inputs, profiles
 from tablewarden.plans.registry import Loader, chosen_sql, day_sql, draw_sql, query, stamp_sql
 from tablewarden.plans.rules import row_rule
 from tablewarden.sources import readers, writers
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = [*profiles.BASE, "embeddings"]
 
 
 # --- loading --------------------------------------------------------------------------------
@@ -37,14 +37,8 @@ def table_counts(load):
     return readers.table_counts({t: load(t) for t in TABLES})
 
 
-CATALOG = {
-    "customer": [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"),
-                 ("c_mktsegment", "string")],
-    "orders": [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
-               ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")],
-    "events": [("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"), ("event_type", "string"),
-               ("value", "double"), ("props", "string")],
-}
+CATALOG = {t: list(profiles.COLUMNS[t].items()) for t in profiles.BASE}
+CATALOG["embeddings"] = [("vec_id", "bigint"), ("embedding", "array<float>"), ("label", "int")]
 CATALOG_SQL = "columns_found AS (" + " UNION ALL ".join(
     f"SELECT 'main' AS schema_name, '{t}' AS table_name, '{c}' AS column_name, '{k}' AS data_type, "
     f"{i}::BIGINT AS ordinal, count({c}) AS populated_rows FROM {t}"
@@ -54,7 +48,7 @@ CATALOG_SQL = "columns_found AS (" + " UNION ALL ".join(
 
 
 def catalog(load: Loader):
-    """Columns of three tables with the number of rows that fill them."""
+    """Columns of all given tables with the number of rows that fill them."""
     tables = {t: load(t) for t in CATALOG}
     found = readers.column_catalog(load.spark, tables)
     return found.join(readers.populated_counts(tables), ["table_name", "column_name"])

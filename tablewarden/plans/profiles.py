@@ -24,6 +24,14 @@ COLUMNS = {
              "p_retailprice": "double"},
     "dirty_customers": {c: "string" for c in
                         ("customer_id", "name", "segment", "email", "phone", "country", "signup_date")},
+    "region": {"r_regionkey": "int", "r_name": "string"},
+    "nation": {"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"},
+    "events": {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string", "value": "double",
+               "props": "string"},
+    "pages": {"page_id": "bigint", "url": "string", "html": "string"},
+    "benchmark": {"item_id": "bigint", "text": "string"},
+    "labels": {"doc_id": "bigint", "quality": "int", "toxic": "int"},
+    "conversations": {"conv_id": "bigint", "turn": "bigint", "role": "string", "text": "string"},
     "documents": {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"},
     "clean_customers": {c: "string" for c in
                         ("customer_id", "name", "segment", "email", "phone", "country", "signup_date")},
@@ -40,8 +48,7 @@ def label_sql(value: str) -> str:
     return f"CASE {cases} END"
 
 
-# order of tied values: long ones by their start and digest
-TIE_SQL = "CASE WHEN length(v) > 128 THEN substr(v, 1, 128) || ' sha256:' || sha256(v) ELSE v END"
+TIE_SQL = "sha256(v)"  # order of tied values
 
 
 def column_sql(table: str, column: str, kind: str) -> str:
@@ -93,7 +100,9 @@ def customer_profiles(load):
 
 
 CUSTOMERS = f"{inputs.DIRTY_CUSTOMERS}, profiles AS ({profile_sql('clean_customers', 'dirty_customers')})"
-BASE = ("customer", "orders", "supplier", "part")
+# all given tables but embeddings: vectors have neither an order nor a text form both engines share
+BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages",
+        "benchmark", "labels", "conversations")
 
 
 @query("profile_table", profile_sql("lineitem"))

@@ -64,17 +64,20 @@ def stream_critical_failures(load):
 
 @query(
     "stream_recon_gaps",
-    f"""SELECT {window_sql('15 minutes')}, count(*) AS hits FROM events WHERE value > 100
-    GROUP BY time_bucket(INTERVAL '15 minutes', ts) HAVING count(*) > 1""",
+    f"""SELECT {window_sql('15 minutes')}, sum(floor(value * 10)::BIGINT)::BIGINT AS gap_rows, count(*) FILTER (WHERE floor(value * 10) > 0) AS gaps
+    FROM events GROUP BY time_bucket(INTERVAL '15 minutes', ts) HAVING sum(floor(value * 10)::BIGINT) > {tf.GAP_ROWS_LIMIT}""",
 )
 def stream_recon_gaps(load):
-    found = tf.surge(
-        events(load), F.col("value") > 100, "ts", late=LATE, window=tf.GAP_WINDOW, slide=tf.GAP_WINDOW, limit=1
-    )
-    return bounds(sinks.table_of(found, "gaps"))
+    """A tenth of the value stands for one lost row."""
+    gap = F.floor(F.col("value") * 10).cast("bigint")
+    return bounds(sinks.table_of(tf.gap_windows(events(load), gap, "ts", late=LATE), "gaps"))
 
 
-@query("stream_p95")
+@query(
+    "stream_p95",
+    f"""SELECT {window_sql('1 hour')}, quantile_disc(value, 0.95) AS p95, count(*) AS row_count FROM events
+    GROUP BY time_bucket(INTERVAL '1 hour', ts) HAVING quantile_disc(value, 0.95) > 150""",
+)
 def stream_p95(load):
     found = tf.slow_windows(events(load), "value", "ts", late=LATE, window="1 hour", limit=150)
     return bounds(sinks.table_of(found, "p95"))

@@ -61,6 +61,18 @@ def surge(
     return _bounds(counted.where(F.col("hits") > limit))
 
 
+def gap_windows(
+    df: DataFrame, gap: Column, stamp: str, *, late: str, window: str = GAP_WINDOW, limit: float = GAP_ROWS_LIMIT
+) -> DataFrame:
+    """Tumbling windows in which the gaps of reconciliation add up to more than ``limit`` rows."""
+    summed = (
+        df.withWatermark(stamp, late)
+        .groupBy(F.window(stamp, window).alias("w"))
+        .agg(F.sum(gap).alias("gap_rows"), F.count_if(gap > 0).alias("gaps"))
+    )
+    return _bounds(summed.where(F.col("gap_rows") > limit))
+
+
 def critical_failures(df: DataFrame, condition: Column, stamp: str, *, late: str, window: str = CRITICAL_WINDOW):
     """Tumbling windows with at least one critical failure."""
     return surge(df, condition, stamp, late=late, window=window, slide=window, limit=0)

@@ -87,3 +87,21 @@ def test_orphans_with_a_hot_missing_reference(spark):
     counted = evaluate.evaluate_tables(tables, [rule], run_id="r", as_of="2024-01-01 00:00:00").first()
     assert rows.count() == counted.violation_count == 6000
     assert no_pairs(plan(rows))
+
+
+def test_statistics_meet_rows_without_cross_join_or_hot_group(spark, monkeypatch):
+    from tablewarden.operators import attach, trends
+    from tablewarden.operators.quantiles import exact_percentiles
+
+    rows = spark.createDataFrame([("a", float(i)) for i in range(50)] + [("b", 1.0)], "g string, v double")
+    probs = {"p50": 0.5}
+    for by in ([], ["g"]):
+        text = plan(exact_percentiles(rows, "v", probs, by))
+        assert "CartesianProduct" not in text
+    assert "hashpartitioning(g" not in plan(trends.zscore_rows(rows, "v", by=["g"])).split("BroadcastExchange")[0]
+    few = sorted((x.g, x.p50) for x in exact_percentiles(rows, "v", probs, ["g"]).collect())
+    flagged = trends.zscore_rows(rows, "v", by=["g"], limit=1.5).count()
+    monkeypatch.setattr(attach, "FEW", 1)
+    assert sorted((x.g, x.p50) for x in exact_percentiles(rows, "v", probs, ["g"]).collect()) == few == [("a", 24.5), ("b", 1.0)]
+    salted = trends.zscore_rows(rows, "v", by=["g"], limit=1.5)
+    assert salted.count() == flagged and "_salt" in plan(salted)
