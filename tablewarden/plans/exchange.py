@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tablewarden.functions import masking
 from tablewarden.operators import reports
-from tablewarden.plans import governing, inputs, reporting
+from tablewarden.plans import governing, inputs, quarantines, reporting
 from tablewarden.plans.governing import email_sql, partial_sql
-from tablewarden.plans.registry import day_sql, query, stamp_sql
+from tablewarden.plans.registry import QUERIES, day_sql, query, stamp_sql
 from tablewarden.plans.rules import ALL_RESULTS, SHOWN, SHOWN_SQL, all_results
 from tablewarden.session import new_path
 from tablewarden.sources import readers, writers
@@ -60,6 +61,47 @@ def export_scorecard(load):
     return back.csv(paths[0]).drop("pass_pct")
 
 
+SINCE = "1996-01-01 00:00:00"
+SIX = {
+    "executive_scorecard": reporting.executive_scorecard, "rule_results_detail": reporting.rule_results_detail,
+    "dimension_trend": reporting.dimension_trend, "table_health": reporting.table_health,
+    "quarantine_backlog": quarantines.quarantine_backlog, "active_alerts": reporting.active_alerts,
+}
+# what each report is sorted by, as values that ascend
+ASCENDS = {
+    "executive_scorecard": "named_struct('known', started_at IS NOT NULL, 'at', -unix_micros(CAST(started_at AS timestamp)))",
+    "rule_results_detail": "named_struct('known', executed_at IS NOT NULL, 'at', -unix_micros(CAST(executed_at AS timestamp)))",
+    "dimension_trend": "named_struct('known', run_date IS NOT NULL, 'day', -unix_date(run_date), 'dimension', dimension)",
+    "table_health": "named_struct('missing', health_score_pct IS NULL, 'score', health_score_pct)",
+    "quarantine_backlog": "named_struct('known', open_rows IS NOT NULL, 'rows', -open_rows)",
+    "active_alerts": "named_struct('known', triggered_at IS NOT NULL, 'at', -unix_micros(CAST(triggered_at AS timestamp)))",
+}
+FILTERED = {"executive_scorecard": "started_at", "rule_results_detail": "run_date", "dimension_trend": "run_date"}
+
+
+@query(
+    "export_all_reports",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS report, count(*) AS row_count, 0::BIGINT AS out_of_order FROM ({QUERIES[name].sql})"
+        + (f" WHERE {FILTERED[name]} >= '{SINCE[:10]}'" if name in FILTERED else "")
+        for name in SIX
+    ),
+)
+def export_all_reports(load):
+    """All six exports, filtered by date where they have one, and whether every file is in its order."""
+    found = reports.sorted_reports({name: report(load) for name, report in SIX.items()})
+    paths = writers.export_reports(found, new_path(load.spark, "all-exports"), stamp="20010801_063000", fmt="parquet", since=SINCE)
+    checked = None
+    for name, path in zip(found, paths, strict=True):
+        rows = load.spark.read.parquet(path).select("*", "_metadata.file_name", "_metadata.row_index")
+        earlier = F.lag("_key").over(Window.partitionBy("file_name").orderBy("row_index"))
+        rows = rows.withColumn("_key", F.expr(ASCENDS[name])).withColumn("_out", F.coalesce(earlier > F.col("_key"), F.lit(False)))
+        one = rows.agg(F.count("*").alias("row_count"), F.count_if("_out").alias("out_of_order"))
+        one = one.select(F.lit(name).alias("report"), "row_count", "out_of_order")
+        checked = one if checked is None else checked.unionByName(one)
+    return checked
+
+
 @query(
     "audit_extract",
     f"""WITH {governing.AUDIT} SELECT action, count(*) AS event_count, {stamp_sql(f"TIMESTAMP '{governing.AUDIT_AS_OF}'")}
