@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from tablewarden.llm.common import char_class, flat, query, read, settled, slices, word_hashes
 
 END = 2  # id after each document
-CACHE = 600_000  # distinct pieces of text whose ids a worker remembers
+CACHE = 200_000  # distinct pieces of text whose ids a worker remembers
 TOGETHER = 500  # distinct pieces encoded as one text, and such texts to a call
-SLICE = 8 << 20
+SLICE = 2 << 20  # text whose arrays a task holds at once
 # A blank before one of these bytes starts a new pre-token: no white space begins with them.
 SOLID = char_class([*range(0x21, 0x7F), *range(0xC3, 0xE1), *range(0xE4, 0xF5)])
 LETTER = char_class([*range(0x41, 0x5B), *range(0x61, 0x7B)])
