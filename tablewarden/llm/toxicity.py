@@ -136,7 +136,12 @@ def train(texts: list[bytes | None], labels: np.ndarray, share: float, s: Settin
     order = rng.permutation(len(texts))
     held = int(len(order) * s.calibration)
     fit, check = order[held:], order[:held]
-    keys, before, _ = features(texts)
+    keys, before = [], [0]
+    for low in range(0, len(texts), s.batch):  # a bounded part of the sample at a time
+        rows, counts, _ = features(texts[low : low + s.batch])
+        keys.append(rows)
+        before += (counts[1:] + before[-1]).tolist()
+    keys, before = np.concatenate(keys, axis=1), np.array(before)
     dense = [*kernels, *shifts, model.weights]
     first, second = [np.zeros_like(p) for p in dense], [np.zeros_like(p) for p in dense]
     row_first, row_second = np.zeros_like(table), np.zeros_like(table)
@@ -187,7 +192,8 @@ def train(texts: list[bytes | None], labels: np.ndarray, share: float, s: Settin
 def calibrate(model: Model, texts: list[bytes | None], labels: np.ndarray, share: float, s: Settings) -> None:
     """Thresholds of the languages: the middle of the gap that gives the best F1 when labels have their true shares,
     drawn towards the threshold of all languages where a language has few toxic documents."""
-    raw, language = logits(model, texts)
+    parts = [logits(model, texts[low : low + s.batch]) for low in range(0, len(texts), s.batch)]
+    raw, language = (np.concatenate([np.empty(0, int), *x]) for x in zip(*parts, strict=True)) if parts else logits(model, [])
 
     def best(some: np.ndarray) -> float | None:
         value, label = raw[some], labels[some]
@@ -216,14 +222,19 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, s: Settings, name
     marks = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(label_id).alias("label_id")).agg(
         (F.max(label_col) > 0).cast("int").alias("label")
     )
-    known = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"), may_learn.alias("may")).where("may")
-    known = known.join(marks, F.col("id") == F.col("label_id")).where(F.octet_length(F.coalesce("text", F.lit(b""))) <= s.chars)
-    known = settled(known.select("id", "text", "label", F.xxhash64("id").alias("draw")), "labelled")
+    own = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"), may_learn.alias("may"))
+    own = own.where(F.col("may") & (F.octet_length("text") <= s.chars)).drop("may")
+    # Ids and labels alone are joined and drawn; only the texts of the drawn ids, a bounded number, are fetched.
+    known = own.select("id").distinct().join(marks, F.col("id") == F.col("label_id"))
+    known = settled(known.select("id", "label", F.xxhash64("id").alias("draw")), "labelled")
     share = known.agg(F.avg("label")).first()[0]
-    rows = []
+    drawn = []
     for label in (0, 1):
-        rows += known.where(F.col("label") == label).orderBy("draw", "id", "text").limit(s.rows // 2).collect()
-    texts = [None if r.text is None else bytes(r.text) for r in rows]
+        drawn += known.where(F.col("label") == label).orderBy("draw", "id").limit(s.rows // 2).collect()
+    drawn = docs.sparkSession.createDataFrame(drawn, known.schema)
+    fetched = own.join(F.broadcast(drawn), "id").groupBy("id", "label", "draw").agg(F.min("text").alias("text"))
+    rows = sorted(fetched.collect(), key=lambda r: (r.label, r.draw, r.id))
+    texts = [bytes(r.text) for r in rows]
     return train(texts, np.array([r.label for r in rows], np.int64), share or 0.0, s)
 
 
