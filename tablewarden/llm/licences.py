@@ -21,12 +21,22 @@ TEMPLATES = {
 }
 # A line with one of these words belongs to a file's header, wherever it stands.
 CUE = r"(?i)(\blicen[cs]ed?\b|\bspdx\b|\bcopyright\b|\bcc by\b|\bpermission is hereby\b|\bredistribution and use\b)"
+# Every match of the pattern has one of these; looking for them is much cheaper.
+CUE_PARTS = ("licen", "spdx", "copyright", "cc by", "permission is hereby", "redistribution and use")
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense)(\.[a-z]+)?$"
 TERM = "[a-z0-9]+(?:[.][0-9]+)*"
 THRESHOLD = 0.6
 BROADCAST_TERMS = 100_000
 
 
+def speaks(text: Column) -> Column:
+    """Whether a text has a line that speaks of a licence."""
+    lower, some = F.lower(text), F.lit(False)
+    for part in CUE_PARTS:
+        some = some | lower.contains(part)
+    return F.coalesce(some & text.rlike(CUE), F.lit(False))
+
+
 def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
@@ -105,7 +115,7 @@ def scan(
     named = F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))
     marked = own.select(
         "row", "path", named.alias("is_file"),
-        F.when(F.col("text").rlike(CUE), header_of(F.col("text"))).alias("header"), F.when(named, F.col("text")).alias("whole"),
+        F.when(speaks(F.col("text")), header_of(F.col("text"))).alias("header"), F.when(named, F.col("text")).alias("whole"),
     )
     key = F.struct(F.col("path"), F.when(F.col("path").isNull(), F.xxhash64("header")).otherwise(F.lit(0)).alias("hash"))
     marked = settled(marked.withColumn("key", key), "licence-scan")
@@ -146,9 +156,8 @@ def document_files(docs: DataFrame) -> DataFrame:
     those of a source and language, is the LICENSE of that folder, and the first of a source the LICENSE of the source."""
     names = [F.coalesce(F.col(c), F.lit("none")) for c in ("source", "lang")]
     own = docs.select("doc_id", "text", names[0].alias("source"), names[1].alias("lang"))
-    speak = own.where(F.col("text").rlike(CUE))
-    first = settled(speak.groupBy("source", "lang").agg(F.min("doc_id").alias("first")), "licence-folders")
-    root = first.groupBy("source").agg(F.min("first").alias("first"))
+    speak = settled(own.where(speaks(F.col("text"))).select("doc_id", "source", "lang"), "licence-speakers")
+    root = speak.groupBy("source").agg(F.min("doc_id").alias("first"))
     # The source's own file leaves its folder to the next document there.
     rest = speak.join(root.withColumnRenamed("source", "s"), (F.col("source") == F.col("s")) & (F.col("doc_id") > F.col("first")))
     folder = rest.groupBy("source", "lang").agg(F.min("doc_id").alias("first")).select(
