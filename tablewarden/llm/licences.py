@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import math
+import re
+from collections import Counter
 from collections.abc import Mapping
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewarden.llm.common import query, read, settled
+from tablewarden.llm.quality import let
 
 # Statements of licences as they stand in headers, and the first words of their texts.
 TEMPLATES = {
@@ -27,6 +33,9 @@ LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense)(\.[a-z]+)?$"
 TERM = "[a-z0-9]+(?:[.][0-9]+)*"
 THRESHOLD = 0.6
 BROADCAST_TERMS = 100_000
+GAP = 12  # lines without a cue word inside one header block
+EDGE = 3  # lines next to a block that belong to it, up to an empty one
+SPDX = r"(?i)SPDX-License-Identifier:[ \t(]*([a-z0-9][a-z0-9.+-]*)"
 
 
 def speaks(text: Column) -> Column:
@@ -55,10 +64,9 @@ def header_of(text: Column, cue: str = CUE) -> Column:
 
 
 def matches(texts: DataFrame, templates: Mapping[str, list[str]], threshold: float) -> DataFrame:
-    """(key, licence, similarity) for the best template of the texts (key, whole, part) of a key that reaches the threshold.
+    """(key, licence, similarity) for the templates that a text (key, whole, part) of a key reaches the threshold with.
 
-    The rarity of a term is counted over the templates and all texts that are scanned. Of equal templates the first by
-    name wins; similarities count to six decimals.
+    The rarity of a term is counted over the templates and all texts that are scanned; similarities count to six decimals.
     """
     spark = texts.sparkSession
     rows = [(name, i, part) for name, parts in sorted(templates.items()) for i, part in enumerate(parts)]
@@ -80,11 +88,86 @@ def matches(texts: DataFrame, templates: Mapping[str, list[str]], threshold: flo
     known_norms = known_norms.withColumnRenamed("norm", "known_norm")
     cosine = dots.join(text_norms, ["key", "whole"]).join(known_norms, ["licence", "variant"])
     similarity = F.round(F.col("dot") / (F.col("norm") * F.col("known_norm")), 6)
-    cosine = cosine.select("key", "licence", similarity.alias("similarity")).where(F.col("similarity") >= threshold)
+    return cosine.select("key", "licence", similarity.alias("similarity")).where(F.col("similarity") >= threshold)
+
+
+def nearest(cosine: DataFrame) -> DataFrame:
+    """The licence of each key with the largest similarity, the first by name of equal ones."""
     best = F.min(F.struct((-F.col("similarity")).alias("rank"), F.col("licence"))).alias("best")
     return cosine.groupBy("key").agg(best).select("key", "best.licence", (-F.col("best.rank")).alias("similarity"))
 
 
+@lru_cache(maxsize=1)
+def standards() -> dict[str, list[str]]:
+    """Whole licence texts and standard headers, by licence; from the files LICENCE.txt and LICENCE.header.txt."""
+    found: dict[str, list[str]] = {}
+    for file in sorted(Path(__file__).with_name("texts").glob("*.txt")):
+        found.setdefault(file.name.removesuffix(".txt").removesuffix(".header"), []).append(file.read_text())
+    return found
+
+
+def blocks_of(text: Column) -> Column:
+    """Contiguous header blocks of a text: lines from cue to cue with at most GAP lines between them, and the same with
+    up to EDGE lines on either side that no empty line parts from it."""
+    lines = F.split(text, "\n")
+
+    def blocks(lines: Column) -> Column:
+        at = F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(CUE), i)), lambda i: i.isNotNull())
+        empty = F.filter(F.transform(lines, lambda x, i: F.when(~x.rlike("\\S"), i)), lambda i: i.isNotNull())
+        return let(F.struct(at.alias("at"), empty.alias("empty")), lambda s: cut(lines, s["at"], s["empty"]))
+
+    def cut(lines: Column, at: Column, empty: Column) -> Column:
+        first = F.filter(at, lambda x, i: (i == 0) | (x - F.get(at, i - 1) > GAP))
+        last = F.filter(at, lambda x, i: (i == F.size(at) - 1) | (F.get(at, i + 1) - x > GAP))
+
+        def wide(b: Column) -> Column:
+            low, high = b["low"], b["high"]
+            before = F.array_max(F.filter(empty, lambda x: (x < low) & (x >= low - EDGE)))
+            after = F.array_min(F.filter(empty, lambda x: (x > high) & (x <= high + EDGE)))
+            start = F.coalesce(before + 1, F.greatest(low - EDGE, F.lit(0)))
+            stop = F.coalesce(after - 1, F.least(high + EDGE, F.size(lines) - 1))
+            return F.struct(start.alias("low"), stop.alias("high"))
+
+        spans = F.zip_with(first, last, lambda a, b: F.struct(a.alias("low"), b.alias("high")))
+        spans = F.array_distinct(F.concat(spans, F.transform(spans, wide)))
+        return F.transform(spans, lambda b: F.array_join(F.slice(lines, b["low"] + 1, b["high"] - b["low"] + 1), "\n"))
+
+    return let(lines, blocks)
+
+
+def standard_matches(texts: DataFrame, known: Mapping[str, list[str]], threshold: float) -> DataFrame:
+    """(key, licence, similarity) of the texts (key, part) with the whole texts and headers in ``known``, and of SPDX identifiers.
+
+    The rarity of a term is fixed by ``known``, so that what else is scanned changes nothing. An identifier of a known
+    licence counts as equal to it.
+    """
+    spark = texts.sparkSession
+    counts = [(name, i, Counter(re.findall(TERM, part.lower()))) for name, parts in sorted(known.items()) for i, part in enumerate(parts)]
+    seen = Counter(term for _, _, c in counts for term in c)
+    rare = math.log(1 + len(counts)) + 1  # of a term that no known text has
+    idf = {term: math.log((1 + len(counts)) / (1 + n)) + 1 for term, n in seen.items()}
+    rows = []
+    for name, i, c in counts:
+        weight = {term: (1 + math.log(n)) * idf[term] for term, n in c.items()}
+        norm = math.sqrt(sum(w * w for w in weight.values()))
+        rows += [(term, idf[term], name, i, w / norm) for term, w in weight.items()]
+    table = F.broadcast(spark.createDataFrame(rows, "known_term string, idf double, licence string, variant int, share double"))
+    rarity = F.broadcast(spark.createDataFrame(list(idf.items()), "term string, idf double"))
+    own = texts.select("key", F.xxhash64("part").alias("hash"), F.explode(terms(F.col("part"))).alias("term"))
+    own = own.groupBy("key", "hash", "term").agg(F.count("*").alias("tf")).join(rarity, "term", "left")
+    own = own.select("key", "hash", "term", ((1 + F.log("tf")) * F.coalesce("idf", F.lit(rare))).alias("weight"))
+    own = settled(own, "standard-terms")
+    norms = own.groupBy("key", "hash").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
+    dots = own.join(table, F.col("term") == F.col("known_term")).groupBy("key", "hash", "licence", "variant")
+    dots = dots.agg(F.sum(F.col("weight") * F.col("share")).alias("dot"))
+    cosine = dots.join(norms, ["key", "hash"])
+    cosine = cosine.select("key", "licence", F.round(F.col("dot") / F.col("norm"), 6).alias("similarity"))
+    said = texts.select("key", F.explode(F.regexp_extract_all("part", F.lit(SPDX), F.lit(1))).alias("said"))
+    said = said.select("key", F.regexp_replace(F.lower("said"), "(-only|-or-later|[+])$", "").alias("licence"), F.lit(1.0).alias("similarity"))
+    names = sorted({*known, *TEMPLATES})
+    return cosine.where(F.col("similarity") >= threshold).unionAll(said.where(F.col("licence").isin(names)))
+
+
 def directory(path: Column) -> Column:
     """The directory of a path, empty at the root."""
     return F.regexp_extract(path, "^(.*)/[^/]*$", 1)
@@ -96,13 +179,15 @@ def scan(
     text_col: str = "text",
     *,
     templates: Mapping[str, list[str]] = TEMPLATES,
+    known: Mapping[str, list[str]] | None = None,
     threshold: float = THRESHOLD,
     carry: list[str] | None = None,
 ) -> DataFrame:
     """(row, path, licence, origin, licence_path, similarity) of every file; row has the columns in ``carry``, or all.
 
-    A file is compared by its header, all lines that speak of a licence; a licence file (LICENSE, COPYING, with any ending)
-    also as a whole, the better one counts. What reaches the threshold of cosine is the file's own licence (origin ``file`` or ``header``).
+    A file is compared by all lines that speak of a licence with statements (``templates``), and by each header block with
+    whole texts and standard headers (``known``) and SPDX identifiers; a licence file (LICENSE, COPYING, with any ending) also
+    as a whole. The best one counts. What reaches the threshold of cosine is the file's own licence (origin ``file`` or ``header``).
     Any other file takes the licence of the nearest directory above it that has a licence file (``inherited``), else none.
     Of several licence files in one directory the first by path counts. Rows of one path are scanned together as
     one file, rows without a path by their header alone. A NULL path has no directory and a NULL text no header; empty
@@ -115,7 +200,8 @@ def scan(
     named = F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))
     marked = own.select(
         "row", "path", named.alias("is_file"),
-        F.when(speaks(F.col("text")), header_of(F.col("text"))).alias("header"), F.when(named, F.col("text")).alias("whole"),
+        F.when(speaks(F.col("text")), header_of(F.col("text"))).alias("header"),
+        F.when(speaks(F.col("text")), blocks_of(F.col("text"))).alias("blocks"), F.when(named, F.col("text")).alias("whole"),
     )
     key = F.struct(F.col("path"), F.when(F.col("path").isNull(), F.xxhash64("header")).otherwise(F.lit(0)).alias("hash"))
     marked = settled(marked.withColumn("key", key), "licence-scan")
@@ -123,7 +209,10 @@ def scan(
     texts = marked.where("size(header) > 0").groupBy("key", F.lit(False).alias("whole")).agg(header)
     whole = F.array_join(F.array_sort(F.collect_set("whole")), "\n").alias("part")
     texts = texts.union(marked.where("is_file").groupBy("key", F.lit(True).alias("whole")).agg(whole))
-    found = settled(matches(texts, templates, threshold), "licences")
+    parts = F.concat(F.coalesce("blocks", F.array()), F.when(F.col("is_file"), F.array("whole")).otherwise(F.array()))
+    parts = marked.select("key", F.explode(parts).alias("part")).distinct()
+    similar = matches(texts, templates, threshold).unionAll(standard_matches(parts, standards() if known is None else known, threshold))
+    found = settled(nearest(similar), "licences")
     found = found.select(
         F.col("key.path").alias("known_path"), F.col("key.hash").alias("known_hash"), "licence", "similarity",
         F.coalesce(F.col("key.path").rlike(LICENCE_FILE), F.lit(False)).alias("known_file"),
@@ -136,8 +225,8 @@ def scan(
     steps = F.split("folder", "/")
     above = F.transform(F.sequence(F.lit(0), F.size(steps)), lambda n: F.array_join(F.slice(steps, F.lit(1), n), "/"))
     chains = folders.select("folder", F.explode(F.array_distinct(above)).alias("above"))
-    nearest = F.max(F.struct(F.length("above").alias("depth"), F.col("holder"))).alias("nearest")
-    inherited = chains.join(holders, "above").groupBy("folder").agg(nearest).select(
+    closest = F.max(F.struct(F.length("above").alias("depth"), F.col("holder"))).alias("nearest")
+    inherited = chains.join(holders, "above").groupBy("folder").agg(closest).select(
         F.col("folder").alias("heir"), F.col("nearest.holder").alias("holder")
     )
     joined = marked.join(found, (F.col("key.hash") == F.col("known_hash")) & F.col("path").eqNullSafe(F.col("known_path")), "left")

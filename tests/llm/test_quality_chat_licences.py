@@ -128,3 +128,36 @@ def test_statements_of_the_documents(frame):
 @pytest.mark.parametrize("columns", [["path"], None])
 def test_no_files(frame, columns):
     assert licences.scan(frame([], FILES), carry=columns).count() == 0
+
+
+def commented(text, mark="# "):
+    return "".join(f"{mark}{line}".rstrip() + "\n" for line in text.splitlines())
+
+
+def test_whole_texts_and_standard_headers(frame):
+    known = licences.standards()
+    assert {"apache-2.0", "bsd-3-clause", "gpl-3.0", "mit", "mpl-2.0"} <= set(known)
+    rows, expected = [], {}
+    for name, texts in known.items():
+        for i, text in enumerate(texts):
+            filled = text.replace("<year>", "2019").replace("[yyyy]", "2019").replace("<copyright holders>", "Anna Example")
+            for path, body in ((f"{name}/{i}/LICENSE", filled), (f"h/{name}{i}.py", "#!/bin/sh\n" + commented(filled) + "\nimport os\n" + "x = 1\n" * 400)):
+                rows.append((path, body))
+                expected[path] = name
+        rows.append((f"{name}/0/src/code.py", "code"))
+        expected[f"{name}/0/src/code.py"] = name
+    for said, name in (("MIT", "mit"), ("GPL-3.0-or-later", "gpl-3.0"), ("(Apache-2.0 OR MIT)", "apache-2.0"), ("No-Such-1.0", None)):
+        rows.append((f"spdx/{said}.c", f"/* SPDX-License-Identifier: {said} */\nint x;"))
+        expected[f"spdx/{said}.c"] = name
+    found = licences.scan(frame([(*r, "k", "l", "f") for r in rows], FILES)).collect()
+    assert {r.path: r.licence for r in found} == expected
+
+
+def test_other_files_do_not_change_a_similarity(frame):
+    header = ("h.py", commented(licences.standards()["gpl-3.0"][0]))
+    others = [(f"o{i}", "the software license of a program is provided to any person\n" * (i + 1)) for i in range(30)]
+    alone, among = (
+        {r.path: r.similarity for r in licences.scan(frame([(*r, "k", "l", "f") for r in rows], FILES)).collect()}["h.py"]
+        for rows in ([header], [header, *others])
+    )
+    assert alone == among
