@@ -246,15 +246,19 @@ def document_files(docs: DataFrame) -> DataFrame:
     names = [F.coalesce(F.col(c), F.lit("none")) for c in ("source", "lang")]
     own = docs.select("doc_id", "text", names[0].alias("source"), names[1].alias("lang"))
     speak = settled(own.where(speaks(F.col("text"))).select("doc_id", "source", "lang"), "licence-speakers")
-    root = speak.groupBy("source").agg(F.min("doc_id").alias("first"))
+    # Ids may repeat in other sources and languages: a file is told by all three.
+    place = F.struct("doc_id", "lang")
+    root = speak.where("doc_id IS NOT NULL").groupBy("source").agg(F.min(place).alias("first"))
     # The source's own file leaves its folder to the next document there.
-    rest = speak.join(root.withColumnRenamed("source", "s"), (F.col("source") == F.col("s")) & (F.col("doc_id") > F.col("first")))
+    rest = speak.join(root.withColumnRenamed("source", "s"), (F.col("source") == F.col("s")) & (place > F.col("first")))
     folder = rest.groupBy("source", "lang").agg(F.min("doc_id").alias("first")).select(
-        "first", F.concat_ws("/", "source", "lang", F.lit("LICENSE")).alias("name")
+        "source", "lang", "first", F.concat_ws("/", "source", "lang", F.lit("LICENSE")).alias("name")
     )
-    named = root.select("first", F.concat_ws("/", "source", F.lit("LICENSE")).alias("name")).union(folder)
+    top = root.select("source", "first.lang", F.col("first.doc_id").alias("first"), F.concat_ws("/", "source", F.lit("LICENSE")).alias("name"))
+    named = top.union(folder).select(F.col("source").alias("own_source"), F.col("lang").alias("own_lang"), "first", "name")
     plain = F.concat_ws("/", "source", "lang", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")))
-    joined = own.join(named, F.col("doc_id") == F.col("first"), "left")
+    same = (F.col("doc_id") == F.col("first")) & (F.col("source") == F.col("own_source")) & (F.col("lang") == F.col("own_lang"))
+    joined = own.join(named, same, "left")
     return joined.select("doc_id", F.coalesce("name", plain).alias("path"), "text")
 
 

@@ -161,3 +161,12 @@ def test_other_files_do_not_change_a_similarity(frame):
         for rows in ([header], [header, *others])
     )
     assert alone == among
+
+
+def test_one_id_in_two_sources(frame):
+    mit = "Released under the MIT License."
+    rows = [(1, mit, "en", "a"), (1, mit, "en", "b"), (1, mit, "de", "a"), (2, mit, "en", "a"), (2, mit, "de", "b"), (2, "prose", "en", "b")]
+    found = licences.document_files(frame(rows, "doc_id bigint, text string, lang string, source string")).collect()
+    assert sorted((r.doc_id, r.path) for r in found) == [
+        (1, "a/LICENSE"), (1, "a/en/LICENSE"), (1, "b/LICENSE"), (2, "a/en/2"), (2, "b/de/LICENSE"), (2, "b/en/2"),
+    ]
