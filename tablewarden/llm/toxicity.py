@@ -15,6 +15,7 @@ from tablewarden.llm.decontaminate import LETTERS
 BITS = 16  # log2 of the rows of the embedding table
 STEMS = (4, 6)  # numbers of leading bytes of a word that have embeddings of their own
 BATCH_BYTES = 1 << 20
+BINS, FURTHEST = 64, 60  # raw answers are counted in bins of 1/64 between -60 and 60
 
 # Frequent function words that tell the languages apart.
 FUNCTION_WORDS = {
@@ -40,7 +41,7 @@ class Settings:
     steps: int = 320  # at least so many batches, in whole passes over the sample
     batch: int = 64
     rate: float = 0.01
-    calibration: float = 0.2  # share of the sample kept for the thresholds
+    calibration: float = 0.2  # share of the sample that is not fitted but kept, with all rows outside of it, for the thresholds
     trust: int = 20  # toxic documents of a language at which its own threshold counts as much as the common one
     seed: int = 7
 
@@ -53,6 +54,7 @@ class Model:
     weights: np.ndarray
     bias: float
     thresholds: np.ndarray = field(default_factory=lambda: np.zeros(OTHER + 1))
+    fitted: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))  # which texts of the sample were fitted
 
 
 def features(texts: list[bytes | None]):
@@ -136,6 +138,7 @@ def train(texts: list[bytes | None], labels: np.ndarray, share: float, s: Settin
     order = rng.permutation(len(texts))
     held = int(len(order) * s.calibration)
     fit, check = order[held:], order[:held]
+    model.fitted = np.sort(fit)
     keys, before = [], [0]
     for low in range(0, len(texts), s.batch):  # a bounded part of the sample at a time
         rows, counts, _ = features(texts[low : low + s.batch])
@@ -185,39 +188,57 @@ def train(texts: list[bytes | None], labels: np.ndarray, share: float, s: Settin
             row_second[touched] += 0.001 * (total * total - row_second[touched])
             table[touched] -= rate * row_first[touched] / (np.sqrt(row_second[touched]) + 1e-8)
             table[-1] = 0
-    calibrate(model, [texts[i] for i in check], labels[check], share, s)
+    raw, language = held_answers(model, [texts[i] for i in check], s)
+    found = pd.DataFrame({"language": language, "label": labels[check], "raw": raw})
+    found["bin"] = np.floor(np.clip(raw, -FURTHEST, FURTHEST) * BINS).astype(int)
+    counts = found.groupby(["language", "label", "bin"]).raw.agg(n="size", low="min", high="max").reset_index()
+    totals = [(k, label, part) for k in range(OTHER + 1) for label, part in ((0, 1 - share), (1, share))]
+    calibrate(model, counts, pd.DataFrame(totals, columns=["language", "label", "n"]), s)
     return model
 
 
-def calibrate(model: Model, texts: list[bytes | None], labels: np.ndarray, share: float, s: Settings) -> None:
+def held_answers(model: Model, texts: list[bytes | None], s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    parts = [logits(model, texts[low : low + s.batch]) for low in range(0, len(texts), s.batch)] or [logits(model, [])]
+    raw, language = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return raw, language
+
+
+def calibrate(model: Model, counts: pd.DataFrame, totals: pd.DataFrame, s: Settings) -> None:
     """Thresholds of the languages: the middle of the gap that gives the best F1 when labels have their true shares,
-    drawn towards the threshold of all languages where a language has few toxic documents."""
-    parts = [logits(model, texts[low : low + s.batch]) for low in range(0, len(texts), s.batch)]
-    raw, language = (np.concatenate([np.empty(0, int), *x]) for x in zip(*parts, strict=True)) if parts else logits(model, [])
+    drawn towards the threshold of all languages where a language has few toxic documents.
+
+    ``counts`` (language, label, bin, n, low, high) are raw answers of labelled documents outside of the fit, ``totals``
+    (language, label, n) all labelled documents.
+    """
 
-    def best(some: np.ndarray) -> float | None:
-        value, label = raw[some], labels[some]
-        if len(set(label.tolist())) < 2:
+    def best(own: pd.DataFrame, every: pd.DataFrame) -> float | None:
+        n, true = own.groupby("label").n.sum(), every.groupby("label").n.sum()
+        if len(n) < 2:
             return None
-        weight = np.where(label == 1, share / label.mean(), (1 - share) / (1 - label.mean()))
-        order = np.argsort(-value, kind="stable")
-        value, hit, false = value[order], np.cumsum((weight * label)[order]), np.cumsum((weight * (1 - label))[order])
-        f1 = 2 * hit / (hit + false + (weight * label).sum())
-        k = int(np.argmax(f1))
-        return float((value[k] + value[min(k + 1, len(value) - 1)]) / 2)
-
-    everywhere = best(np.ones(len(raw), bool))
+        table = own.pivot_table(index="bin", columns="label", values="n", aggfunc="sum", fill_value=0).sort_index(ascending=False)
+        ends = own.groupby("bin").agg(low=("low", "min"), high=("high", "max")).sort_index(ascending=False)
+        hit, false = ((table[label] * (true[label] / n[label])).cumsum().to_numpy() for label in (1, 0))
+        k = int(np.argmax(2 * hit / (hit + false + true[1])))
+        low = float(ends.low.iloc[k])
+        return (low + float(ends.high.iloc[k + 1])) / 2 if k + 1 < len(ends) else low
+
+    everywhere = best(counts, totals)
     everywhere = 0.0 if everywhere is None else everywhere
     model.thresholds[:] = everywhere
     for k in range(OTHER):
-        own = best(language == k)
+        part = counts[counts.language == k]
+        own = best(part, totals[totals.language == k])
         if own is not None:
-            weight = labels[language == k].sum() / (labels[language == k].sum() + s.trust)
+            toxic = part.n[part.label == 1].sum()
+            weight = toxic / (toxic + s.trust)
             model.thresholds[k] = weight * own + (1 - weight) * everywhere
 
 
-def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, s: Settings, names: tuple[str, str, str, str]) -> Model:
-    """Train on the driver with a bounded sample: the labelled documents with the smallest hashed ids."""
+def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, s: Settings, names: tuple[str, str, str, str]) -> tuple[Model, DataFrame]:
+    """Train on the driver with a bounded sample: the labelled documents with the smallest hashed ids.
+
+    Also (id, label, fitted) of all documents that may be learned from.
+    """
     id_col, text_col, label_id, label_col = (f"`{x}`" for x in names)
     marks = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(label_id).alias("label_id")).agg(
         (F.max(label_col) > 0).cast("int").alias("label")
@@ -235,7 +256,11 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, s: Settings, name
     fetched = own.join(F.broadcast(drawn), "id").groupBy("id", "label", "draw").agg(F.min("text").alias("text"))
     rows = sorted(fetched.collect(), key=lambda r: (r.label, r.draw, r.id))
     texts = [bytes(r.text) for r in rows]
-    return train(texts, np.array([r.label for r in rows], np.int64), share or 0.0, s)
+    model = train(texts, np.array([r.label for r in rows], np.int64), share or 0.0, s)
+    used = docs.sparkSession.createDataFrame([(rows[i].id,) for i in model.fitted], known.select("id").schema)
+    model.fitted = np.empty(0, np.int64)
+    used = F.broadcast(used.withColumn("fitted", F.lit(True)))
+    return model, known.join(used, "id", "left").select("id", "label", F.coalesce("fitted", F.lit(False)).alias("fitted"))
 
 
 def score_toxicity(
@@ -252,29 +277,45 @@ def score_toxicity(
 ) -> DataFrame:
     """(row, score) of every document; row has the columns in ``carry``, or all. Scores are seen from the text alone.
 
-    ``may_learn`` marks documents whose labels may be used; a sample of at most ``settings.rows`` of them is.
+    ``may_learn`` marks documents whose labels may be used; at most ``settings.rows`` of them are fitted, all others set
+    the thresholds.
     A document with several labels is toxic if one says so; NULL labels are left out. NULL and wordless texts have the
     score of an empty text; without both labels every score is that of the one label, and without any label low.
     The language that picks the threshold is told by function words of the text. Repeated rows are scored each.
     """
     s = settings or Settings()
-    model = fit(docs, labels, may_learn, s, (id_col, text_col, label_id, label_col))
+    model, known = fit(docs, labels, may_learn, s, (id_col, text_col, label_id, label_col))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    @F.pandas_udf("raw double, language int")
+    def answers(texts: pd.Series) -> pd.DataFrame:
         done, batch, size = [], [], 0
         for text in texts:
             batch.append(text)
             size += len(text or b"")
             if size > BATCH_BYTES:
-                done.append(scores(shared.value, batch))
+                done.append(logits(shared.value, batch))
                 batch, size = [], 0
-        done.append(scores(shared.value, batch))
-        return pd.Series(np.concatenate(done).astype(float))
+        done.append(logits(shared.value, batch))
+        raw, language = (np.concatenate(x) for x in zip(*done, strict=True))
+        return pd.DataFrame({"raw": raw.astype(float), "language": language.astype(np.int32)})
 
     carried = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.struct("*")
-    return docs.select(carried.alias("row"), score(F.col(f"`{text_col}`").cast("binary")).alias("score"))
+    seen = docs.select(
+        carried.alias("row"), F.col(f"`{id_col}`").alias("id"), may_learn.alias("may"), answers(F.col(f"`{text_col}`").cast("binary")).alias("a")
+    )
+    seen = settled(seen.select("row", "id", "may", "a.*"), "toxicity")  # texts are answered once, for the thresholds and the scores
+    near = F.greatest(F.lit(-FURTHEST), F.least(F.lit(FURTHEST), F.col("raw")))
+    found = seen.where("may").select("id", "raw", "language").join(known, "id")
+    found = found.groupBy("language", "label", "fitted", F.floor(near * BINS).cast("int").alias("bin"))
+    found = found.agg(F.count("*").alias("n"), F.min("raw").alias("low"), F.max("raw").alias("high"))
+    columns = ["language", "label", "fitted", "bin", "n", "low", "high"]
+    counts = pd.DataFrame([tuple(r) for r in found.select(columns).collect()], columns=columns)
+    if counts.label.nunique() == 2:
+        calibrate(model, counts[~counts.fitted.astype(bool)], counts, s)
+    threshold = F.get(F.array(*[F.lit(float(t)) for t in model.thresholds]), F.col("language"))
+    off = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("raw") - threshold))
+    return seen.select("row", (1 / (1 + F.exp(-off))).alias("score"))
 
 
 def held_out(doc_id: Column) -> Column:

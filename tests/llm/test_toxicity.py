@@ -61,3 +61,23 @@ def test_odd_and_empty_tables(odd_docs, no_docs, frame):
         assert got.count() == odd_docs.count() and got.where("score IS NULL OR score NOT BETWEEN 0 AND 1").count() == 0
         assert got.select("row.*").columns == odd_docs.columns
     assert tx.score_toxicity(no_docs, labels, F.lit(True), settings=SMALL).count() == 0
+
+
+def test_thresholds_see_every_labelled_row_outside_of_the_fit(spark, frame, monkeypatch):
+    """A language whose toxic rows are few in the fitted sample but many among the labels."""
+    draw = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(900):
+        tongue = "le la les des et une du dans est" if i % 3 == 0 else "the of and to in is that for with"
+        rows.append((i, f"{tongue} {' '.join(draw.choice(words, 20))}{' vile' if i % 2 else ''}", int(i % 2)))
+    docs = frame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = frame([(r[0], r[2]) for r in rows], "doc_id bigint, toxic int")
+    seen = []
+    inner = tx.calibrate
+    monkeypatch.setattr(tx, "calibrate", lambda model, counts, totals, s: (seen.append((counts.copy(), totals.copy())), inner(model, counts, totals, s))[1])
+    got = tx.score_toxicity(docs, labels, F.lit(True), settings=tx.Settings(rows=100, steps=60), carry=["doc_id"]).collect()
+    counts, totals = seen[-1]
+    assert counts.n.sum() == 900 - 80 and totals.n.sum() == 900
+    assert totals[totals.language == tx.LANGUAGES.index("fr")].n.sum() == 300
+    assert np.mean([(r.score >= 0.5) == bool(r.row.doc_id % 2) for r in got]) > 0.9
