@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -15,6 +16,7 @@ from tablewarden.llm.decontaminate import LETTERS
 BITS = 16  # log2 of the rows of the embedding table
 STEMS = (4, 6)  # numbers of leading bytes of a word that have embeddings of their own
 BATCH_BYTES = 1 << 20
+PIECE = 1 << 16  # words that training answers at once
 BINS, FURTHEST = 64, 60  # raw answers are counted in bins of 1/64 between -60 and 60
 
 # Frequent function words that tell the languages apart.
@@ -30,11 +32,10 @@ OTHER = len(LANGUAGES)
 
 @dataclass
 class Settings:
-    """``rows`` bounds the labelled sample, half of it of each label where there are enough; ``chars`` the length of a
-    text in it. Scores use every whole text."""
+    """``rows`` bounds the labelled sample, half of it of each label where there are enough. Texts are whole, whatever
+    their length, in the sample and in the scores."""
 
     rows: int = 5000
-    chars: int = 40_000
     dim: int = 16
     filters: int = 16
     widths: tuple[int, ...] = (1, 2, 3)
@@ -78,6 +79,95 @@ def features(texts: list[bytes | None]):
     return np.stack([(k >> U64(64 - BITS)).astype(np.int32) for k in keys]), before, language
 
 
+def cuts(text: bytes) -> list[bytes]:
+    """A text in parts of about BATCH_BYTES that end between words."""
+    parts, low = [], 0
+    while len(text) - low > BATCH_BYTES:
+        high = low + BATCH_BYTES
+        while high < len(text) and LETTERS[text[high]]:
+            high += 1
+        parts.append(text[low:high])
+        low = high
+    return [*parts, text[low:]]
+
+
+class Sample:
+    """Table rows of the words of whole texts, in a file of the driver's temporary folder that is read piece by piece."""
+
+    def __init__(self):
+        self.file = tempfile.TemporaryFile()
+        self.starts, self.sizes = [], []
+        self.words = 0
+
+    def add(self, texts: list[bytes | None]) -> None:
+        parts = [cuts(x or b"") for x in texts]
+        for own in parts:
+            self.starts.append(self.words)
+            for part in own:
+                rows, _, _ = features([part])
+                self.file.write(np.ascontiguousarray(rows.T).tobytes())
+                self.words += rows.shape[1]
+            self.sizes.append(self.words - self.starts[-1])
+
+    def ordered(self, order: list[int]) -> Sample:
+        self.starts, self.sizes = [self.starts[i] for i in order], [self.sizes[i] for i in order]
+        return self
+
+    def read(self, text: int, low: int, high: int) -> np.ndarray:
+        """Rows of the words from low to high; places after the last word are empty (the last row of the table)."""
+        stems, size = 1 + len(STEMS), self.sizes[text]
+        n = max(0, min(high, size) - low)
+        self.file.seek((self.starts[text] + low) * stems * 4)
+        rows = np.frombuffer(self.file.read(n * stems * 4), np.int32).reshape(n, stems).T
+        return np.concatenate([rows, np.full((stems, high - low - n), 1 << BITS, np.int32)], axis=1)
+
+
+def strongest(model: Model, sample: Sample, own: np.ndarray, most: int):
+    """Per width: the largest answer of each filter in each text, and the table rows of the words that give it.
+
+    A text longer than PIECE words is answered in pieces that overlap, so memory does not grow with its length.
+    """
+    found = [
+        (np.full((len(own), k.shape[2]), -np.inf, np.float32), np.empty((1 + len(STEMS), len(own), k.shape[2], len(k)), np.int32))
+        for k in model.filters
+    ]
+    group: list[tuple[int, np.ndarray]] = []
+
+    def answer() -> None:
+        rows = np.concatenate([r for _, r in group], axis=1)
+        edges = np.cumsum([0, *(r.shape[1] for _, r in group)])
+        x = model.table[rows[0]]
+        for more in rows[1:]:
+            x += model.table[more]
+        for kernel, (best, places) in zip(model.filters, found, strict=True):
+            width, n = len(kernel), len(x) - len(kernel) + 1
+            value = x[:n] @ kernel[0]
+            for j in range(1, width):
+                value += x[j : j + n] @ kernel[j]
+            for (k, _), low, high in zip(group, edges[:-1], edges[1:], strict=True):
+                at = low + value[low : high - width + 1].argmax(axis=0)
+                top = value[at, np.arange(len(at))]
+                better = np.flatnonzero(top > best[k])
+                best[k, better] = top[better]
+                for j in range(width):
+                    places[:, k, better, j] = rows[:, at[better] + j]
+        group.clear()
+
+    words = 0
+    for k, text in enumerate(own.tolist()):
+        windows = sample.sizes[text] + 1
+        for low in range(0, windows, PIECE):
+            high = min(low + PIECE, windows) + most - 1
+            if group and words + high - low > PIECE:
+                answer()
+                words = 0
+            group.append((k, sample.read(text, low, high)))
+            words += high - low
+    if group:
+        answer()
+    return found
+
+
 def padded(rows: np.ndarray, before: np.ndarray, most: int):
     """Rows with ``most`` empty places (the last row of the table) after each text, and the first place of each text."""
     sizes = np.diff(before)
@@ -123,7 +213,24 @@ def scores(model: Model, texts: list[bytes | None]) -> np.ndarray:
 
 
 def train(texts: list[bytes | None], labels: np.ndarray, share: float, s: Settings) -> Model:
-    """Fit on labelled texts by Adam; ``share`` is the part of label 1 among all labelled documents."""
+    """Fit on labelled texts and set the thresholds by those of them that are not fitted."""
+    sample = Sample()
+    sample.add(texts)
+    model = learn(sample, labels, share, s)
+    if not len(model.fitted):
+        return model
+    check = np.setdiff1d(np.arange(len(texts)), model.fitted)
+    raw, language = held_answers(model, [texts[i] for i in check], s)
+    found = pd.DataFrame({"language": language, "label": labels[check], "raw": raw})
+    found["bin"] = np.floor(np.clip(raw, -FURTHEST, FURTHEST) * BINS).astype(int)
+    counts = found.groupby(["language", "label", "bin"]).raw.agg(n="size", low="min", high="max").reset_index()
+    totals = [(k, label, part) for k in range(OTHER + 1) for label, part in ((0, 1 - share), (1, share))]
+    calibrate(model, counts, pd.DataFrame(totals, columns=["language", "label", "n"]), s)
+    return model
+
+
+def learn(sample: Sample, labels: np.ndarray, share: float, s: Settings) -> Model:
+    """Fit by Adam, without thresholds; ``share`` is the part of label 1 among all labelled documents."""
     rng = np.random.default_rng(s.seed)
     most = max(s.widths)
     table = rng.normal(0, 0.1, ((1 << BITS) + 1, s.dim)).astype(np.float32)
@@ -135,16 +242,10 @@ def train(texts: list[bytes | None], labels: np.ndarray, share: float, s: Settin
         model.weights[:] = 0
         model.bias = 4.0 if share > 0.5 else -4.0
         return model
-    order = rng.permutation(len(texts))
+    order = rng.permutation(len(labels))
     held = int(len(order) * s.calibration)
-    fit, check = order[held:], order[:held]
+    fit = order[held:]
     model.fitted = np.sort(fit)
-    keys, before = [], [0]
-    for low in range(0, len(texts), s.batch):  # a bounded part of the sample at a time
-        rows, counts, _ = features(texts[low : low + s.batch])
-        keys.append(rows)
-        before += (counts[1:] + before[-1]).tolist()
-    keys, before = np.concatenate(keys, axis=1), np.array(before)
     dense = [*kernels, *shifts, model.weights]
     first, second = [np.zeros_like(p) for p in dense], [np.zeros_like(p) for p in dense]
     row_first, row_second = np.zeros_like(table), np.zeros_like(table)
@@ -154,24 +255,20 @@ def train(texts: list[bytes | None], labels: np.ndarray, share: float, s: Settin
         for low in range(0, len(fit), s.batch):
             step += 1
             own = fit[low : low + s.batch]
-            pick = np.concatenate([np.arange(before[i], before[i + 1]) for i in own])
-            edges = np.cumsum([0, *(before[own + 1] - before[own])])
-            rows, begin, end = padded(keys[:, pick], edges, most)
-            x, found = pooled(model, rows, begin, end, most)
-            hidden = np.concatenate([np.maximum(z, 0) for _, z in found], axis=1)
+            found = strongest(model, sample, own, most)
+            hidden = np.concatenate([np.maximum(z + shift, 0) for (z, _), shift in zip(found, shifts, strict=True)], axis=1)
             error = (1 / (1 + np.exp(-(hidden @ model.weights + model.bias))) - labels[own]).astype(np.float32) / len(own)
             back = np.outer(error, model.weights) * (hidden > 0)
             grads_kernel, grads_shift, at_rows, at_grads = [], [], [], []
-            for k, (answer, _) in enumerate(found):
+            for k, (_, places) in enumerate(found):
                 width = len(kernels[k])
                 part = back[:, k * s.filters : (k + 1) * s.filters]
-                best = np.stack([b + answer[b : e + most - width + 1].argmax(axis=0) for b, e in zip(begin, end, strict=True)])
                 grads_shift.append(part.sum(axis=0))
                 grad = np.zeros_like(kernels[k])
                 for j in range(width):  # only the largest window of each filter learns
-                    seen = x[best + j]
+                    seen = table[places[..., j]].sum(axis=0)
                     grad[j] = np.einsum("bfd,bf->df", seen, part)
-                    at_rows.append((best + j).ravel())
+                    at_rows.append(places[..., j].reshape(len(places), -1))
                     at_grads.append((part[:, :, None] * kernels[k][j].T[None]).reshape(-1, s.dim))
                 grads_kernel.append(grad)
             rate = s.rate * (1 - 0.9**step) ** -1 * (1 - 0.999**step) ** 0.5
@@ -180,20 +277,14 @@ def train(texts: list[bytes | None], labels: np.ndarray, share: float, s: Settin
                 b += 0.001 * (g * g - b)
                 p -= (rate * a / (np.sqrt(b) + 1e-8)).astype(p.dtype)
             model.bias -= s.rate * float(error.sum())
-            places, grads = np.concatenate(at_rows), np.concatenate(at_grads)
-            touched, which = np.unique(rows[:, places].ravel(), return_inverse=True)
+            rows, grads = np.concatenate(at_rows, axis=1), np.concatenate(at_grads)
+            touched, which = np.unique(rows.ravel(), return_inverse=True)
             total = np.zeros((len(touched), s.dim), np.float32)
             np.add.at(total, which, np.concatenate([grads] * len(rows)))
             row_first[touched] += 0.1 * (total - row_first[touched])
             row_second[touched] += 0.001 * (total * total - row_second[touched])
             table[touched] -= rate * row_first[touched] / (np.sqrt(row_second[touched]) + 1e-8)
             table[-1] = 0
-    raw, language = held_answers(model, [texts[i] for i in check], s)
-    found = pd.DataFrame({"language": language, "label": labels[check], "raw": raw})
-    found["bin"] = np.floor(np.clip(raw, -FURTHEST, FURTHEST) * BINS).astype(int)
-    counts = found.groupby(["language", "label", "bin"]).raw.agg(n="size", low="min", high="max").reset_index()
-    totals = [(k, label, part) for k in range(OTHER + 1) for label, part in ((0, 1 - share), (1, share))]
-    calibrate(model, counts, pd.DataFrame(totals, columns=["language", "label", "n"]), s)
     return model
 
 
@@ -244,7 +335,7 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, s: Settings, name
         (F.max(label_col) > 0).cast("int").alias("label")
     )
     own = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"), may_learn.alias("may"))
-    own = own.where(F.col("may") & (F.octet_length("text") <= s.chars)).drop("may")
+    own = own.where("may").drop("may")
     # Ids and labels alone are joined and drawn; only the texts of the drawn ids, a bounded number, are fetched.
     known = own.select("id").distinct().join(marks, F.col("id") == F.col("label_id"))
     known = settled(known.select("id", "label", F.xxhash64("id").alias("draw")), "labelled")
@@ -254,10 +345,14 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, s: Settings, name
         drawn += known.where(F.col("label") == label).orderBy("draw", "id").limit(s.rows // 2).collect()
     drawn = docs.sparkSession.createDataFrame(drawn, known.schema)
     fetched = own.join(F.broadcast(drawn), "id").groupBy("id", "label", "draw").agg(F.min("text").alias("text"))
-    rows = sorted(fetched.collect(), key=lambda r: (r.label, r.draw, r.id))
-    texts = [bytes(r.text) for r in rows]
-    model = train(texts, np.array([r.label for r in rows], np.int64), share or 0.0, s)
-    used = docs.sparkSession.createDataFrame([(rows[i].id,) for i in model.fitted], known.select("id").schema)
+    sample, rows = Sample(), []
+    for r in fetched.toLocalIterator():  # features go to a file text by text; the driver never holds all texts
+        sample.add([bytes(r.text)])
+        rows.append((r.label, r.draw, r.id))
+    order = sorted(range(len(rows)), key=rows.__getitem__)
+    rows = [rows[i] for i in order]
+    model = learn(sample.ordered(order), np.array([label for label, _, _ in rows], np.int64), share or 0.0, s)
+    used = docs.sparkSession.createDataFrame([(rows[i][2],) for i in model.fitted], known.select("id").schema)
     model.fitted = np.empty(0, np.int64)
     used = F.broadcast(used.withColumn("fitted", F.lit(True)))
     return model, known.join(used, "id", "left").select("id", "label", F.coalesce("fitted", F.lit(False)).alias("fitted"))

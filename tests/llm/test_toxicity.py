@@ -81,3 +81,27 @@ def test_thresholds_see_every_labelled_row_outside_of_the_fit(spark, frame, monk
     assert counts.n.sum() == 900 - 80 and totals.n.sum() == 900
     assert totals[totals.language == tx.LANGUAGES.index("fr")].n.sum() == 300
     assert np.mean([(r.score >= 0.5) == bool(r.row.doc_id % 2) for r in got]) > 0.9
+
+
+def test_labelled_texts_of_any_length_are_learned(frame):
+    rows = [(i, ("good day " * 6000) + ("vile " if i % 2 else "fine ") + "good day", i % 2) for i in range(60)]
+    assert min(len(r[1]) for r in rows) > 40_000
+    docs, labels = frame([r[:2] for r in rows], "doc_id bigint, text string"), frame([(r[0], r[2]) for r in rows], "doc_id bigint, toxic int")
+    got = tx.score_toxicity(docs, labels, F.lit(True), settings=tx.Settings(rows=60, steps=40), carry=["doc_id"]).collect()
+    assert all((r.score >= 0.5) == bool(r.row.doc_id % 2) for r in got)
+
+
+def test_pieces_give_the_answers_of_the_whole(monkeypatch):
+    draw = np.random.default_rng(1)
+    texts = [" ".join(draw.choice([f"w{i}" for i in range(90)], n)).encode() for n in (1, 300, 0, 64, 65, 7)] + [b"x" * 50 + b" end"]
+    model = tx.train(texts * 4, np.arange(28) % 2, 0.5, tx.Settings(steps=5))
+    sample = tx.Sample()
+    sample.add(texts)
+    whole = tx.strongest(model, sample, np.arange(7), 3)
+    monkeypatch.setattr(tx, "PIECE", 32)
+    monkeypatch.setattr(tx, "BATCH_BYTES", 40)
+    again = tx.Sample()
+    again.add(texts)
+    assert again.sizes == sample.sizes
+    for (a, p), (b, q) in zip(whole, tx.strongest(model, again, np.arange(7), 3), strict=True):
+        assert np.allclose(a, b, atol=1e-5) and (p == q).mean() > 0.99
