@@ -98,11 +98,12 @@ def remove_repeated_windows(
     Every window's Rabin-Karp hash is counted in the bucket of its value: 64 bits and the choice among the buckets, by an
     independent hash, decide, so unlike windows meet once in about 2**64 pairs of one bucket.
     """
-    own, blocks = in_blocks(docs, id_col, text_col, carry, block_bytes)
+    own, ranks = in_blocks(docs, id_col, text_col, carry, block_bytes)
+    blocks = len(ranks)
     kind = own.schema["row"].dataType.simpleString()
     answers = (
         own.groupBy("block").applyInArrow(sender(width, blocks), PACKED)
-        .groupBy("bucket").applyInArrow(met(other=False), PACKED)
+        .groupBy("bucket").applyInArrow(met(False, ranks), PACKED)
     )
     return own.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         finisher(width, blocks), f"row {kind}, n_words bigint, spans array<bigint>, text binary"
