@@ -112,8 +112,8 @@ def links(prints: DataFrame, distance: int, crowd: int = CROWD) -> DataFrame:
     A difference of d bits leaves at least ``8 - d`` of the 8 positional bytes equal. A list of one byte would hold
     a 256th of all fingerprints, so the index has a list for every choice of that many positions and their bytes:
     any pair with the guaranteed number of matches meets in one. A list longer than ``crowd`` is not compared
-    pairwise: its members are joined through every value within half the distance of them, which
-    two fingerprints share exactly if they are within the distance; that stays linear in the list.
+    pairwise: its members are joined through every value within half the distance of them, rounded up for the one and
+    down for the other, which two fingerprints share exactly if they are within the distance; that stays linear in the list.
     """
     if not 0 <= distance < BYTES:
         raise ValueError("the distance must leave at least one byte equal")
@@ -132,15 +132,14 @@ def links(prints: DataFrame, distance: int, crowd: int = CROWD) -> DataFrame:
     around = found.where("b IS NULL").select(F.col("a").alias("print")).distinct()
     if around.isEmpty():
         return plain
-    if distance % 2:
-        raise ValueError(f"lists of more than {crowd} fingerprints need an even distance")
-    flips = [0]
-    for k in range(1, distance // 2 + 1):
+    flips, inner = [0], 1
+    for k in range(1, (distance + 1) // 2 + 1):
         flips += [sum(1 << b for b in bits) for bits in combinations(range(64), k)]
-    flips = F.explode(F.lit([x - (1 << 64) if x >> 63 else x for x in flips]))
-    ball = around.select("print", flips.alias("flip"))
-    ball = ball.select("print", F.col("print").bitwiseXOR(F.col("flip")).alias("near"))
-    centre = ball.groupBy("near").agg(F.min("print").alias("low"))
+        inner = len(flips) if k <= distance // 2 else inner
+    flips = F.posexplode(F.lit([x - (1 << 64) if x >> 63 else x for x in flips])).alias("at", "flip")
+    ball = around.select("print", flips)
+    ball = ball.select("print", (F.col("at") < inner).alias("inner"), F.col("print").bitwiseXOR(F.col("flip")).alias("near"))
+    centre = ball.where("inner").groupBy("near").agg(F.min("print").alias("low"))
     joined = ball.join(centre, "near").where("low != print").select(F.col("print").alias("a"), F.col("low").alias("b"))
     return plain.union(joined)
 

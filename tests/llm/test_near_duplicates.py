@@ -158,3 +158,23 @@ def test_lines_within_one_edit(frame):
     rows = [(i, text + "\nline number with its own words " + str(i) * 5) for i, text in enumerate(edits)]
     docs = frame(rows, "doc_id bigint, text string")
     assert lines_found(docs) == expected_lines(rows)
+
+
+def test_odd_distances_in_crowded_lists(spark):
+    draw = np.random.default_rng(6)
+    prints = set()
+    for c in draw.integers(-(2**62), 2**62, 3).tolist():
+        for _ in range(20):
+            x = c
+            for bit in draw.choice(60, draw.integers(0, 5), replace=False).tolist():
+                x ^= 1 << bit
+            prints.add(x)
+    frame = spark.createDataFrame([(x,) for x in sorted(prints)], "print bigint")
+    for distance in (1, 3):
+        found = {}
+        for crowd in (4096, 2):
+            rows = simhash.links(frame, distance, crowd=crowd).collect()
+            assert all(((r.a ^ r.b) & (2**64 - 1)).bit_count() <= distance for r in rows)
+            linked = spark.createDataFrame(rows, "a bigint, b bigint")
+            found[crowd] = {r.node: r.root for r in components(linked).collect()}
+        assert found[4096] and found[2] == found[4096]
