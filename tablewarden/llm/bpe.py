@@ -1,7 +1,7 @@
 """Byte-pair encoding and decoding of whole texts through a table of the distinct words.
 
 Texts are cut into words in blocks. A block keeps its distinct words and, for each text, the numbers of its words in
-order; the distinct words of all blocks are encoded once, and their ids go back to the blocks by a join.
+order; the distinct words of all blocks are encoded once, and their ids go back to the blocks.
 """
 
 from __future__ import annotations
@@ -12,36 +12,46 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewarden.llm.common import char_class, flat, query, read, settled, slices
+from tablewarden.llm.blocks import bucket_of
+from tablewarden.llm.common import char_class, flat, query, read, settled, slices, word_hashes
 from tablewarden.llm.packing import vocabulary
+from tablewarden.session import new_path
 
 BLOCK_BYTES = 8 << 20  # text of a block; a longer text is a block of its own
 LONG_WORD = 512  # bytes from which a word is cut again by the vocabulary's own rule
-RUN = 2048  # ids of a word in one row; a longer word has several
+SHARE_BYTES = 8 << 20  # words of a share of the table of words
 BATCH = 4096  # distinct words encoded by one call
 
 BLANK = 0x20
 # No white space begins with these bytes, so a blank before them belongs to the word that follows.
 BODY = char_class([*range(0x21, 0x7F), *range(0xC3, 0xE1), *range(0xE4, 0xF5)])
 ASCII_LETTER = char_class([*range(0x41, 0x5B), *range(0x61, 0x7B)])
+VISIBLE = char_class(range(0x21, 0x7F))
+LATIN = char_class(x for x in range(0x80, 0xC0) if x not in (0x97, 0xB7))  # letters after the byte C3
 ASCII_MARK = char_class(x for x in range(0x21, 0x7F) if not chr(x).isalnum())
 
 
 # --- words ---------------------------------------------------------------------------
 def borders(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where byte-level pre-tokens certainly begin: at a blank before a visible character, and at a mark after a letter."""
+    """Where byte-level pre-tokens certainly begin: at a blank before a visible character, at a mark after a letter, and
+    before and after a single line break."""
     begin = np.zeros(len(data) + 1, bool)
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True
     if len(data) > 1:
         # the visible character has to be in the same text
         begin[:-2] = (data[:-1] == BLANK) & BODY[data[1:]] & ~first[1:-1]
-        begin[1:-1] |= ASCII_LETTER[data[:-1]] & ASCII_MARK[data[1:]]
+        letter = ASCII_LETTER[data]
+        letter[1:] |= (data[:-1] == 0xC3) & LATIN[data[1:]]
+        begin[1:-1] |= letter[:-1] & ASCII_MARK[data[1:]]
+        line = np.flatnonzero((data[1:-1] == 0x0A) & VISIBLE[data[:-2]] & BODY[data[2:]] & ~first[2:-1]) + 1
+        begin[line] = begin[line + 1] = True
     return begin | first
 
 
@@ -120,7 +130,7 @@ def grown(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view("<u4").astype(np.int64)
 
 
-BLOCKS = "block bigint, rows array<{}>, sizes binary, numbers binary, keys array<{}>"
+BLOCKS = "block bigint, rows array<{}>, sizes binary, numbers binary, keys array<{}>, key_bytes bigint"
 
 
 def in_blocks(number: Callable[[pa.Array], tuple[np.ndarray, np.ndarray, pa.Array]], limit: int):
@@ -137,16 +147,28 @@ def in_blocks(number: Callable[[pa.Array], tuple[np.ndarray, np.ndarray, pa.Arra
                 sizes, numbers, keys = number(column.slice(low, high - low))
                 own = pa.ListArray.from_arrays(pa.array([0, high - low], pa.int32()), rows.slice(low, high - low))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block], pa.int64()), own, pa.array([sizes.astype("<i8").tobytes()], pa.binary()),
+                    [pa.array([block], pa.int64()), own, pa.array([shrunk(sizes)], pa.binary()),
                      pa.array([shrunk(numbers)], pa.binary()),
-                     pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys)],
-                    ["block", "rows", "sizes", "numbers", "keys"],
+                     pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
+                     pa.array([keys.nbytes], pa.int64())],
+                    ["block", "rows", "sizes", "numbers", "keys", "key_bytes"],
                 )
                 block += 1
 
     return run
 
 
+def bucketed(blocks: DataFrame) -> DataFrame:
+    """Blocks written once to the shared folder, in buckets, so that what is joined to them comes to where they are."""
+    spark = blocks.sparkSession
+    path = new_path(spark, "blocks")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = blocks.write.format("parquet").option("path", path).option("compression", "zstd")
+    writer.bucketBy(buckets, "block").saveAsTable(name)
+    return spark.table(name)
+
+
 def text_blocks(definition):
     """Blocks of texts with their distinct words."""
 
@@ -170,31 +192,83 @@ def id_blocks(column: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
 
 
 # --- the table of words ----------------------------------------------------------------
-def encoded_words(definition):
-    """(word, word_id, run, ids) of distinct words; the word itself stands in its first run only."""
+def shares_of(keys: pa.Array, many: int) -> np.ndarray:
+    """The share of the table of words that each word belongs to."""
+    edges = np.frombuffer(keys.buffers()[1], np.int32)[keys.offset : keys.offset + len(keys) + 1].astype(np.int64)
+    data = np.frombuffer(keys.buffers()[2] or b"", np.uint8)[edges[0] : edges[-1]]
+    edges -= edges[0]
+    return bucket_of(word_hashes(data, edges[:-1], edges[1:]), many)
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
 
-        tokenizer, word_id = Tokenizer.from_str(definition.value), TaskContext.get().partitionId() << 36
+def own_keys(column: pa.Array, k: int) -> pa.Array:
+    """The keys of the k-th block of a list column."""
+    return column.slice(k, 1).flatten()
+
+
+def dealt(many: int):
+    """(of, share, lengths, letters): the words of each block, packed for each share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        press = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            for low, high in slices(batch.column(0)):
-                for start in range(low, high, BATCH):
-                    own = batch.column(0).slice(start, min(BATCH, high - start)).to_pylist()
-                    word, key, run, ids = [], [], [], []
-                    for raw, done in zip(own, tokenizer.encode_batch_fast([w.decode() for w in own], add_special_tokens=False), strict=True):
-                        for k in range(0, max(1, len(done.ids)), RUN):
-                            word.append(raw if k == 0 else None)
-                            key.append(word_id)
-                            run.append(k // RUN)
-                            ids.append(done.ids[k : k + RUN])
-                        word_id += 1
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(word, pa.binary()), pa.array(key, pa.int64()), pa.array(run, pa.int32()), pa.array(ids, pa.list_(pa.int32()))],
-                        ["word", "word_id", "run", "ids"],
-                    )
-
-    return encode
+            for k in range(batch.num_rows):
+                keys = own_keys(batch.column("keys"), k)
+                if not len(keys):
+                    continue
+                which = shares_of(keys, many)
+                order = np.argsort(which, kind="stable")
+                shares, starts = np.unique(which[order], return_index=True)
+                parts = [keys.take(pa.array(x)).to_pylist() for x in np.split(order, starts[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([batch.column("block")[k].as_py()] * len(shares), pa.int64()), pa.array(shares.astype(np.int32)),
+                     pa.array([shrunk(np.fromiter(map(len, p), np.int64, len(p))) for p in parts], pa.binary()),
+                     pa.array([press(b"".join(p)) for p in parts], pa.binary())],
+                    ["of", "share", "lengths", "letters"],
+                )
+
+    return run
+
+
+ENCODED = "of bigint, share int, sizes binary, ids binary, used array<int>"
+
+
+def encoded(definition):
+    """A share's distinct words encoded once each; every block gets the ids of its words back, in the order it sent them."""
+
+    def run(table: pa.Table) -> pa.Table:
+        import zstandard
+
+        lengths = [grown(x) for x in table.column("lengths").to_pylist()]
+        letters = [zstandard.ZstdDecompressor().decompress(x) for x in table.column("letters").to_pylist()]
+        edges = np.append(0, np.cumsum(np.concatenate(lengths)))
+        sent = pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(b"".join(letters))])
+        sent = sent.dictionary_encode()
+        tokenizer, found = tokenizer_of(definition.value), []
+        for low in range(0, len(sent.dictionary), BATCH):
+            own = [w.decode() for w in sent.dictionary.slice(low, BATCH).to_pylist()]
+            found += [np.array(x.ids, np.int64) for x in tokenizer.encode_batch_fast(own, add_special_tokens=False)]
+        sizes = np.array([len(x) for x in found], np.int64)
+        pool, starts = np.concatenate(found), np.cumsum(sizes) - sizes
+        rows, which = [], sent.indices.to_numpy()
+        for own in np.split(which, np.cumsum([len(x) for x in lengths])[:-1]):
+            ids, _ = gathered(pool, starts, sizes, own)
+            rows.append((shrunk(sizes[own]), shrunk(ids), np.unique(ids).astype(np.int32)))
+        packed, ids, used = zip(*rows, strict=True)
+        return pa.Table.from_arrays(
+            [table.column("of"), table.column("share"), pa.array(packed, pa.binary()), pa.array(ids, pa.binary()), pa.array(used, pa.list_(pa.int32()))],
+            ["of", "share", "sizes", "ids", "used"],
+        )
+
+    return run
+
+
+@lru_cache(maxsize=1)
+def tokenizer_of(definition: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_str(definition)
 
 
 @lru_cache(maxsize=1)
@@ -219,14 +293,6 @@ def piece_table(docs: DataFrame, definition: str) -> DataFrame:
     return F.broadcast(docs.sparkSession.createDataFrame(pieces(definition), "id int, piece string"))
 
 
-def word_bytes(runs: DataFrame, table: DataFrame) -> DataFrame:
-    """(word_id, run, ids, raw): the ids of each run joined with their pieces and put together again in order."""
-    single = runs.select("word_id", "run", F.posexplode("ids").alias("place", "id")).join(table, "id", "left")
-    listed = F.array_sort(F.collect_list(F.struct("place", F.coalesce("piece", F.lit("")).alias("piece"))))
-    joined = single.groupBy("word_id", "run").agg(F.unhex(F.array_join(F.transform(listed, lambda x: x["piece"]), "")).alias("raw"))
-    return runs.select("word_id", "run", "ids").join(joined, ["word_id", "run"], "left")
-
-
 def gathered(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The entries of the pool that a list of numbered ranges names, one after another, and where each range ends."""
     many = sizes[which]
@@ -235,14 +301,6 @@ def gathered(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.
     return pool[at], np.append(0, ends)
 
 
-def pooled(lists: pa.ChunkedArray, numbers: np.ndarray, many: int, kind) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Values of all keys in one array, and where those of each key start and how many they are; runs are in order."""
-    parts = [np.asarray(x, kind) if not isinstance(x, bytes) else np.frombuffer(x, kind) for x in lists]
-    sizes = np.zeros(many, np.int64)
-    np.add.at(sizes, numbers, [len(x) for x in parts])
-    return np.concatenate([*parts, np.empty(0, kind)]), np.cumsum(sizes) - sizes, sizes
-
-
 def texts_of(raw: np.ndarray, ends: np.ndarray) -> pa.Array:
     """Bytes as texts, what is no UTF-8 replaced."""
     found = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(raw))])
@@ -255,27 +313,43 @@ def texts_of(raw: np.ndarray, ends: np.ndarray) -> pa.Array:
 def unpacked(left: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Rows of a block, the number of parts before each row (one more for all), and the numbers of the parts."""
     rows = left.column("rows").combine_chunks()
-    sizes = np.frombuffer(left.column("sizes")[0].as_py(), "<i8")
-    return rows.flatten(), np.append(0, np.cumsum(sizes)), grown(left.column("numbers")[0].as_py())
-
+    return rows.flatten(), np.append(0, np.cumsum(grown(left.column("sizes")[0].as_py()))), grown(left.column("numbers")[0].as_py())
+
+
+def spelled(ids: np.ndarray, right: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes that ids stand for by the rows (id, piece) of their block, and where those of each end."""
+    right = right.filter(pc.is_valid(right.column("id"))).sort_by("id")
+    known = right.column("id").to_numpy()
+    raw = [bytes.fromhex(x or "") for x in right.column("piece").to_pylist()]
+    sizes = np.array([len(x) for x in raw], np.int64)
+    return gathered(np.frombuffer(b"".join(raw), np.uint8), np.cumsum(sizes) - sizes, sizes, np.searchsorted(known, ids))
+
+
+def filled(many: int):
+    """A block's rows with the ids and the text of each."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows, edges, numbers = unpacked(left)
+        order = np.argsort(shares_of(own_keys(left.column("keys").combine_chunks(), 0), many), kind="stable")
+        answers = right.filter(pc.is_valid(right.column("ids"))).sort_by("share")
+        got = np.concatenate([*(grown(x) for x in answers.column("sizes").to_pylist()), np.empty(0, np.int64)])
+        pool = np.concatenate([*(grown(x) for x in answers.column("ids").to_pylist()), np.empty(0, np.int64)])
+        sizes, starts = np.empty_like(got), np.empty_like(got)
+        sizes[order], starts[order] = got, np.cumsum(got) - got
+        ids, ends = gathered(pool, starts, sizes, numbers)
+        raw, stops = spelled(ids, right)
+        at = ends[edges]
+        lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))
+        return pa.Table.from_arrays([rows, lists, texts_of(raw, stops[at])], ["row", "ids", "decoded"])
 
-def filled(left: pa.Table, right: pa.Table) -> pa.Table:
-    """A block's rows with the ids and the decoded text of each."""
-    rows, edges, numbers = unpacked(left)
-    right = right.sort_by([("number", "ascending"), ("run", "ascending")])
-    keys, many = right.column("number").to_numpy(), int(numbers.max(initial=-1)) + 1
-    ids, ends = gathered(*pooled(right.column("ids").to_pylist(), keys, many, np.int32), numbers)
-    raw, stops = gathered(*pooled([x or b"" for x in right.column("raw").to_pylist()], keys, many, np.uint8), numbers)
-    lists = pa.ListArray.from_arrays(pa.array(ends[edges].astype(np.int32)), pa.array(ids, pa.int32()))
-    return pa.Table.from_arrays([rows, lists, texts_of(raw, stops[edges])], ["row", "ids", "decoded"])
+    return run
 
 
-def spelled(left: pa.Table, right: pa.Table) -> pa.Table:
+def joined(left: pa.Table, right: pa.Table) -> pa.Table:
     """A block's rows with the text of their ids."""
     rows, edges, numbers = unpacked(left)
-    right = right.sort_by("number")
-    keys, many = right.column("number").to_numpy(), int(numbers.max(initial=-1)) + 1
-    raw, stops = gathered(*pooled([bytes.fromhex(x or "") for x in right.column("piece").to_pylist()], keys, many, np.uint8), numbers)
+    ids = left.column("keys").combine_chunks().flatten().to_numpy()[numbers]
+    raw, stops = spelled(ids, right)
     return pa.Table.from_arrays([rows, texts_of(raw, stops[edges])], ["row", "decoded"])
 
 
@@ -288,45 +362,47 @@ def encode(docs: DataFrame, definition: str, text_col: str = "text", *, carry: l
 
     ``definition`` is the JSON of a byte-level vocabulary; ids are those of the library without special tokens added,
     truncation or padding. NULL and empty texts have no ids and decode to ''. Repeated rows and rows with NULL ids come
-    back as often as they come in, no documents give no rows. Texts are cut into words in blocks, which are written
-    down, so every later step sees the same blocks. Only distinct words are shuffled, encoded (once) and decoded (by a
-    join of their ids with the pieces of the vocabulary); a text itself is the packed numbers of its words.
+    back as often as they come in, no documents give no rows.
+
+    Texts are cut into words in blocks, which are written down in buckets: a text is the numbers of its words there and
+    does not move any more. The distinct words of a block go, packed, to the shares of one table of words, where each
+    distinct word is encoded once; a block gets its ids back, and its distinct ids are joined with the pieces of the
+    vocabulary. A word in a third of all texts is one word in each block.
     """
     carry, spark = carry or docs.columns, docs.sparkSession
     shared = spark.sparkContext.broadcast(definition)
     own = _own(docs, F.col(f"`{text_col}`").cast("binary"), carry)
     kind = own.schema["row"].dataType.simpleString()
-    blocks = settled(own.mapInArrow(text_blocks(shared), BLOCKS.format(kind, "binary")), "word-blocks")
-    words = blocks.select(F.col("block").alias("of"), F.posexplode("keys").alias("number", "word"))
-    runs = words.select("word").distinct().mapInArrow(encoded_words(shared), "word binary, word_id bigint, run int, ids array<int>")
-    runs = settled(runs, "words")
-    known = words.join(runs.where("run = 0").select("word", "word_id"), "word").select("of", "number", "word_id")
-    found = known.join(word_bytes(runs, piece_table(docs, definition)), "word_id").select("of", "number", "run", "ids", "raw")
-    texts = blocks.select("block", "rows", "sizes", "numbers")
+    blocks = bucketed(own.mapInArrow(text_blocks(shared), BLOCKS.format(kind, "binary")))
+    held = blocks.agg(F.sum("key_bytes")).first()[0] or 0
+    many = max(1, -(-held // SHARE_BYTES))
+    sent = blocks.select("block", "keys").mapInArrow(dealt(many), "of bigint, share int, lengths binary, letters binary")
+    answers = settled(sent.groupBy("share").applyInArrow(encoded(shared), ENCODED), "encoded-words")
+    used = answers.select("of", F.explode("used").alias("id")).distinct().join(piece_table(docs, definition), "id", "left")
+    right = answers.select("of", "share", "sizes", "ids").unionByName(used, allowMissingColumns=True)
     schema = T.StructType([own.schema["row"], *T._parse_datatype_string("ids array<int>, decoded string").fields])
-    return texts.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(filled, schema)
+    return blocks.groupBy("block").cogroup(right.groupBy("of")).applyInArrow(filled(many), schema)
 
 
-def decode(encoded: DataFrame, definition: str, ids_col: str = "ids", *, carry: list[str] | None = None) -> DataFrame:
+def decode(lists: DataFrame, definition: str, ids_col: str = "ids", *, carry: list[str] | None = None) -> DataFrame:
     """row (the columns in ``carry``, or all but the ids) and ``decoded``, the text of an array of ids.
 
     The distinct ids of a block of rows are joined with the pieces of the vocabulary. Bytes that are no UTF-8 become
     replacement characters; unknown ids and NULLs among the ids stand for nothing, NULL and empty lists give ''.
     """
-    carry = carry or [c for c in encoded.columns if c != ids_col]
+    carry = carry or [c for c in lists.columns if c != ids_col]
 
     @F.pandas_udf("binary")
-    def packed(lists):
-        return lists.map(lambda x: None if x is None else np.array([-1 if i is None or i != i else i for i in x], "<i4").tobytes())
+    def packed(values):
+        return values.map(lambda x: None if x is None else np.array([-1 if i is None or i != i else i for i in x], "<i4").tobytes())
 
-    own = _own(encoded, packed(F.col(f"`{ids_col}`").cast("array<int>")), carry)
+    own = _own(lists, packed(F.col(f"`{ids_col}`").cast("array<int>")), carry)
     kind = own.schema["row"].dataType.simpleString()
-    blocks = settled(own.mapInArrow(in_blocks(id_blocks, BLOCK_BYTES), BLOCKS.format(kind, "int")), "id-blocks")
-    used = blocks.select(F.col("block").alias("of"), F.posexplode("keys").alias("number", "id"))
-    found = used.join(piece_table(encoded, definition), "id", "left").select("of", "number", "piece")
-    texts = blocks.select("block", "rows", "sizes", "numbers")
+    blocks = bucketed(own.mapInArrow(in_blocks(id_blocks, BLOCK_BYTES), BLOCKS.format(kind, "int")))
+    used = blocks.select(F.col("block").alias("of"), F.explode("keys").alias("id"))
+    found = used.join(piece_table(lists, definition), "id", "left").select("of", "id", "piece")
     schema = T.StructType([own.schema["row"], T.StructField("decoded", T.StringType())])
-    return texts.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(spelled, schema)
+    return blocks.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(joined, schema)
 
 
 @query("op13_bpe_encoding")

@@ -13,6 +13,7 @@ TEXTS = [
     "plain words, with marks; and it's\n\nlines\nhere", "  two  blanks \t tabs \n", "", "   ", " x", "<|endoftext|> hi<|endoftext|>",
     "ünï çödé \U0001f600  non-breaking　wide", "1234 5.6e7 a_b __ 'tis 's", "a" * 3000, "\x00 nul", "tab\tx y\r\nz",
     "漢字" * 900 + "，文字。" + "ab1" * 400, "mid<|endoftext|>dle <|endoftext", "x   ", "y", "né́e " * 5, " " * 5000,
+    "né, là!\nÀ÷, ×!\n\nx\n y\n", "end\n", "\nx", "'S 's\n's",
 ]
 
 
@@ -46,7 +47,7 @@ def test_long_words_are_cut():
 
 @pytest.mark.parametrize("block", [bpe.BLOCK_BYTES, 64])
 def test_ids_and_texts(frame, monkeypatch, block):
-    monkeypatch.setattr(bpe, "RUN", 7)
+    monkeypatch.setattr(bpe, "SHARE_BYTES", block)
     monkeypatch.setattr(bpe, "BLOCK_BYTES", block)
     docs = frame([(i, t) for i, t in enumerate([*TEXTS, None, "x   "])], "doc_id bigint, text string")
     got = {r.row.doc_id: (r.ids, r.decoded) for r in bpe.encode(docs, VOCABULARY, carry=["doc_id"]).collect()}
