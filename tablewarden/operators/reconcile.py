@@ -182,21 +182,30 @@ def keyed_diff(source: DataFrame, target: DataFrame, keys: list[str], columns: l
     """Status and changed columns per key: MATCH, CHANGED, MISSING_IN_TARGET or MISSING_IN_SOURCE.
 
     The sides are stacked and aggregated by key rather than joined: a key that holds very many rows
-    is reduced before the shuffle and never paired with itself. With several rows per key, the
-    number of rows and the total of their hashes must agree as well.
+    is reduced before the shuffle and never paired with itself. Values are compared by 64-bit hashes, whose
+    totals and maxima have a fixed size, so hash aggregates apply and nothing is sorted. With several rows per
+    key, the number of rows and the total of their hashes must agree as well.
     """
-    from_source, values = F.col("_source"), F.struct(*columns)
+    from_source = F.col("_source")
     signed = F.when(from_source, F.lit(1)).otherwise(F.lit(-1)).cast("decimal(1,0)")
+
+    def total(*of: str) -> Column:
+        return F.sum(F.xxhash64(*of).cast("decimal(20,0)") * signed)
+
+    sides = [(f"_s{i}", f"_t{i}", f"_d{i}", c) for i, c in enumerate(columns)]
+    measures = []
+    for s, t, d, c in sides:
+        measures += [F.max(F.when(from_source, F.xxhash64(c))).alias(s), F.max(F.when(~from_source, F.xxhash64(c))).alias(t), total(c).alias(d)]
     per_key = _both_sides(source, target, keys, columns).groupBy(*keys).agg(
         F.count_if(from_source).alias("source_rows"),
         F.count_if(~from_source).alias("target_rows"),
-        F.max(F.when(from_source, values)).alias("_s"),
-        F.max(F.when(~from_source, values)).alias("_t"),
-        F.sum(F.xxhash64(*columns).cast("decimal(20,0)") * signed).alias("_hash"),
+        total(*columns).alias("_hash"),
+        *measures,
     )
-    different = [F.when(~F.col(f"_s.{c}").eqNullSafe(F.col(f"_t.{c}")), F.lit(c)) for c in columns]
+    equal_rows = F.col("source_rows") == F.col("target_rows")
+    different = [F.when((F.col(s) != F.col(t)) | (equal_rows & (F.col(d) != 0)), F.lit(c)) for s, t, d, c in sides]
     paired = (F.col("source_rows") > 0) & (F.col("target_rows") > 0)
-    changed = (F.size("changed_columns") > 0) | (F.col("source_rows") != F.col("target_rows")) | (F.col("_hash") != 0)
+    changed = (F.size("changed_columns") > 0) | ~equal_rows | (F.col("_hash") != 0)
     return (
         per_key.withColumn("changed_columns", F.when(paired, F.array_compact(F.array(*different))))
         .withColumn(
@@ -206,7 +215,7 @@ def keyed_diff(source: DataFrame, target: DataFrame, keys: list[str], columns: l
             .when(changed, "CHANGED")
             .otherwise("MATCH"),
         )
-        .drop("_s", "_t", "_hash")
+        .drop("_hash", *[n for names in sides for n in names[:3]])
     )
 
 

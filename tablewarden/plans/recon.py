@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tablewarden.operators import digest_tree, trends
 from tablewarden.operators import reconcile as rc
-from tablewarden.operators import trends
 from tablewarden.operators.reconcile import Check
 from tablewarden.plans import inputs
 from tablewarden.plans.registry import Loader, query
+from tablewarden.session import new_path
 
 RUN, AS_OF = "run-1", "2001-08-02 00:00:00"
 COLUMNS = ["customer_id", "status", "total_amount", "order_date"]
@@ -164,6 +165,20 @@ def recon_keyed_diff(load):
     return keyed(load).where("status <> 'MATCH'").select("order_id", "status", "changed_columns")
 
 
+@query(
+    "recon_tree_diff",
+    f"WITH {DIFF} SELECT order_id, state AS status, changed_columns FROM diff WHERE state <> 'MATCH'",
+)
+def recon_tree_diff(load):
+    """The same rows from two stored trees; leaves with equal digests are not read."""
+    tables = pair(load)
+
+    def tree(side: str):
+        return digest_tree.write_tree(tables[side], ["order_id"], COLUMNS, new_path(load.spark, f"tree-{side}"), depth=1)
+
+    return digest_tree.tree_diff(load.spark, tree("source"), tree("target")).select("order_id", "status", "changed_columns")
+
+
 @query("recon_diff_summary", f"WITH {DIFF} SELECT state AS status, count(*) AS key_count FROM diff GROUP BY state")
 def recon_diff_summary(load):
     return rc.diff_summary(keyed(load))
