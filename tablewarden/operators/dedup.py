@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablewarden.operators.attach import unused
+
+CHUNK = 1024  # copies of a row written out at once
+
 
 def top_per_key(df: DataFrame, key: list[str], order: list[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows per key in the given order.
@@ -12,8 +16,9 @@ def top_per_key(df: DataFrame, key: list[str], order: list[Column], n: int = 1)
     Spark keeps only ``n`` rows per key and task before the shuffle (window group limit), so the
     size of a key does not matter. ``order`` must be total for a repeatable result.
     """
-    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
-    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+    (rank,) = unused(df.columns, "_rank")
+    ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
+    return ranked.where(F.col(rank) <= n).drop(rank)
 
 
 def latest_per_key(df: DataFrame, key: list[str], stamp: str, tie_break: list[str] | None = None) -> DataFrame:
@@ -39,27 +44,32 @@ def surplus_rows(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """
     columns = df.columns
     rest = [c for c in columns if c not in key and c not in order]
+    n, part, copies, row, nth, kept, surplus, chunk, left, copy = unused(
+        columns, "_n", "_part", "_copies", "_row", "_nth", "_kept", "_surplus", "_chunk", "_left", "_copy"
+    )
     has_key = F.lit(True)
     for column in key:
         has_key = has_key & F.col(column).isNotNull()
     whole = F.struct(*key, *order, *rest)
-    repeated = df.where(has_key).groupBy(*key).agg(F.count("*").alias("_n")).where("_n > 1").select(*key)
+    repeated = df.where(has_key).groupBy(*key).agg(F.count("*").alias(n)).where(F.col(n) > 1).select(*key)
     keyed = df.join(repeated, key, "left_semi").select(*columns)
-    copies = (
-        keyed.withColumn("_part", F.spark_partition_id())
-        .groupBy(*columns, "_part")
-        .agg(F.count("*").alias("_copies"))
-        .withColumn("_row", whole)
+    counted = (
+        keyed.withColumn(part, F.spark_partition_id())
+        .groupBy(*columns, part)
+        .agg(F.count("*").alias(copies))
+        .withColumn(row, whole)
     )
     # one entry per input partition and distinct row; the first entry gives up the kept copy
-    nth = F.row_number().over(Window.partitionBy("_row").orderBy("_part"))
-    kept = keyed.groupBy(*key).agg(F.min(whole).alias("_row")).select("_row", F.lit(1).alias("_kept"))
-    surplus = F.col("_copies") - F.when(F.col("_nth") == 1, F.coalesce("_kept", F.lit(0))).otherwise(0)
-    return (
-        copies.withColumn("_nth", nth)
-        .join(kept, "_row", "left")
-        .withColumn("_surplus", surplus.cast("int"))
-        .where("_surplus > 0")
-        .select(*columns, F.explode(F.sequence(F.lit(1), F.col("_surplus"))).alias("_copy"))
-        .drop("_copy")
+    first = keyed.groupBy(*key).agg(F.min(whole).alias(row)).select(row, F.lit(1).alias(kept))
+    given_up = F.when(F.col(nth) == 1, F.coalesce(F.col(kept), F.lit(0))).otherwise(0)
+    many = (
+        counted.withColumn(nth, F.row_number().over(Window.partitionBy(row).orderBy(part)))
+        .join(first, row, "left")
+        .withColumn(surplus, F.col(copies) - given_up)
+        .where(F.col(surplus) > 0)
     )
+    # written out in chunks, so that no array is as long as a row has copies
+    last = F.floor((F.col(surplus) - 1) / CHUNK)
+    chunks = many.select(*columns, surplus, F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias(chunk))
+    held = F.least(F.col(surplus) - F.col(chunk) * CHUNK, F.lit(CHUNK)).cast("int")
+    return chunks.withColumn(left, held).select(*columns, F.explode(F.sequence(F.lit(1), F.col(left))).alias(copy)).drop(copy)

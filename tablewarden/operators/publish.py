@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewarden.functions.timing import moment
+from tablewarden.operators.attach import unused
 
 KEY_RANGES = 3  # hexadecimal digits, so 4,096 ranges
 
@@ -25,20 +26,23 @@ def number_rows(
     wanted = F.coalesce(where, F.lit(False)) if where is not None else F.lit(True)
     if not 1 <= digits <= 4:
         raise ValueError("digits must be 1 to 4: the table of range sizes is broadcast")
+    text, chosen, part, rank, size, before, part_of = unused(
+        [*df.columns, alias], "_key", "_wanted", "_range", "_rank", "_size", "_start", "_other_range"
+    )
     # rows without a key are a range of their own
-    spread = df.withColumns({"_key": key.cast("string"), "_wanted": wanted}).withColumn(
-        "_range", F.coalesce(F.substring(F.md5(F.col("_key")), 1, digits), F.lit(""))
+    spread = df.withColumns({text: key.cast("string"), chosen: wanted}).withColumn(
+        part, F.coalesce(F.substring(F.md5(F.col(text)), 1, digits), F.lit(""))
     )
-    sizes = spread.groupBy("_range").agg(F.count_if("_wanted").alias("_size"))
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
-    rank = F.row_number().over(Window.partitionBy("_range", "_wanted").orderBy("_key"))
+    sizes = spread.groupBy(F.col(part).alias(part_of)).agg(F.count_if(chosen).alias(size))
+    earlier = Window.orderBy(part_of).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(part_of, F.coalesce(F.sum(size).over(earlier), F.lit(0)).alias(before))
+    within = F.row_number().over(Window.partitionBy(part, chosen).orderBy(text))
     base = start if isinstance(start, Column) else F.lit(start).cast("bigint")
     return (
-        spread.withColumn("_rank", rank)
-        .join(F.broadcast(starts), "_range")
-        .withColumn(alias, F.when(F.col("_wanted"), base + F.col("_start") + F.col("_rank")))
-        .drop("_key", "_wanted", "_range", "_rank", "_start")
+        spread.withColumn(rank, within)
+        .join(F.broadcast(starts), F.col(part) == F.col(part_of))
+        .withColumn(alias, F.when(F.col(chosen), base + F.col(before) + F.col(rank)))
+        .drop(text, chosen, part, part_of, rank, before)
     )
 
 

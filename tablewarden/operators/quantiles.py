@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewarden.operators.attach import attach
+from tablewarden.operators.attach import attach, same, unused
 
 
 def exact_percentiles(
     df: DataFrame, value: str, probs: dict[str, float], by: list[str] | None = None, buckets: int = 256
 ) -> DataFrame:
-    """Interpolated percentiles per group, as columns named by ``probs``.
+    """Interpolated percentiles per group, as columns named by ``probs``; NULL is a group like others.
 
     Equal values are counted first. Approximate quantiles cut each group into ``buckets`` ranges
     (a power of two), and the rows counted per range tell which ranges hold the wanted ranks. Only
@@ -40,7 +40,10 @@ def exact_percentiles(
     wanted = F.lit(False)
     for _, rank in ranks("_all_rows"):
         wanted = wanted | ((F.col("_start") <= rank) & (rank < F.col("_start") + F.col("_size")))
-    needed = placed.join(starts.where(wanted).select(*by, "_bucket", "_start"), [*by, "_bucket"])
+    keys = [*by, "_bucket"]
+    names = unused([*placed.columns, "_start"], *[f"_w{i}" for i in range(len(keys))])
+    held = starts.where(wanted).select(*[F.col(c).alias(n) for c, n in zip(keys, names, strict=True)], "_start")
+    needed = placed.join(held, same(zip(keys, names, strict=True))).drop(*names)
 
     inside = Window.partitionBy(*by, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = needed.withColumn("_last", F.col("_start") + F.sum("_n").over(inside) - 1).withColumn(

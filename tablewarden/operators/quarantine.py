@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablewarden.functions.hashing import row_text
 from tablewarden.functions.timing import ago, moment, seconds_between
+from tablewarden.operators.attach import unused
 from tablewarden.operators.dedup import surplus_rows
 from tablewarden.operators.evaluate import any_violation
 from tablewarden.operators.rules import Rule, Tables
@@ -44,9 +45,10 @@ def _filed(
     row_key = F.col(key[0]).cast("string") if len(key) == 1 else row_text([F.col(k) for k in key])
     identity = F.concat_ws("|", F.lit(run_id), F.col("bad.rule_id"), row_key)
     if not unique_key:  # rows under one key are told apart by their rank, so that each has an id of its own
+        (nth,) = unused(df.columns, "_nth")
         ranked = Window.partitionBy("bad.rule_id", *key).orderBy(F.sha2(F.to_json(F.struct(*payload)), 256))
-        df = df.withColumn("_nth", F.row_number().over(ranked))
-        identity = F.concat_ws("|", identity, F.when(F.col("_nth") > 1, F.concat(F.lit("row|"), F.col("_nth"))))
+        df = df.withColumn(nth, F.row_number().over(ranked))
+        identity = F.concat_ws("|", identity, F.when(F.col(nth) > 1, F.concat(F.lit("row|"), F.col(nth))))
     return df.select(
         F.md5(identity).alias("quarantine_id"),
         F.lit(run_id).alias("run_id"),
@@ -74,12 +76,13 @@ def quarantine(
     run_id: str,
     as_of,
     payload: list[str] | None = None,
-    unique_key: bool = True,
+    unique_key: bool = False,
 ) -> DataFrame:
-    """One record per row and broken row rule, from one scan and without a shuffle.
+    """One record per row and broken row rule, from one scan.
 
-    The id depends on run, rule and key, so running again writes the same records. Where rows can share a key, say so by
-    ``unique_key=False``: bad rows are then shuffled, and the id also depends on the rank by content within the key.
+    The id depends on run, rule, key and, for rows that share a key, the rank by content within it, so every record has
+    an id of its own and running again writes the same ones; the bad rows are shuffled for that. Callers that know that
+    no two rows share a key say so by ``unique_key=True``, and nothing is shuffled.
     """
     found = F.array_compact(F.array(*[F.when(rule.bad, _record(rule)) for rule in rules]))
     marked = df.select("*", F.explode(found).alias("bad"))

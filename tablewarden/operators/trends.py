@@ -6,15 +6,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewarden.functions.timing import seconds_between
-from tablewarden.operators.attach import attach
+from tablewarden.operators.attach import attach, unused
 from tablewarden.operators.quantiles import exact_percentiles
 
 
 def zscore_rows(df: DataFrame, value: str, *, by: list[str], limit: float = 3.0) -> DataFrame:
-    """Rows further than ``limit`` sample deviations from the mean of their group."""
-    stats = df.groupBy(*by).agg(F.avg(value).alias("group_mean"), F.stddev_samp(value).alias("group_sd"))
-    z = F.abs(F.col(value) - F.col("group_mean")) / F.nullif("group_sd", F.lit(0.0))
-    return attach(df, stats, by).withColumn("z", z).where(F.col("z") > limit)
+    """Rows further than ``limit`` sample deviations from the mean of their group, NULL being a group too.
+
+    Adds group_mean, group_sd and z; columns of these names are replaced.
+    """
+    mean, spread, score = unused(df.columns, "_mean", "_spread", "_z")
+    stats = df.groupBy(*by).agg(F.avg(value).alias(mean), F.stddev_samp(value).alias(spread))
+    z = F.abs(F.col(value) - F.col(mean)) / F.nullif(F.col(spread), F.lit(0.0))
+    shown = [F.col(mean).alias("group_mean"), F.col(spread).alias("group_sd"), z.alias("z")]
+    own = [F.col(f"`{c}`") for c in df.columns if c not in ("group_mean", "group_sd", "z")]
+    return attach(df, stats, by).select(*own, *shown, z.alias(score)).where(F.col(score) > limit).drop(score)
 
 
 def outlier_counts(df: DataFrame, value: str, *, by: list[str], whisker: float = 1.5) -> DataFrame:

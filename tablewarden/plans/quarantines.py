@@ -55,7 +55,7 @@ BAD = f"""captured AS (
 def captured(load: Loader):
     rules = [x for x, _ in EVENT_RULES]
     return q.quarantine(
-        load("events"), rules, key=["event_id"], run_id=RUN, as_of=F.col("ts"), payload=PAYLOAD
+        load("events"), rules, key=["event_id"], run_id=RUN, as_of=F.col("ts"), payload=PAYLOAD, unique_key=True
     ).withColumn("data_domain", F.get_json_object("payload", "$.event_type"))
 
 
@@ -91,7 +91,7 @@ BALANCE = row_rule("CUS01", "customer", "c_acctbal", "accuracy", "HIGH", 90, r.n
       'HIGH' AS severity, 'OPEN' AS status FROM customer WHERE c_acctbal <= 0""",
 )
 def quarantine_rows(load):
-    rows = q.quarantine(load("customer"), [BALANCE], key=["c_custkey"], run_id=RUN, as_of=AS_OF)
+    rows = q.quarantine(load("customer"), [BALANCE], key=["c_custkey"], run_id=RUN, as_of=AS_OF, unique_key=True)
     return rows.select("quarantine_id", "business_key", "payload", "failure_reason", "severity", "status")
 
 

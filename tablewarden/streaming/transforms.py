@@ -6,6 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tablewarden.operators.rules import Rule
 
@@ -18,6 +20,7 @@ GAP_ROWS_LIMIT = 1000
 SURGE_WINDOW = "1 hour"
 SURGE_LIMIT = 5
 SILENCE = "30 minutes"
+SILENCE_SECONDS = 1800
 
 
 def _bounds(df: DataFrame) -> DataFrame:
@@ -47,30 +50,41 @@ def rule_windows(df: DataFrame, rules: Iterable[Rule], stamp: str, *, window: st
     return _bounds(wide.select("w", F.inline(rows)))
 
 
-def surge(
-    df: DataFrame, condition: Column, stamp: str, *, late: str, window: str = SURGE_WINDOW,
-    slide: str = "15 minutes", limit: int = SURGE_LIMIT,
-) -> DataFrame:
-    """Sliding windows in which the condition holds more than ``limit`` times."""
-    counted = (
+def hits(
+    df: DataFrame, condition: Column, stamp: str, *, late: str, window: str = SURGE_WINDOW, slide: str = "15 minutes"
+) -> DataFrame:
+    """How often the condition holds in each sliding window."""
+    return _bounds(
         df.where(condition)
         .withWatermark(stamp, late)
         .groupBy(F.window(stamp, window, slide).alias("w"))
         .agg(F.count("*").alias("hits"))
     )
-    return _bounds(counted.where(F.col("hits") > limit))
 
 
-def gap_windows(
-    df: DataFrame, gap: Column, stamp: str, *, late: str, window: str = GAP_WINDOW, limit: float = GAP_ROWS_LIMIT
-) -> DataFrame:
-    """Tumbling windows in which the gaps of reconciliation add up to more than ``limit`` rows."""
-    summed = (
+def surge(
+    df: DataFrame, condition: Column, stamp: str, *, late: str, window: str = SURGE_WINDOW,
+    slide: str = "15 minutes", limit: int = SURGE_LIMIT,
+) -> DataFrame:
+    """Sliding windows in which the condition holds more than ``limit`` times; a count only grows, so a window stays."""
+    return hits(df, condition, stamp, late=late, window=window, slide=slide).where(F.col("hits") > limit)
+
+
+def gap_sums(df: DataFrame, gap: Column, stamp: str, *, late: str, window: str = GAP_WINDOW) -> DataFrame:
+    """Gaps of reconciliation per tumbling window."""
+    return _bounds(
         df.withWatermark(stamp, late)
         .groupBy(F.window(stamp, window).alias("w"))
         .agg(F.sum(gap).alias("gap_rows"), F.count_if(gap > 0).alias("gaps"))
     )
-    return _bounds(summed.where(F.col("gap_rows") > limit))
+
+
+def gap_windows(
+    df: DataFrame, gap: Column, stamp: str, *, late: str, window: str = GAP_WINDOW, limit: float = GAP_ROWS_LIMIT
+) -> DataFrame:
+    """Tumbling windows in which the gaps add up to more than ``limit`` rows. In an update-mode stream take ``gap_sums``
+    and filter the table, for a sum may fall again."""
+    return gap_sums(df, gap, stamp, late=late, window=window).where(F.col("gap_rows") > limit)
 
 
 def critical_failures(df: DataFrame, condition: Column, stamp: str, *, late: str, window: str = CRITICAL_WINDOW):
@@ -82,13 +96,20 @@ def slow_windows(
     df: DataFrame, duration: str, stamp: str, *, late: str, window: str = DURATION_WINDOW,
     share: float = 0.95, limit: float = DURATION_LIMIT_MS,
 ) -> DataFrame:
-    """Windows whose 95th percentile of durations exceeds the limit; the sketch keeps state small."""
-    measured = (
+    """Windows whose 95th percentile of durations exceeds the limit. In an update-mode stream take ``durations`` and
+    filter the table, for a percentile may fall again."""
+    return durations(df, duration, stamp, late=late, window=window, share=share).where(F.col("p95") > limit)
+
+
+def durations(
+    df: DataFrame, duration: str, stamp: str, *, late: str, window: str = DURATION_WINDOW, share: float = 0.95
+) -> DataFrame:
+    """The 95th percentile of durations per tumbling window; the sketch keeps state small."""
+    return _bounds(
         df.withWatermark(stamp, late)
         .groupBy(F.window(stamp, window).alias("w"))
         .agg(F.percentile_approx(duration, share, 10000).alias("p95"), F.count("*").alias("row_count"))
     )
-    return _bounds(measured.where(F.col("p95") > limit))
 
 
 def sessions(df: DataFrame, stamp: str, *, late: str, by: list[str], silence: str = SILENCE) -> DataFrame:
@@ -102,6 +123,37 @@ def sessions(df: DataFrame, stamp: str, *, late: str, by: list[str], silence: st
     ).drop("w")
 
 
+def heartbeat(df: DataFrame, stamp: str, *, by: list[str], silence_seconds: int = SILENCE_SECONDS) -> DataFrame:
+    """(by, last_event): a row for each key that has been silent for so long by the clock, also when no event comes any more.
+
+    State is one moment per key; its timer starts anew with each event. A key that has been reported is forgotten until
+    it speaks again. Events without a moment count as signs of life and change no moment.
+    """
+
+    def watch(key, frames, state):
+        import pandas as pd
+
+        if state.hasTimedOut:
+            (last,) = state.get
+            state.remove()
+            yield pd.DataFrame({**{c: [v] for c, v in zip(by, key, strict=True)}, "last": pd.array([last], "Int64")})
+            return
+        last = state.get[0] if state.exists else None
+        for frame in frames:
+            newest = frame["_at"].max()
+            if newest == newest and newest is not pd.NA:
+                last = int(newest) if last is None else max(last, int(newest))
+        state.update((last,))
+        state.setTimeoutDuration(silence_seconds * 1000)
+
+    own = df.select(*by, F.unix_micros(F.col(stamp).cast("timestamp")).alias("_at"))
+    shape = T.StructType([*[own.schema[c] for c in by], T.StructField("last", T.LongType())])
+    alerts = own.groupBy(*by).applyInPandasWithState(
+        watch, shape, "last bigint", "append", GroupStateTimeout.ProcessingTimeTimeout
+    )
+    return alerts.select(*by, F.timestamp_micros("last").alias("last_event"))
+
+
 def suppress_duplicates(df: DataFrame, keys: list[str], stamp: str, *, within: str) -> DataFrame:
     """First row per key; a repeat counts as one while the watermark has not passed it."""
     return df.withWatermark(stamp, within).dropDuplicatesWithinWatermark(keys)

@@ -116,6 +116,72 @@ def test_stream_quarantine_twice_writes_once(spark):
     assert (spark.read.parquet(clean).count(), spark.read.parquet(bad).count()) == (6, 4)
 
 
+def test_stream_quarantine_ids_are_unique_across_batches(spark):
+    folder, clean, bad = (unique(spark, x) for x in ("in", "clean", "bad"))
+    for _ in range(2):
+        write_file(spark, folder, [(1, "k", 9.0, 0), (1, "k", 9.0, 0), (1, "k", 8.0, 1), (2, "k", 1.0, 0)])
+    sinks.quarantine_stream(
+        stream(spark, folder), [RULE], key=["id"], run_id="r", as_of="2024-01-01 00:00:00",
+        clean_path=clean, bad_path=bad, checkpoint=unique(spark, "cp"), payload=["id", "v"],
+    )
+    rows = spark.read.parquet(bad).select("quarantine_id", "run_id", "business_key").collect()
+    assert len({r.quarantine_id for r in rows}) == len(rows) == 6 and {r.run_id for r in rows} == {"r"}
+
+
+def test_update_mode_keeps_rows_and_drops_state(spark):
+    folder, out, checkpoint = (unique(spark, x) for x in ("in", "out", "cp"))
+    make = lambda df: tf.rule_windows(df, [RULE], "ts", window="5 minutes", late="10 minutes")
+    keys, states, removed = ["window_start", "window_end", "rule_id"], [], 0
+    files = [[(i, "k", float(i), i) for i in range(60)], [(1, "k", 9.0, 58), (2, "k", 1.0, 300)], [(3, "k", 9.0, 600)], [(4, "k", 9.0, 601)]]
+    for rows in files:
+        write_file(spark, folder, rows)
+        query = sinks.run_available(make(stream(spark, folder)), out, mode="update", checkpoint=checkpoint)
+        for progress in query.recentProgress:
+            for operator in progress["stateOperators"]:
+                states.append(operator["numRowsTotal"])
+                removed += operator["numRowsRemoved"]
+    assert max(states) >= 12 and states[-1] <= 2 and removed >= 12
+    batch = make(spark.read.schema(SCHEMA).parquet(folder))
+    found = sinks.current(spark, out, keys)
+    assert found.exceptAll(batch).count() == batch.exceptAll(found).count() == 0
+    versions = spark.read.parquet(out).groupBy("batch_id").count().collect()
+    assert max(r["count"] for r in versions if r.batch_id > 0) <= 2  # later batches write what they change
+    sinks.compact(spark, out, keys, f"{out}-compact")
+    assert spark.read.parquet(f"{out}-compact").drop("batch_id").exceptAll(batch).count() == 0
+
+
+def test_a_percentile_that_falls_again_leaves_the_report(spark):
+    folder, out, checkpoint = (unique(spark, x) for x in ("in", "out", "cp"))
+    for rows in ([(1, "k", 900.0, 0)], [(i, "k", 1.0, 1) for i in range(60)]):
+        write_file(spark, folder, rows)
+        made = tf.durations(stream(spark, folder), "v", "ts", late="1 hour")
+        sinks.run_available(made, out, mode="update", checkpoint=checkpoint)
+    assert sinks.current(spark, out, ["window_start", "window_end"]).where("p95 > 100").count() == 0
+
+
+def test_silence_is_reported_while_no_event_comes(spark):
+    folder, out = unique(spark, "in"), unique(spark, "out")
+    write_file(spark, folder, [(1, "a", 1.0, 0), (2, "a", 1.0, 30), (3, "b", 1.0, 5), (4, None, 1.0, 7)])
+    beats = tf.heartbeat(stream(spark, folder), "ts", by=["k"], silence_seconds=2)
+    sinks.run_until_silent(beats, out, checkpoint=unique(spark, "cp"), seconds=60)
+    rows = spark.read.parquet(out).collect()
+    assert sorted(((r.k, r.last_event.minute) for r in rows), key=str) == [("a", 30), ("b", 5), (None, 7)]
+
+
+@pytest.mark.parametrize("window", [None, "5 minutes"])
+def test_late_rows_are_kept_apart(spark, window):
+    folder, out, checkpoint = (unique(spark, x) for x in ("in", "out", "cp"))
+    batches = [[(1, "k", 1.0, 0), (2, "k", 1.0, 59)], [(3, "k", 1.0, 48), (4, "k", 1.0, 52), (5, "k", 1.0, 130)], [(6, "k", 1.0, 60), (7, "k", 1.0, 121)]]
+    for rows in batches:
+        write_file(spark, folder, rows)
+    sinks.run_split_late(stream(spark, folder), out, stamp="ts", late="10 minutes", window=window, checkpoint=checkpoint)
+    for _ in range(2):  # a new checkpoint replays the batches, which replace themselves
+        rows = spark.read.parquet(out).select("id", F.col("late").cast("boolean").alias("late")).collect()
+        assert sorted(r.id for r in rows) == list(range(1, 8))
+        assert {r.id for r in rows if r.late} == ({3, 6} if window is None else {6})
+        sinks.run_split_late(stream(spark, folder), out, stamp="ts", late="10 minutes", window=window, checkpoint=unique(spark, "cp"))
+
+
 def test_session_ends_are_missing_heartbeats(spark):
     folder, out, checkpoint = (unique(spark, x) for x in ("in", "out", "cp"))
     beats = tf.sessions(stream(spark, folder), "ts", late="0 minutes", by=["k"])

@@ -29,7 +29,7 @@ def no_pairs(text):
 
 def test_capture_does_not_shuffle(orders):
     rules = [Rule(f"R{i}", "x", "orders", "validity", violation=f"o_totalprice > {i}") for i in range(5)]
-    text = plan(quarantine.quarantine(orders, rules, key=["o_orderkey"], run_id="r", as_of="2024-01-01 00:00:00"))
+    text = plan(quarantine.quarantine(orders, rules, key=["o_orderkey"], run_id="r", as_of="2024-01-01 00:00:00", unique_key=True))
     assert "Exchange" not in text and text.count("FileScan") == 1
 
 
