@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import zlib
 from bisect import bisect_left, insort
 from functools import lru_cache
@@ -13,12 +14,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewarden.llm.common import char_class, flat, query, read, settled, slices, word_hashes
+from tablewarden.llm.common import char_class, flat, query, read, settled, slices
 
 END = 2  # id after each document
-CACHE = 200_000  # distinct pieces of text whose ids a worker remembers
-TOGETHER = 500  # distinct pieces encoded as one text, and such texts to a call
-SLICE = 2 << 20  # text whose arrays a task holds at once
+CACHE = 32 << 20  # bytes of distinct parts of text, with their ids, that a worker remembers
+SHORT, ENTRY = 256, 130  # longest part that is remembered, and what an entry takes besides its bytes
+TOGETHER, CALL = 500, 50  # distinct parts encoded as one text, and such texts to a call
+SLICE = 1 << 20  # text whose arrays a task holds at once
 # A blank before one of these bytes starts a new pre-token: no white space begins with them.
 SOLID = char_class([*range(0x21, 0x7F), *range(0xC3, 0xE1), *range(0xE4, 0xF5)])
 LETTER = char_class([*range(0x41, 0x5B), *range(0x61, 0x7B)])
@@ -28,40 +30,45 @@ MARK = char_class(x for x in range(0x21, 0x7F) if not chr(x).isalnum() and chr(x
 
 # --- token ids -----------------------------------------------------------------------
 def distinct(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-    """Which distinct part each part between two cuts is, and the distinct parts; hashes propose, bytes decide."""
-    starts, ends = cuts[:-1], cuts[1:]
-    which, keys = pd.factorize(word_hashes(data, starts, ends))
-    first = np.empty(len(keys), np.int64)
-    first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
-    shift = np.repeat(starts[first][which] - starts, ends - starts)
-    raw = data.tobytes()
-    if not np.array_equal(data[shift + np.arange(len(data))], data):
-        parts = pa.array([raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], pa.binary())
-        parts = parts.dictionary_encode()
-        return parts.indices.to_numpy(), parts.dictionary.to_pylist()
-    return which, [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+    """Which distinct part each part between two cuts is, and the distinct parts."""
+    edges = pa.py_buffer(cuts.astype(np.int32))
+    parts = pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, edges, pa.py_buffer(data)]).dictionary_encode()
+    return parts.indices.to_numpy(), parts.dictionary.to_pylist()
+
+
+def cuts_apart(definition: str) -> bool:
+    """Whether a vocabulary encodes the parts of a text apart: a byte-level one that changes nothing before."""
+    rules = json.loads(definition)
+    before, model = rules.get("pre_tokenizer") or {}, rules["model"]
+    return (
+        before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+        and not rules.get("normalizer") and model["type"] == "BPE" and not model.get("dropout")
+        and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in rules.get("added_tokens") or [])
+    )
 
 
 class Encoder:
     """Ids of many texts by one byte-level vocabulary.
 
     Texts are cut where the vocabulary's pre-tokenizer always cuts, before a single blank that a visible character
-    follows, between a letter and a mark and around a single line break, and every distinct part is encoded once.
+    follows, between a letter and a mark and around a single line break, and every distinct part is encoded once. A
+    vocabulary that is not byte-level encodes whole texts.
     """
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_str(definition), {}
+        self.tokenizer, self.known, self.held = Tokenizer.from_str(definition), {}, 0
+        self.apart = cuts_apart(definition)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.bytes[i] = len(token)  # each character of a token stands for one byte
 
-    def learn(self, parts: list[bytes]) -> None:
-        """Encode new parts, many as one text: parts that begin with a blank keep their borders one after another,
+    def learn(self, parts: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of new parts, many as one text: parts that begin with a blank keep their borders one after another,
         parts of visible characters keep them with line breaks between."""
-        blank, plain, other = [], [], []
+        blank, plain, other, learned = [], [], [], {}
         for w in parts:
             if w[:1] == b" " and len(w) > 1 and SOLID[w[1]]:
                 blank.append(w)
@@ -72,8 +79,8 @@ class Encoder:
         groups = [(b"", blank[i : i + TOGETHER]) for i in range(0, len(blank), TOGETHER)]
         groups += [(b"\n", plain[i : i + TOGETHER]) for i in range(0, len(plain), TOGETHER)]
         groups += [(b"", g) for g in other]
-        for low in range(0, len(groups), TOGETHER):
-            some = groups[low : low + TOGETHER]
+        for low in range(0, len(groups), CALL):
+            some = groups[low : low + CALL]
             texts = [mark.join(g).decode() for mark, g in some]
             for (mark, group), done in zip(some, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
                 ids = np.array(done.ids, "<u4")
@@ -83,10 +90,26 @@ class Encoder:
                 raw, begin = ids.tobytes(), 4 * np.searchsorted(ends, stops - sizes)
                 close = 4 * np.searchsorted(ends, stops - len(mark))
                 for word, i, j in zip(group, begin.tolist(), close.tolist(), strict=True):
-                    self.known[word] = raw[i:j]
+                    learned[word] = raw[i:j]
+        return learned
+
+    def keep(self, learned: dict[bytes, bytes]) -> None:
+        """Remember short parts, CACHE bytes of them at most."""
+        for word, ids in learned.items():
+            if len(word) <= SHORT:
+                self.held += len(word) + len(ids) + ENTRY
+                if self.held > CACHE:
+                    self.known, self.held = {}, len(word) + len(ids) + ENTRY
+                self.known[word] = ids
+
+    def whole(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        found = [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast([(t or b"").decode() for t in texts], add_special_tokens=False)]
+        return np.concatenate([*found, np.empty(0, "<u4")]), np.cumsum([0, *map(len, found)])
 
     def ids(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's ids start (one more entry for the end)."""
+        if not self.apart:
+            return self.whole(texts)
         data, offsets = flat(texts)
         if not len(data):
             return np.empty(0, "<u4"), np.zeros(len(offsets), np.int64)
@@ -98,10 +121,9 @@ class Encoder:
         cut[offsets] = True
         cuts = np.flatnonzero(cut)
         which, words = distinct(data, cuts)
-        if len(self.known) > CACHE:
-            self.known.clear()
-        self.learn([w for w in words if w not in self.known])
-        found = [self.known[w] for w in words]
+        learned = self.learn([w for w in words if w not in self.known])
+        found = [learned[w] if w in learned else self.known[w] for w in words]
+        self.keep(learned)
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         pool = np.frombuffer(b"".join(found), "<u4")
         many = sizes[which]

@@ -91,6 +91,26 @@ def test_ids_are_those_of_the_tokenizer(spark):
     assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_other_vocabularies_encode_whole_texts():
+    from tokenizers import Tokenizer
+
+    other = packing.vocabulary("word_bpe_49k.json")
+    texts = ["Some Words, 12 and more words.", "", "x y", "ünï çödé"]
+    ids, edges = packing.Encoder(other).ids([t.encode() for t in texts])
+    plain = Tokenizer.from_str(other)
+    assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:], strict=False)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_the_cache_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE", 40_000)
+    encoder = packing.Encoder(VOCABULARY)
+    for k in range(30):
+        texts = [f"w{k}x{i} z{i * k}" for i in range(40)] + ["漢字" * 1000 + str(k)]
+        encoder.ids([t.encode() for t in texts])
+        held = sum(len(w) + len(x) + packing.ENTRY for w, x in encoder.known.items())
+        assert held == encoder.held <= packing.CACHE and max(map(len, encoder.known)) <= packing.SHORT
+
+
 def pieces_of(text, capacity):
     from tokenizers import Tokenizer
 
