@@ -12,7 +12,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +19,7 @@ from pyspark.sql import types as T
 
 from tablewarden.llm.blocks import bucket_of
 from tablewarden.llm.common import char_class, flat, query, read, settled, slices, word_hashes
-from tablewarden.llm.packing import vocabulary
+from tablewarden.llm.packing import cuts_apart, vocabulary
 from tablewarden.session import new_path
 
 BLOCK_BYTES = 8 << 20  # text of a block; a longer text is a block of its own
@@ -66,13 +65,8 @@ class Words:
         from tokenizers import Tokenizer
 
         rules = json.loads(definition)
-        before, model = rules.get("pre_tokenizer") or {}, rules["model"]
         self.added = [t["content"].encode() for t in rules.get("added_tokens") or []]
-        self.apart = (
-            before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
-            and not rules.get("normalizer") and model["type"] == "BPE" and not model.get("dropout")
-            and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in rules.get("added_tokens") or [])
-        )
+        self.apart = cuts_apart(definition)
         self.splitter = Tokenizer.from_str(definition).pre_tokenizer
 
     def cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -231,7 +225,7 @@ def dealt(many: int):
     return run
 
 
-ENCODED = "of bigint, share int, sizes binary, ids binary, used array<int>"
+ENCODED = "of bigint, share int, sizes binary, ids binary"
 
 
 def encoded(definition):
@@ -254,12 +248,12 @@ def encoded(definition):
         rows, which = [], sent.indices.to_numpy()
         for own in np.split(which, np.cumsum([len(x) for x in lengths])[:-1]):
             ids, _ = gathered(pool, starts, sizes, own)
-            rows.append((shrunk(sizes[own]), shrunk(ids), np.unique(ids).astype(np.int32)))
-        packed, ids, used = zip(*rows, strict=True)
+            rows.append((shrunk(sizes[own]), shrunk(ids)))
+        packed, ids = zip(*rows, strict=True)
         return pa.Table.from_arrays(
-            [table.column("of"), table.column("share"), pa.array(packed, pa.binary()), pa.array(ids, pa.binary()), pa.array(used, pa.list_(pa.int32()))],
-            ["of", "share", "sizes", "ids", "used"],
-        )
+            [table.column("of"), table.column("share"), pa.array(packed, pa.binary()), pa.array(ids, pa.binary())],
+            ["of", "share", "sizes", "ids"],
+        )
 
     return run
 
@@ -272,8 +266,8 @@ def tokenizer_of(definition: str):
 
 
 @lru_cache(maxsize=1)
-def pieces(definition: str) -> list[tuple[int, str]]:
-    """Every id with the bytes it stands for, in hexadecimal digits."""
+def pieces(definition: str) -> pa.Table:
+    """(id, piece): the bytes each id stands for; as many rows as the vocabulary has, whatever the texts are."""
     from tokenizers import Tokenizer
 
     if (json.loads(definition).get("decoder") or {}).get("type") != "ByteLevel":
@@ -284,13 +278,9 @@ def pieces(definition: str) -> list[tuple[int, str]]:
     found = []
     for token, i in Tokenizer.from_str(definition).get_vocab(with_added_tokens=True).items():
         raw = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
-        found.append((i, raw.hex()))
-    return found
-
-
-def piece_table(docs: DataFrame, definition: str) -> DataFrame:
-    """(id, piece); as many rows as the vocabulary has, whatever the documents are."""
-    return F.broadcast(docs.sparkSession.createDataFrame(pieces(definition), "id int, piece string"))
+        found.append((i, raw))
+    ids, raw = zip(*found, strict=True)
+    return pa.table({"id": pa.array(ids, pa.int32()), "piece": pa.array(raw, pa.binary())})
 
 
 def gathered(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -316,28 +306,29 @@ def unpacked(left: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return rows.flatten(), np.append(0, np.cumsum(grown(left.column("sizes")[0].as_py()))), grown(left.column("numbers")[0].as_py())
 
 
-def spelled(ids: np.ndarray, right: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes that ids stand for by the rows (id, piece) of their block, and where those of each end."""
-    right = right.filter(pc.is_valid(right.column("id"))).sort_by("id")
-    known = right.column("id").to_numpy()
-    raw = [bytes.fromhex(x or "") for x in right.column("piece").to_pylist()]
+def spelled(ids: np.ndarray, known: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes that ids stand for by rows (id, piece) that hold each of them once, and where those of each end."""
+    known = known.sort_by("id")
+    raw = [x or b"" for x in known.column("piece").to_pylist()]
     sizes = np.array([len(x) for x in raw], np.int64)
-    return gathered(np.frombuffer(b"".join(raw), np.uint8), np.cumsum(sizes) - sizes, sizes, np.searchsorted(known, ids))
+    at = np.searchsorted(known.column("id").to_numpy(), ids)
+    return gathered(np.frombuffer(b"".join(raw), np.uint8), np.cumsum(sizes) - sizes, sizes, at)
 
 
-def filled(many: int):
-    """A block's rows with the ids and the text of each."""
+def filled(definition, many: int):
+    """A block's rows with the ids and the text of each; its distinct ids are joined with the pieces of the vocabulary."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         rows, edges, numbers = unpacked(left)
         order = np.argsort(shares_of(own_keys(left.column("keys").combine_chunks(), 0), many), kind="stable")
-        answers = right.filter(pc.is_valid(right.column("ids"))).sort_by("share")
+        answers = right.sort_by("share")
         got = np.concatenate([*(grown(x) for x in answers.column("sizes").to_pylist()), np.empty(0, np.int64)])
         pool = np.concatenate([*(grown(x) for x in answers.column("ids").to_pylist()), np.empty(0, np.int64)])
         sizes, starts = np.empty_like(got), np.empty_like(got)
         sizes[order], starts[order] = got, np.cumsum(got) - got
         ids, ends = gathered(pool, starts, sizes, numbers)
-        raw, stops = spelled(ids, right)
+        used = pa.table({"id": pa.array(np.unique(ids).astype(np.int32))})
+        raw, stops = spelled(ids, used.join(pieces(definition.value), "id", join_type="left outer"))
         at = ends[edges]
         lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))
         return pa.Table.from_arrays([rows, lists, texts_of(raw, stops[at])], ["row", "ids", "decoded"])
@@ -367,7 +358,7 @@ def encode(docs: DataFrame, definition: str, text_col: str = "text", *, carry: l
     Texts are cut into words in blocks, which are written down in buckets: a text is the numbers of its words there and
     does not move any more. The distinct words of a block go, packed, to the shares of one table of words, where each
     distinct word is encoded once; a block gets its ids back, and its distinct ids are joined with the pieces of the
-    vocabulary. A word in a third of all texts is one word in each block.
+    vocabulary where the block is, since that table is small and the same for all. A word in a third of all texts is one word in each block.
     """
     carry, spark = carry or docs.columns, docs.sparkSession
     shared = spark.sparkContext.broadcast(definition)
@@ -378,10 +369,8 @@ def encode(docs: DataFrame, definition: str, text_col: str = "text", *, carry: l
     many = max(1, -(-held // SHARE_BYTES))
     sent = blocks.select("block", "keys").mapInArrow(dealt(many), "of bigint, share int, lengths binary, letters binary")
     answers = settled(sent.groupBy("share").applyInArrow(encoded(shared), ENCODED), "encoded-words")
-    used = answers.select("of", F.explode("used").alias("id")).distinct().join(piece_table(docs, definition), "id", "left")
-    right = answers.select("of", "share", "sizes", "ids").unionByName(used, allowMissingColumns=True)
-    schema = T.StructType([own.schema["row"], *T._parse_datatype_string("ids array<int>, decoded string").fields])
-    return blocks.groupBy("block").cogroup(right.groupBy("of")).applyInArrow(filled(many), schema)
+    schema = T.StructType([own.schema["row"], *T.StructType.fromDDL("ids array<int>, decoded string").fields])
+    return blocks.groupBy("block").cogroup(answers.groupBy("of")).applyInArrow(filled(shared, many), schema)
 
 
 def decode(lists: DataFrame, definition: str, ids_col: str = "ids", *, carry: list[str] | None = None) -> DataFrame:
@@ -400,7 +389,8 @@ def decode(lists: DataFrame, definition: str, ids_col: str = "ids", *, carry: li
     kind = own.schema["row"].dataType.simpleString()
     blocks = bucketed(own.mapInArrow(in_blocks(id_blocks, BLOCK_BYTES), BLOCKS.format(kind, "int")))
     used = blocks.select(F.col("block").alias("of"), F.explode("keys").alias("id"))
-    found = used.join(piece_table(lists, definition), "id", "left").select("of", "id", "piece")
+    table = F.broadcast(lists.sparkSession.createDataFrame(pieces(definition)))  # a vocabulary
+    found = used.join(table, "id", "left").select("of", "id", "piece")
     schema = T.StructType([own.schema["row"], T.StructField("decoded", T.StringType())])
     return blocks.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(joined, schema)
 

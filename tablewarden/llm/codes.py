@@ -345,7 +345,7 @@ def compress(
         books = books.copy()
         for r in moved.groupBy("part", "entry").agg(F.sum("n").alias("n"), *each).collect():  # one row per entry
             books[r.part, r.entry] = [int(r[f"s{i}"]) // r.n for i in range(width // parts)]
-    schema = T.StructType([own.schema["row"], *T._parse_datatype_string("codes array<int>, error bigint").fields])
+    schema = T.StructType([own.schema["row"], *T.StructType.fromDDL("codes array<int>, error bigint").fields])
     found = trees.select("rows", "points", "many", *FIELDS).mapInArrow(assigned(context.broadcast(books), width), schema)
     return found.unionByName(left_out), books
 
