@@ -55,7 +55,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences."""
-    found = pack(docs, vocabulary(), carry=["doc_id"])
+    # the heap of the stages before stays beside the workers, so they get half of the usual memory
+    found = pack(docs, vocabulary(), carry=["doc_id"], cache=32 << 20, slice_bytes=1 << 20)
     return found.select("row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from tablewarden.llm.common import char_class, flat, query, read, settled, slices
 
 END = 2  # id after each document
-CACHE = 32 << 20  # bytes of distinct parts of text, with their ids, that a worker remembers
+CACHE = 64 << 20  # bytes of distinct parts of text, with their ids, that a worker remembers
 SHORT, ENTRY = 256, 130  # longest part that is remembered, and what an entry takes besides its bytes
 TOGETHER, CALL = 500, 50  # distinct parts encoded as one text, and such texts to a call
-SLICE = 1 << 20  # text whose arrays a task holds at once
+SLICE = 2 << 20  # text whose arrays a task holds at once
 # A blank before one of these bytes starts a new pre-token: no white space begins with them.
 SOLID = char_class([*range(0x21, 0x7F), *range(0xC3, 0xE1), *range(0xE4, 0xF5)])
 LETTER = char_class([*range(0x41, 0x5B), *range(0x61, 0x7B)])
@@ -55,9 +55,10 @@ class Encoder:
     vocabulary that is not byte-level encodes whole texts.
     """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, cache: int | None = None):
         from tokenizers import Tokenizer
 
+        self.cache = CACHE if cache is None else cache
         self.tokenizer, self.known, self.held = Tokenizer.from_str(definition), {}, 0
         self.apart = cuts_apart(definition)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -94,11 +95,11 @@ class Encoder:
         return learned
 
     def keep(self, learned: dict[bytes, bytes]) -> None:
-        """Remember short parts, CACHE bytes of them at most."""
+        """Remember short parts, ``cache`` bytes of them at most."""
         for word, ids in learned.items():
             if len(word) <= SHORT:
                 self.held += len(word) + len(ids) + ENTRY
-                if self.held > CACHE:
+                if self.held > self.cache:
                     self.known, self.held = {}, len(word) + len(ids) + ENTRY
                 self.known[word] = ids
 
@@ -134,22 +135,22 @@ class Encoder:
 
 
 @lru_cache(maxsize=1)
-def encoder(definition: str) -> Encoder:
-    return Encoder(definition)
+def encoder(definition: str, cache: int) -> Encoder:
+    return Encoder(definition, cache)
 
 
 PIECES = "row {}, piece int, start bigint, length bigint, ids_crc32 bigint, block int, place bigint"
 
 
-def cutter(definition, capacity: int):
+def cutter(definition, capacity: int, cache: int, slice_bytes: int):
     """Pieces of documents; ``place`` counts the pieces of one length within the task."""
 
     def cut(batches):
-        encode, block = encoder(definition.value).ids, TaskContext.get().partitionId()
+        encode, block = encoder(definition.value, cache).ids, TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             rows, column = batch.column(0), batch.column(1)
-            for low, high in slices(column, SLICE):
+            for low, high in slices(column, slice_bytes):
                 ids, edges = encode(column.slice(low, high - low).to_pylist())
                 of, piece, start, length, crc, place = [], [], [], [], [], []
                 for d in range(high - low):
@@ -320,12 +321,15 @@ def pack(
     *,
     capacity: int = 1024,
     carry: list[str] | None = None,
+    cache: int = CACHE,
+    slice_bytes: int = SLICE,
 ) -> DataFrame:
     """One row per piece: row (the columns in ``carry``, or all but the text), piece, start, length, ids_crc32, sequence_id, offset.
 
     ``definition`` is the JSON of a tokenizer. A document is its ids and the end id; NULL and empty texts are the end
     id alone. Only documents of more than ``capacity`` ids are cut, into full pieces after a first shorter one. Every row
-    is packed, repeated rows and rows with a NULL id too; no documents give no rows.
+    is packed, repeated rows and rows with a NULL id too; no documents give no rows. ``cache`` and ``slice_bytes`` bound
+    the memory of a worker: what it remembers of encoded parts, and the text it turns into arrays at once.
 
     Only the number of pieces of each length reaches the driver, ``capacity`` numbers at most. Pieces of one length are
     alike, so reduction and best fit work on these counts, and each piece looks its slot up by its rank.
@@ -334,7 +338,7 @@ def pack(
     shared = docs.sparkSession.sparkContext.broadcast(definition)
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(f"`{text_col}`").cast("binary").alias("text"))
     schema = PIECES.format(own.schema["row"].dataType.simpleString())
-    pieces = settled(own.mapInArrow(cutter(shared, capacity), schema), "pieces")
+    pieces = settled(own.mapInArrow(cutter(shared, capacity, cache, slice_bytes), schema), "pieces")
     blocks = settled(pieces.groupBy("block", "length").agg(F.count("*").alias("n")), "piece-counts")
     counts = {r.length: r.n for r in blocks.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     rows = sorted(plan(counts, capacity).rows)
