@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewarden.llm.common import query, read, settled
 from tablewarden.llm.quality import let
 
 EDITS = 1  # the edit bound: one character inserted, deleted or replaced
-MIN_CHARS = 20  # shorter lines (closings, list marks) are never removed
+MIN_CHARS = 20  # shorter lines (closings, list marks) go for an equal line only, not for one that differs by an edit
 SEGMENT = 24  # characters of a line whose deletions are emitted together
 
 
@@ -81,21 +82,42 @@ def variants(middle: Column, key: Column, longer: Column) -> Column:
     )
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc, at, line, digest, place) for every line long enough; docs has doc (a struct) and text.
+def places(id_type: T.DataType) -> Column:
+    """The order of lines: by document, NULL ids last, then by line number, then by the text's hash.
 
-    ``place`` orders lines: by document, NULL ids last, then by line.
+    With whole numbers as ids it is one number, so that minima are hash aggregates: the id, 31 bits of line number and
+    31 bits of hash, or beyond all ids the line number and 64 bits of hash. Other ids are compared as a struct.
     """
+    if not isinstance(id_type, T.IntegralType):
+        return F.struct(F.col("doc.id").isNull().alias("late"), "doc.id", "at", "doc.hash")
+
+    def number(x: Column) -> Column:
+        return x.cast("decimal(38,0)")
+
+    def power(bits: int) -> Column:
+        return number(F.lit(str(1 << bits)))
+
+    low = F.col("at").cast("bigint") * (1 << 31) + F.col("doc.hash").bitwiseAND((1 << 31) - 1)
+    known = number(number(F.col("doc.id")) * power(62) + number(low))
+    late = number(power(125) + number(F.col("at")) * power(64) + number(F.col("doc.hash")) + power(63))
+    return F.coalesce(known, late)
+
+
+def lines_of(docs: DataFrame) -> DataFrame:
+    """(doc, at, line, digest, place) for every line that is not blank; docs has doc (a struct) and text."""
     rows = docs.select("doc", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    rows = rows.withColumn("line", F.btrim("line", F.lit(" \t\x0b\x0c\r"))).where(F.length("line") >= MIN_CHARS)
-    place = F.struct(F.col("doc.id").isNull().alias("late"), "doc.id", "at", "doc.hash")
+    rows = rows.withColumn("line", F.btrim("line", F.lit(" \t\x0b\x0c\r"))).where("line != ''")
+    place = places(docs.schema["doc"].dataType["id"].dataType)
     return rows.select("doc", "at", "line", F.unhex(F.sha2("line", 256)).alias("digest"), place.alias("place"))
 
 
-def distinct_lines(lines: DataFrame) -> DataFrame:
-    """(digest, place, n, line_key, size, keys of the halves) of each distinct line; place is the earliest."""
+def distinct_lines(lines: DataFrame, min_chars: int) -> DataFrame:
+    """(digest, place, n, line_key, size, keys of the halves) of each distinct line; place is the earliest.
+
+    Lines of fewer than ``min_chars`` characters have no keys, so nothing but an equal line meets them.
+    """
     size = F.length("line")
-    keys = [F.first(k).alias(f"half_{i}") for i, k in enumerate(halves(F.col("line"), size))]
+    keys = [F.first(F.when(size >= min_chars, k)).alias(f"half_{i}") for i, k in enumerate(halves(F.col("line"), size))]
     found = lines.groupBy("digest").agg(F.min("place").alias("place"), F.count("*").alias("n"), F.first(size).alias("size"), *keys)
     return settled(found.withColumn("line_key", F.xxhash64("digest")), "lines")
 
@@ -111,11 +133,12 @@ def near_lines(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     four = F.array(*[
         F.struct(F.lit(i // 2).alias("longer"), F.lit(i % 2).alias("side"), F.col(f"half_{i}").alias("key")) for i in range(4)
     ])
-    keyed = distinct.select("line_key", F.explode(four).alias("k")).select("line_key", "k.*")
+    keyed = distinct.where("half_0 IS NOT NULL").select("line_key", F.explode(four).alias("k")).select("line_key", "k.*")
     halved = settled(shared(keyed, ["key"]).select("line_key", "longer", "side"), "halves")
     wanted = distinct.join(halved.select("line_key").distinct(), "line_key", "left_semi")
-    texts = lines.groupBy("digest").agg(F.first("line").alias("line"))
-    texts = settled(texts.join(wanted.select("digest", "line_key", "place", "size"), "digest"), "half-lines")
+    wanted = settled(wanted.select("digest", "line_key", "place", "size"), "wanted-lines")
+    texts = lines.select("digest", "line").join(wanted.select("digest"), "digest", "left_semi")
+    texts = settled(texts.groupBy("digest").agg(F.first("line").alias("line")).join(wanted, "digest"), "half-lines")
     longer = F.col("longer") == 1
     parts = segments(F.col("line"), F.col("size"), F.col("size") - F.col("longer"), F.col("side"))
     rows = texts.join(halved, "line_key").select("line_key", "place", longer.alias("is_longer"), F.explode(parts).alias("s"))
@@ -133,21 +156,28 @@ def near_lines(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     return settled(checked.where(F.levenshtein("line", "early_line", EDITS) >= 0).select("digest").distinct(), "near-lines")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, carry: list[str] | None = None) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, carry: list[str] | None = None,
+    min_chars: int = MIN_CHARS,
+) -> DataFrame:
     """One row per document: row (columns in ``carry``, or all), n_lines, n_removed, text (what is left).
 
-    Lines are parted by line feeds and compared without white space at their ends. A line of MIN_CHARS characters or
-    more goes if a line within EDITS edits (characters) stands earlier: in a document with a smaller id or further up in
-    the same one. Lines are judged on the input, not on what is left. Rows with a NULL id come after all others; rows with one id are judged
-    by line number and content, so that repeated rows keep the same lines; a NULL text has no lines and stays NULL.
+    Lines are parted by line feeds and compared without white space at their ends; blank lines stay. A line of any
+    length goes if an equal line stands earlier: in a document with a smaller id or further up in the same one. A line of
+    ``min_chars`` characters or more also goes if another one of that length within EDITS edits (characters) stands earlier.
+    Lines are judged on the input, not on what is left. Rows with a NULL id come after all others; rows with one id are
+    judged by line number and content, so that repeated rows keep the same lines (rows of one whole-number id that
+    agree in 31 bits of their texts' hashes count as repeated); a NULL text has no lines and stays NULL.
     """
+    if min_chars < 1:
+        raise ValueError("min_chars must be at least 1")
     carried = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.struct("*")
     text = F.col(f"`{text_col}`").cast("string")
     own = docs.select(
         carried.alias("row"), F.struct(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("hash")).alias("doc"), text.alias("text")
     )
     lines = lines_of(own.select("doc", "text"))
-    distinct = distinct_lines(lines)
+    distinct = distinct_lines(lines, min_chars)
     near = near_lines(lines, distinct).withColumn("near", F.lit(True))
     verdict = distinct.select("digest", "n", F.col("place").alias("first")).join(near, "digest", "left")
     verdict = verdict.where("n > 1 OR near").select("digest", "first", "near")
@@ -170,10 +200,11 @@ SQL = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
 l AS (SELECT r, doc_id, unnest(string_split(text, chr(10))) AS raw, unnest(range(len(string_split(text, chr(10))))) AS ln FROM d),
 e AS (SELECT *, trim(raw, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)) AS line FROM l),
-f AS (SELECT line, min(doc_id * 1000000 + ln) AS earliest, length(line) AS size FROM e WHERE length(line) >= {MIN_CHARS} GROUP BY line),
-n AS (SELECT DISTINCT a.line FROM f a JOIN f b ON b.size = a.size AND b.earliest < a.earliest AND levenshtein(a.line, b.line) <= {EDITS}
-    UNION SELECT DISTINCT a.line FROM f a JOIN f b ON b.size = a.size + 1 AND b.earliest < a.earliest AND levenshtein(a.line, b.line) <= {EDITS}
-    UNION SELECT DISTINCT a.line FROM f a JOIN f b ON b.size = a.size - 1 AND b.earliest < a.earliest AND levenshtein(a.line, b.line) <= {EDITS}),
+f AS (SELECT line, min(doc_id * 1000000 + ln) AS earliest, length(line) AS size FROM e WHERE line <> '' GROUP BY line),
+w AS (SELECT * FROM f WHERE size >= {MIN_CHARS}),
+n AS (SELECT DISTINCT a.line FROM w a JOIN w b ON b.size = a.size AND b.earliest < a.earliest AND levenshtein(a.line, b.line) <= {EDITS}
+    UNION SELECT DISTINCT a.line FROM w a JOIN w b ON b.size = a.size + 1 AND b.earliest < a.earliest AND levenshtein(a.line, b.line) <= {EDITS}
+    UNION SELECT DISTINCT a.line FROM w a JOIN w b ON b.size = a.size - 1 AND b.earliest < a.earliest AND levenshtein(a.line, b.line) <= {EDITS}),
 g AS (SELECT r, ln, raw, (f.line IS NOT NULL AND (f.earliest < doc_id * 1000000 + ln OR n.line IS NOT NULL)) AS gone
     FROM e LEFT JOIN f USING (line) LEFT JOIN n USING (line))
 SELECT doc_id, n_lines, n_removed, left_text AS text FROM d JOIN (SELECT r, count(*) AS n_lines,

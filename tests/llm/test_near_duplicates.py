@@ -112,13 +112,13 @@ def distance_within(a, b):
     return any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
 
 
-def expected_lines(rows):
+def expected_lines(rows, min_chars=lines.MIN_CHARS):
     """Kept lines of each row by comparing every line with every earlier one."""
     places = []
     for doc, text in rows:
         for at, raw in enumerate(text.split("\n") if text is not None else []):
             line = raw.strip(" \t\x0b\x0c\r")
-            if len(line) >= lines.MIN_CHARS:
+            if line:
                 places.append(((doc is None, doc or 0, at), line))
     first = {}
     for place, line in places:
@@ -131,17 +131,17 @@ def expected_lines(rows):
         kept, raws = [], text.split("\n")
         for at, raw in enumerate(raws):
             line, place = raw.strip(" \t\x0b\x0c\r"), (doc is None, doc or 0, at)
-            early = len(line) >= lines.MIN_CHARS and (
-                first[line] < place or any(p < first[line] and distance_within(line, x) for x, p in first.items() if x != line)
-            )
+            near = [p for x, p in first.items() if len(x) >= min_chars <= len(line) and x != line and distance_within(line, x)]
+            early = line and (first[line] < place or any(p < first[line] for p in near))
             if not early:
                 kept.append(raw)
         out.append((doc, len(raws), len(raws) - len(kept), "\n".join(kept)))
     return sorted(out, key=repr)
 
 
-def lines_found(docs):
-    return sorted(((r.row.doc_id, r.n_lines, r.n_removed, r.text) for r in lines.dedup_lines(docs).collect()), key=repr)
+def lines_found(docs, **options):
+    found = lines.dedup_lines(docs, **options).collect()
+    return sorted(((r.row.doc_id, r.n_lines, r.n_removed, r.text) for r in found), key=repr)
 
 
 def test_lines_of_odd_documents(odd_docs, no_docs, frame):
@@ -160,6 +160,37 @@ def test_lines_within_one_edit(frame):
     assert lines_found(docs) == expected_lines(rows)
 
 
+def test_short_lines_go_for_equal_lines(frame):
+    rows = [(1, "Read more\n\nfirst text"), (2, "Read more\n \nsecond text\n}"), (3, "Read mare\n  Read more\n}\n}"), (4, "")]
+    docs = frame(rows, "doc_id bigint, text string")
+    assert lines_found(docs) == expected_lines(rows)
+    assert [x[2] for x in lines_found(docs)] == [0, 1, 3, 0]
+    assert lines_found(docs, min_chars=4) == expected_lines(rows, 4)
+    assert [x[2] for x in lines_found(docs, min_chars=4)] == [0, 1, 4, 0]
+
+
+def test_order_of_lines_for_any_ids(frame):
+    """The first line of the smallest id stays: negative and largest ids, NULL ids last, ids of text, repeated ids."""
+    line = "one line that stands in every document"
+    rows = [(x, line) for x in (2**63 - 1, 0, None, -5, -(2**63), None, 7)]
+    assert {x[0]: x[2] for x in lines_found(frame(rows, "doc_id bigint, text string"))}[-(2**63)] == 0
+    assert sum(x[2] for x in lines_found(frame(rows, "doc_id bigint, text string"))) == 6
+    late = lines_found(frame([(None, "a\n" + line), (None, line + "\nb")], "doc_id bigint, text string"))
+    assert late == [(None, 2, 0, line + "\nb"), (None, 2, 1, "a")]
+    named = lines_found(frame([("b", line), ("a", line), (None, line)], "doc_id string, text string"))
+    assert sorted((str(x[0]), x[2]) for x in named) == [("None", 1), ("a", 0), ("b", 1)]
+    again = lines_found(frame([(3, line), (3, line), (3, line + "\nand one of its own")], "doc_id int, text string"))
+    assert sum(x[1] - x[2] for x in again) in (2, 3)  # by content, all equal rows alike
+
+
+def test_minima_of_lines_are_hash_aggregates(frame, capsys):
+    docs = frame([(1, "a line")], "doc_id bigint, text string")
+    own = docs.select(F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash")).alias("doc"), "text")
+    rows = lines.lines_of(own)
+    rows.groupBy("digest").agg(F.min("place"), F.first(F.length("line"))).explain()
+    assert "SortAggregate" not in capsys.readouterr().out
+
+
 def test_odd_distances_in_crowded_lists(spark):
     draw = np.random.default_rng(6)
     prints = set()
