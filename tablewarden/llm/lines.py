@@ -137,7 +137,7 @@ def near_lines(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     halved = settled(shared(keyed, ["key"]).select("line_key", "longer", "side"), "halves")
     wanted = distinct.join(halved.select("line_key").distinct(), "line_key", "left_semi")
     wanted = settled(wanted.select("digest", "line_key", "place", "size"), "wanted-lines")
-    texts = lines.select("digest", "line").join(wanted.select("digest"), "digest", "left_semi")
+    texts = lines.select("digest", "place", "line").join(wanted.select("digest", "place"), ["digest", "place"], "left_semi")
     texts = settled(texts.groupBy("digest").agg(F.first("line").alias("line")).join(wanted, "digest"), "half-lines")
     longer = F.col("longer") == 1
     parts = segments(F.col("line"), F.col("size"), F.col("size") - F.col("longer"), F.col("side"))
