@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from tablewarden.functions.text import SEMANTIC_PATTERNS
-from tablewarden.operators import governance, profiling, trends
+from tablewarden.operators import governance, keys, profiling, sketches, trends
 from tablewarden.operators.quantiles import exact_percentiles
 from tablewarden.plans import inputs
 from tablewarden.plans.registry import query
+from tablewarden.session import new_path
+from tablewarden.sources import writers
 
 # columns of the profiled tables with their Spark types, for the SQL side
 COLUMNS = {
@@ -258,3 +262,73 @@ def duration_percentiles(load):
 def profile_outliers(load):
     found = trends.outlier_counts(load("lineitem"), "l_extendedprice", by=["l_returnflag"])
     return found.withColumns({c: F.round(c, 4) for c in ("q1", "q3", "low_fence", "high_fence")})
+
+
+# --- sketches and keys ----------------------------------------------------------------------
+SKETCHED = "lineitem"
+MONTH = "l_shipdate"
+
+
+@query(
+    "profile_sketches",
+    " UNION ALL ".join(
+        f"""SELECT '{SKETCHED}' AS table_name, '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count,
+      count(DISTINCT {c}) AS distinct_count, TRUE AS distinct_within, {'TRUE' if k in NUMBERS else 'NULL::BOOLEAN'} AS median_within
+    FROM {SKETCHED}""" for c, k in COLUMNS[SKETCHED].items()
+    ),
+)
+def profile_sketches(load):
+    """Sketches per month are kept as evidence, read again and merged; beside them the exact counts and whether the bounds hold."""
+    rows, path = load(SKETCHED), new_path(load.spark, "sketches")
+    months = rows.withColumn("month", F.date_format(MONTH, "yyyy-MM"))
+    kept = sketches.sketch(months, SKETCHED, columns=list(COLUMNS[SKETCHED]), by=["month"])
+    writers.write_evidence(kept, path, run_date="2001-01-01", run_id="all")
+    whole = sketches.merged(writers.read_evidence(load.spark, path))
+    found = writers.stored(sketches.estimates(whole, {"median": 0.5}), "estimates")
+    medians = {r.column_name: r["median"] for r in found.select("column_name", "median").collect()}  # one per column
+    exact = []
+    for i, (column, kind) in enumerate(COLUMNS[SKETCHED].items()):
+        exact.append(F.countDistinct(column).alias(f"d{i}"))
+        if kind in NUMBERS and medians[column] is not None:
+            exact += [F.count_if(F.col(column) < medians[column]).alias(f"b{i}"), F.count_if(F.col(column) <= medians[column]).alias(f"u{i}")]
+        else:
+            exact += [F.lit(None).cast("bigint").alias(f"b{i}"), F.lit(None).cast("bigint").alias(f"u{i}")]
+    counted = rows.agg(*exact).select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"d{i}").alias("distinct_count"), F.col(f"b{i}").alias("below"), F.col(f"u{i}").alias("upto"))
+        for i, c in enumerate(COLUMNS[SKETCHED])
+    ])))
+    known = F.col("row_count") - F.col("null_count")
+    middle = (F.col("below") <= known * (0.5 + sketches.RANK_ERROR)) & (F.col("upto") >= known * (0.5 - sketches.RANK_ERROR))
+    return found.join(counted, "column_name").select(
+        "table_name", "column_name", "row_count", "null_count", "distinct_count",
+        F.col("distinct_count").between(F.col("distinct_low"), F.col("distinct_high")).alias("distinct_within"),
+        middle.alias("median_within"),
+    )
+
+
+KEYED, KEY_SIZE = ("lineitem", "events", "conversations", "orders"), 2
+
+
+def keys_sql(table: str, most: int) -> str:
+    """All sets of columns, those that are unique and without NULLs, those without a smaller one inside."""
+    sets = [s for n in range(1, most + 1) for s in combinations(COLUMNS[table], n)]
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{','.join(s)}' AS key_columns, [{', '.join(repr(c) for c in s)}] AS parts, {len(s)} AS key_size "
+        f"WHERE (SELECT count(*) > 0 AND count(*) = (SELECT count(*) FROM (SELECT DISTINCT {', '.join(s)} FROM {table}"
+        f" WHERE {' AND '.join(f'{c} IS NOT NULL' for c in s)})) FROM {table})"
+        for s in sets
+    )
+
+
+@query(
+    "composite_keys",
+    f"""WITH k AS ({' UNION ALL '.join(keys_sql(t, KEY_SIZE) for t in KEYED)})
+    SELECT table_name, key_columns, key_size::BIGINT AS key_size FROM k WHERE NOT EXISTS (SELECT 1 FROM k AS o
+      WHERE o.table_name = k.table_name AND o.key_size < k.key_size AND list_has_all(k.parts, o.parts))""",
+)
+def composite_keys(load):
+    found = None
+    for name in KEYED:
+        one = keys.composite_keys(load(name).select(*COLUMNS[name]), name, max_size=KEY_SIZE)
+        found = one if found is None else found.unionByName(one)
+    return found

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablewarden.functions.hashing import draw
+from tablewarden.operators import payload_index
 from tablewarden.operators import quarantine as q
 from tablewarden.operators import rules as r
 from tablewarden.operators.rules import Rule
 from tablewarden.plans import inputs
 from tablewarden.plans.registry import Loader, draw_sql, query, stamp_sql
 from tablewarden.plans.rules import ANY_ORDER, ORDER_RULES, row_rule
+from tablewarden.session import new_path
+from tablewarden.sources import writers
 
 RUN, AS_OF = "run-1", "2024-01-31 00:00:00"
 
@@ -348,3 +351,16 @@ def quarantine_status(load):
 )
 def payload_search(load):
     return q.search_payload(bad_events(load), "event_type", "error").select("quarantine_id", "rule_id", "payload")
+
+
+@query(
+    "payload_index_search",
+    f"""WITH {BAD} SELECT quarantine_id, rule_id, payload FROM bad WHERE payload->>'$.event_type' = 'error'""",
+)
+def payload_index_search(load):
+    """The same search through an index that was written in two batches."""
+    bad, folder = writers.stored(bad_events(load), "bad"), new_path(load.spark, "payload-index")
+    late = F.col("quarantined_at") >= F.lit(AS_OF).cast("timestamp_ntz")
+    payload_index.add_batch(bad.where(~late), folder, "first")
+    payload_index.add_batch(bad.where(late), folder, "second")
+    return payload_index.search(bad, folder, "event_type", "error").select("quarantine_id", "rule_id", "payload")
