@@ -101,12 +101,14 @@ def merge_by_key(
 
 
 def scd2_merge(
-    dim: DataFrame, incoming: DataFrame, *, key: str, surrogate: str, attributes: list[str], as_of
+    dim: DataFrame, incoming: DataFrame, *, key: str, surrogate: str, attributes: list[str], as_of,
+    last: int | None = None,
 ) -> DataFrame:
     """Type-2 merge: changed keys get their open version closed and a new one; others stay.
 
     Old and new versions of a key come out of one join; new versions continue the surrogate numbers. A key that is
     open or comes in twice, or comes in as NULL, ends the job with a message; versions with a NULL key stay as they are.
+    ``last`` is the largest surrogate number there is, where ``dim`` is only a part of the dimension.
     """
     keyed = F.col("is_current") & F.col(key).isNotNull()
     open_rows = unique_by(dim.where(keyed), [key], "open versions").select(F.col(key), F.struct(*dim.columns).alias("_d"))
@@ -142,9 +144,9 @@ def scd2_merge(
     versions = joined.select(
         F.explode(F.array_compact(F.array(F.when(known, old), F.when(changed | ~known, new)))).alias("v")
     ).select("v.*")
-    last = dim.agg(F.coalesce(F.max(surrogate), F.lit(0).cast("bigint"))).scalar()
+    highest = dim.agg(F.coalesce(F.max(surrogate), F.lit(0).cast("bigint"))).scalar() if last is None else F.lit(last)
     numbered = number_rows(versions, F.col(key), "_number", where=F.col(surrogate).isNull())
-    current = numbered.withColumn(surrogate, F.coalesce(F.col(surrogate), F.col("_number") + last))
+    current = numbered.withColumn(surrogate, F.coalesce(F.col(surrogate), F.col("_number") + highest))
     return dim.where(~F.coalesce(keyed, F.lit(False))).unionByName(current.select(*dim.columns))
 
 

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from tablewarden.functions import standardize
 from tablewarden.functions.hashing import chosen
 from tablewarden.operators import dedup, defects, publish
+from tablewarden.operators.keyed_store import KeyedStore
 from tablewarden.operators.quarantine import rule_rows
 from tablewarden.operators.rules import Rule, not_in_set, not_positive
 from tablewarden.plans import inputs, profiles
 from tablewarden.plans.registry import Loader, chosen_sql, day_sql, draw_sql, query, stamp_sql
 from tablewarden.plans.rules import row_rule
+from tablewarden.session import new_path
 from tablewarden.sources import readers, writers
 
 TABLES = [*profiles.BASE, "embeddings"]
@@ -537,13 +539,16 @@ def catalog_upsert_ignore(load):
     return merged.select("order_id", "customer_id", "status", "total_amount")
 
 
-@query(
-    "catalog_upsert_update",
-    f"""WITH {inputs.RECON} SELECT coalesce(s.order_id, t.order_id) AS order_id,
+UPSERTED = f"""WITH {inputs.RECON} SELECT coalesce(s.order_id, t.order_id) AS order_id,
       coalesce(s.customer_id, t.customer_id) AS customer_id,
       CASE WHEN t.order_id IS NOT NULL THEN t.status ELSE s.status END AS status,
       coalesce(t.total_amount, s.total_amount)::DOUBLE AS total_amount
-    FROM source s FULL JOIN target t ON s.order_id = t.order_id""",
+    FROM source s FULL JOIN target t ON s.order_id = t.order_id"""
+
+
+@query(
+    "catalog_upsert_update",
+    UPSERTED,
 )
 def catalog_upsert_update(load):
     merged = publish.merge_by_key(
@@ -551,3 +556,26 @@ def catalog_upsert_update(load):
         on_conflict="update", columns=["status", "total_amount"],
     )
     return merged.select("order_id", "customer_id", "status", "total_amount")
+
+
+# --- upserts that rewrite only what they touch ------------------------------------------------
+@query("pruned_upsert", UPSERTED)
+def pruned_upsert(load):
+    """The same upsert on a table kept in parts, in two versions of which the second is written twice."""
+    base, updates = inputs.recon_source(load), inputs.recon_target(load)
+    store = KeyedStore(load.spark, new_path(load.spark, "keyed"), base.schema, ["order_id"], parts=16)
+    store.create(base)
+    for _ in range(2):
+        store.upsert(updates, version=1, columns=["status", "total_amount"])
+    return store.read().select("order_id", "customer_id", "status", "total_amount")
+
+
+@query("pruned_scd2_merge", f"WITH {SCD} SELECT * FROM versions")
+def pruned_scd2_merge(load):
+    dim = versioned(load)
+    store = KeyedStore(load.spark, new_path(load.spark, "keyed-dim"), dim.schema, ["customer_bk"], parts=16)
+    store.create(dim)
+    store.merge_versions(
+        incoming(dim), version=1, surrogate="customer_sk", attributes=["name", "email", "country"], as_of=SCD_AS_OF
+    )
+    return store.read()
