@@ -128,8 +128,17 @@ def change_audit(
         F.col("copies") > 1, F.raise_error(F.lit(f"{table}: a value of {key} is there twice"))
     )
     pair = pair.withColumn("_unfit", unfit.cast("string")).where("_unfit IS NULL")
+    return audit_rows(
+        pair, columns, key, table=table, schema=schema, event_time=moment(as_of), user=F.lit(user), include_unchanged=include_unchanged
+    )
+
+
+def audit_rows(
+    pair: DataFrame, columns: list[str], key: str, *, table: str, schema: str, event_time: Column, user: Column, include_unchanged: bool
+) -> DataFrame:
+    """Audit rows of pairs of a row before (struct ``o``) and after (struct ``n``); a missing side is NULL."""
     differing = F.array_compact(
-        F.array(*[F.when(~F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")), F.lit(c)) for c in columns])
+        F.array(*[F.when(~F.col(f"o.`{c}`").eqNullSafe(F.col(f"n.`{c}`")), F.lit(c)) for c in columns])
     )
     both = F.col("o").isNotNull() & F.col("n").isNotNull()
     audited = pair.withColumn("changed_cols", F.when(both & (F.size(differing) > 0), differing))
@@ -137,12 +146,12 @@ def change_audit(
         audited = audited.where(~both | F.col("changed_cols").isNotNull())
     keep_nulls = {"ignoreNullFields": "false"}
     return audited.select(
-        moment(as_of).alias("event_time"),
-        F.lit(user).alias("db_user"),
+        event_time.alias("event_time"),
+        user.alias("db_user"),
         F.when(F.col("o").isNull(), "INSERT").when(F.col("n").isNull(), "DELETE").otherwise("UPDATE").alias("action"),
         F.lit(schema).alias("schema_name"),
         F.lit(table).alias("table_name"),
-        F.col(key).cast("string").alias("row_pk"),
+        F.col(f"`{key}`").cast("string").alias("row_pk"),
         F.when(F.col("o").isNotNull(), F.to_json("o", keep_nulls)).alias("old_row"),
         F.when(F.col("n").isNotNull(), F.to_json("n", keep_nulls)).alias("new_row"),
         "changed_cols",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tablewarden import schemas
 from tablewarden.functions import masking
 from tablewarden.functions.hashing import draw
+from tablewarden.operators import change_feed
 from tablewarden.operators import governance as gov
 from tablewarden.operators import rules as r
 from tablewarden.operators import trends
@@ -225,3 +226,26 @@ def rule_time_window(load):
 def heartbeat_gaps(load):
     found = trends.gaps(load("events"), "ts", longer_than_seconds=1800, by=["user_id"])
     return found.withColumn("gap_seconds", F.round("gap_seconds", 3))
+
+
+# --- changes as they come ---------------------------------------------------------------------
+@query(
+    "change_feed_audit",
+    f"""WITH states AS (SELECT *, CASE WHEN event_type <> 'error' THEN {quarantines.payload_sql(['event_type', 'value'])} END AS n FROM events),
+      replayed AS (SELECT *, lag(n) OVER (PARTITION BY user_id ORDER BY event_id) AS o,
+        lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS old_type,
+        lag(value) OVER (PARTITION BY user_id ORDER BY event_id) AS old_value FROM states)
+    SELECT {stamp_sql('ts')} AS event_time, 'system' AS db_user,
+      CASE WHEN o IS NULL THEN 'INSERT' WHEN n IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS action, 'main' AS schema_name,
+      'user_state' AS table_name, user_id::VARCHAR AS row_pk, o AS old_row, n AS new_row,
+      CASE WHEN o IS NOT NULL AND n IS NOT NULL THEN concat_ws(',', CASE WHEN event_type IS DISTINCT FROM old_type THEN 'event_type' END,
+        CASE WHEN value IS DISTINCT FROM old_value THEN 'value' END) END AS changed_cols
+    FROM replayed WHERE (o IS NOT NULL OR n IS NOT NULL)
+      AND (o IS NULL OR n IS NULL OR event_type IS DISTINCT FROM old_type OR value IS DISTINCT FROM old_value)""",
+)
+def change_feed_audit(load):
+    """Each user's last event as a row: an error deletes it, any other event writes it."""
+    return change_feed.feed_audit(
+        load("events"), "user_id", "event_id", deletes=F.col("event_type") == "error", columns=["event_type", "value"],
+        table="user_state", event_time="ts",
+    )
