@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tablewarden import schemas
 from tablewarden.functions.text import EMAIL_LOOSE, EMAIL_NO_SPACE, EMAIL_STRICT
 from tablewarden.operators import evaluate as ev
-from tablewarden.operators import incremental, publish, scoring
+from tablewarden.operators import in_flight, incremental, publish, scoring
 from tablewarden.operators import rules as r
 from tablewarden.operators.rules import Rule, min_pass
 from tablewarden.plans import inputs
@@ -456,15 +456,22 @@ def rule_results_by_month(load):
 ANY_ORDER = " OR ".join(f"coalesce({p}, false)" for _, p in ORDER_RULES)
 
 
-@query(
-    "run_row_counts",
-    f"""SELECT count(*) AS records_in, count(*) FILTER (WHERE NOT ({ANY_ORDER})) AS records_out,
-      count(*) FILTER (WHERE {ANY_ORDER}) AS records_diverted FROM orders""",
-)
+ROW_COUNTS = f"""SELECT count(*) AS records_in, count(*) FILTER (WHERE NOT ({ANY_ORDER})) AS records_out,
+      count(*) FILTER (WHERE {ANY_ORDER}) AS records_diverted FROM orders"""
+
+
+@query("run_row_counts", ROW_COUNTS)
 def run_row_counts(load):
     return ev.run_row_counts(load("orders"), [x for x, _ in ORDER_RULES])
 
 
+@query("row_counts_in_flight", ROW_COUNTS)
+def row_counts_in_flight(load):
+    """The same counts, taken while the rows are written."""
+    written = in_flight.write_split(load("orders"), [x for x, _ in ORDER_RULES], new_path(load.spark, "split-orders"))
+    return written.run_row_counts(load.spark)
+
+
 # --- scores ------------------------------------------------------------------------------------------
 # mean of rates with 4 decimals, rounded half up in whole numbers
 MEAN_RATE = (
