@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tablewarden.functions.hashing import compact
 from tablewarden.functions.timing import moment
+from tablewarden.operators import allowed
 from tablewarden.operators.rules import Rule, Tables, literal
 from tablewarden.schemas import PCT
 
@@ -141,6 +142,12 @@ def reference_rule_counts(df: DataFrame, rule: Rule, parent: DataFrame) -> DataF
     ).select(_rows([_described(rule, "total", "bad")]))
 
 
+def allowed_rule_counts(df: DataFrame, rule: Rule, table: DataFrame) -> DataFrame:
+    """Rows whose value is not in the table of allowed values."""
+    values = allowed.allowed_values(table, rule.allowed[1])
+    return allowed.counts(df, rule.column, values).select(_rows([_described(rule, "total", "bad")]))
+
+
 def selector_rule_counts(rule: Rule, tables: Tables) -> DataFrame:
     """Total from the table, violations from the rows the selector returns; counted side by side."""
     both = (
@@ -179,6 +186,8 @@ def evaluate_tables(tables: Tables, rules: Iterable[Rule], *, run_id: str, as_of
             frames.append(unique_rule_counts(tables[rule.table], rule))
         elif rule.parent:
             frames.append(reference_rule_counts(tables[rule.table], rule, tables[rule.parent[0]]))
+        elif rule.allowed:
+            frames.append(allowed_rule_counts(tables[rule.table], rule, tables[rule.allowed[0]]))
         elif rule.selector:
             frames.append(selector_rule_counts(rule, tables))
     return graded(_union(frames), run_id=run_id, as_of=as_of)

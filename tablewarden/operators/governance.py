@@ -166,3 +166,10 @@ def audit_activity(audit: DataFrame, *, as_of, window: str = "90 days") -> DataF
         F.min("event_time").alias("first_event"),
         F.max("event_time").alias("last_event"),
     )
+
+
+def steward_map(mapping: DataFrame) -> DataFrame:
+    """Users and the domains they look after, by user and domain, with when and by whom that was granted."""
+    return mapping.select("db_user", "data_domain", "granted_at", "granted_by").orderBy(
+        "db_user", "data_domain", "granted_at", "granted_by"
+    )

@@ -65,8 +65,8 @@ def add_load(spark: SparkSession, folder: str, load: Mapping[str, DataFrame], ru
     """
     state, rules = Loads(spark, folder), [r for r in rules if r.active]
     for rule in rules:
-        if rule.selector is not None:
-            raise ValueError(f"{rule.rule_id}: a selector is evaluated over whole tables")
+        if rule.selector is not None or rule.allowed is not None:
+            raise ValueError(f"{rule.rule_id}: a selector or a table of allowed values is evaluated over whole tables")
     counts = [row_rule_counts(load[t], own) for t, own in _by_table(rules, load)]
     slots = {_keys_of(r)[0]: _keys_of(r)[1:] for r in rules if r.key or r.parent}
     kept = state.read("keys", KEYS).where(F.col("load_id") != load_id)

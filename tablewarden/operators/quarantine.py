@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablewarden.functions.hashing import row_text
 from tablewarden.functions.timing import ago, moment, seconds_between
+from tablewarden.operators import allowed
 from tablewarden.operators.attach import unused
 from tablewarden.operators.dedup import surplus_rows
 from tablewarden.operators.evaluate import any_violation
@@ -104,13 +105,16 @@ def rule_rows(tables: Tables, rule: Rule) -> DataFrame:
         used = df.select(F.col(rule.column).alias("_reference")).distinct()
         missing = used.join(known, "_reference", "left_anti")
         return df.join(missing, F.col(rule.column).eqNullSafe(F.col("_reference")), "left_semi")
+    if rule.allowed:
+        table, column = rule.allowed
+        return allowed.stray_rows(df, rule.column, allowed.allowed_values(tables[table], column))
     return rule.selector(tables)
 
 
 def quarantine_selected(
     tables: Tables, rule: Rule, *, key: list[str], run_id: str, as_of, payload: list[str] | None = None
 ) -> DataFrame:
-    """Records of one rule that is not a row predicate (unique key, parent reference, selector)."""
+    """Records of one rule that is not a row predicate (unique key, parent reference, allowed values, selector)."""
     rows = rule_rows(tables, rule)
     return _filed(
         rows.withColumn("bad", _record(rule)), key, payload or tables[rule.table].columns, run_id, moment(as_of)

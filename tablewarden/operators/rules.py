@@ -1,4 +1,4 @@
-"""Rule definitions: a row predicate, a key, a parent reference or a selector of bad rows."""
+"""Rule definitions: a row predicate, a key, a parent reference, a table of allowed values or a selector of bad rows."""
 
 from __future__ import annotations
 
@@ -16,12 +16,13 @@ Tables = Mapping[str, DataFrame]
 
 @dataclass(frozen=True)
 class Rule:
-    """One check on one table. Exactly one of violation, key, parent or selector is given.
+    """One check on one table. Exactly one of violation, key, parent, allowed or selector is given.
 
     violation: boolean Spark SQL text, true for a bad row (NULL counts as good, as in WHERE)
     key:       columns that must be unique together; surplus copies are the bad rows
     parent:    (table, column) that ``column`` must exist in
     selector:  function from the tables to the bad rows
+    allowed:   (table, column) with the values that ``column`` may take, any number of them; NULL passes
     """
 
     rule_id: str
@@ -39,6 +40,7 @@ class Rule:
     active: bool = True
     domain: str = "GLOBAL"
     description: str = ""
+    allowed: tuple[str, str] | None = None
 
     def __post_init__(self):
         dimension = self.dimension.lower()
@@ -49,8 +51,11 @@ class Rule:
         if self.severity not in schemas.SEVERITIES:
             raise ValueError(f"{self.rule_id}: unknown severity {self.severity}")
         given = [self.violation is not None, bool(self.key), self.parent is not None, self.selector is not None]
+        given.append(self.allowed is not None)
         if sum(given) != 1:
-            raise ValueError(f"{self.rule_id}: give one of violation, key, parent, selector")
+            raise ValueError(f"{self.rule_id}: give one of violation, key, parent, allowed, selector")
+        if self.allowed is not None and self.column is None:
+            raise ValueError(f"{self.rule_id}: name the column that takes the allowed values")
 
     @property
     def bad(self) -> Column:
@@ -146,7 +151,8 @@ def catalog(spark: SparkSession, rules: Iterable[Rule]) -> DataFrame:
         rows.append(
             (r.rule_id, r.name, r.schema, r.table, r.column, r.dimension, r.severity, r.violation,
              float(r.min_pass_pct), r.active, r.domain, r.description, list(r.key) or None,
-             r.parent and r.parent[0], r.parent and r.parent[1], r.selector and r.selector.sql)
+             r.parent and r.parent[0], r.parent and r.parent[1], r.selector and r.selector.sql,
+             r.allowed and r.allowed[0], r.allowed and r.allowed[1])
         )
     return spark.createDataFrame(rows, schemas.RULES)
 
@@ -163,6 +169,7 @@ def from_catalog(rows: DataFrame, *, table: str | None = None) -> list[Rule]:
             min_pass_pct=r.min_pass_pct, domain=r.data_domain, description=r.description or "",
             key=tuple(r.key_columns or ()), parent=(r.parent_table, r.parent_column) if r.parent_table else None,
             selector=SqlSelector(r.selector) if r.selector else None,
+            allowed=(r.allowed_table, r.allowed_column) if r.allowed_table else None,
         )
         for r in wanted.orderBy("rule_id").collect()  # one row per rule, never data rows
     ]

@@ -104,17 +104,37 @@ def export_all_reports(load):
 
 @query(
     "audit_extract",
-    f"""WITH {governing.AUDIT} SELECT action, count(*) AS event_count, {stamp_sql(f"TIMESTAMP '{governing.AUDIT_AS_OF}'")}
-      AS last_event FROM changes GROUP BY action""",
+    QUERIES["audit_activity"].sql,
 )
 def audit_extract(load):
-    activity = governing.gov.audit_activity(governing.audited(load), as_of=governing.AUDIT_AS_OF)
+    """Who changed what in the last 90 days, as an access review reads it."""
+    activity = governing.audit_activity(load)
     path = writers.export_reports({"audit_activity": activity}, new_path(load.spark, "audit"), stamp="20010803")[0]
     back = load.spark.read.option("header", True).schema(
         "db_user string, schema_name string, table_name string, action string, event_count bigint, "
         "first_event timestamp_ntz, last_event timestamp_ntz"
     )
-    return back.csv(path).select("action", "event_count", "last_event")
+    return back.csv(path)
+
+
+@query(
+    "steward_map_extract",
+    f"""WITH {quarantines.STEWARDS}, granted AS (SELECT event_type AS data_domain, min(ts) AS granted_at FROM events GROUP BY 1)
+    SELECT row_number() OVER (ORDER BY db_user, data_domain) - 1 AS place, db_user, data_domain,
+      {stamp_sql('granted_at')} AS granted_at, 'platform' AS granted_by FROM stewards JOIN granted USING (data_domain)""",
+)
+def steward_map_extract(load):
+    """Who looks after which domain since when, in the order of an access review."""
+    granted = load("events").groupBy(F.col("event_type").alias("data_domain")).agg(F.min("ts").alias("granted_at"))
+    mapping = quarantines.stewards(load).join(granted, "data_domain").withColumn("granted_by", F.lit("platform"))
+    folder = new_path(load.spark, "access")
+    path = writers.export_reports({"steward_domain_map": governing.gov.steward_map(mapping)}, folder, stamp="20010803")[0]
+    back = load.spark.read.option("header", True).schema(
+        "db_user string, data_domain string, granted_at timestamp_ntz, granted_by string"
+    )
+    rows = back.csv(path).select("*", "_metadata.file_name", F.monotonically_increasing_id().alias("line"))
+    place = F.row_number().over(Window.orderBy("file_name", "line")) - 1  # one row per domain and steward
+    return rows.select(place.alias("place"), "db_user", "data_domain", "granted_at", "granted_by")
 
 
 @query(

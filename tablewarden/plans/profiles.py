@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from tablewarden.functions.text import SEMANTIC_PATTERNS
-from tablewarden.operators import governance, keys, profiling, sketches, trends
+from tablewarden.operators import governance, keys, profiling, runs, sketches, trends
 from tablewarden.operators.quantiles import exact_percentiles
 from tablewarden.plans import inputs
 from tablewarden.plans.registry import query
@@ -119,6 +119,16 @@ def profile_all_tables(load):
     return base_profiles(load, *BASE)
 
 
+@query("run_profile", f"SELECT 'n1' AS run_id, * FROM ({profile_sql('orders', 'customer')})")
+def run_profile(load):
+    """Two tables are profiled twice under one run id; the evidence is read back."""
+    folder = new_path(load.spark, "run")
+    for _ in range(2):
+        tables = {n: load(n) for n in ("orders", "customer")}
+        runs.run_profile(load.spark, tables, folder, run_id="n1", as_of="2001-01-01 00:00:00")
+    return rounded(writers.read_evidence(load.spark, f"{folder}/profile_results").drop("run_date", "profiled_at"))
+
+
 @query("profile_long_texts", profile_sql("documents"))
 def profile_long_texts(load):
     return base_profiles(load, "documents")

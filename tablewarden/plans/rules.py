@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablewarden import schemas
+from tablewarden.functions.hashing import chosen
 from tablewarden.functions.text import EMAIL_LOOSE, EMAIL_NO_SPACE, EMAIL_STRICT
+from tablewarden.functions.timing import moment
 from tablewarden.operators import evaluate as ev
-from tablewarden.operators import in_flight, incremental, publish, scoring
+from tablewarden.operators import in_flight, incremental, publish, quarantine, runs, scoring
 from tablewarden.operators import rules as r
 from tablewarden.operators.rules import Rule, min_pass
 from tablewarden.plans import inputs
-from tablewarden.plans.registry import Loader, grade_sql, query, rate_sql
+from tablewarden.plans.registry import Loader, chosen_sql, grade_sql, query, rate_sql
 from tablewarden.session import new_path
-from tablewarden.sources import readers
+from tablewarden.sources import readers, writers
 
 AS_OF = "2001-01-01 00:00:00"
 RUN = "run-1"
@@ -296,6 +298,100 @@ def rule_orphan(load):
     return ev.evaluate_tables(tables, [STRAY_RULE, PARENT_RULE, CHILD_RULE], run_id=RUN, as_of=AS_OF).select(*SHOWN)
 
 
+# --- allowed values in a table -----------------------------------------------------------
+LISTED_PARTS = f"listed_parts AS (SELECT p_partkey FROM part WHERE {chosen_sql('p_partkey', 'listed', 0.9)})"
+LISTED_RULE = Rule("LIN23", "parts are listed", "lineitem", "validity", "HIGH", "l_partkey",
+                   allowed=("listed_parts", "p_partkey"), min_pass_pct=90)
+BUYER_RULE = Rule("STG08", "customers are known or not named", "dirty_sales", "validity", "HIGH", "customer_id",
+                  allowed=("clean_customers", "customer_id"), min_pass_pct=95)
+ALLOWED_COUNTS = [
+    described_sql(LISTED_RULE, "SELECT count(*) AS total, count(*) FILTER (WHERE l_partkey IS NOT NULL AND p_partkey IS NULL) AS bad "
+                               "FROM lineitem LEFT JOIN listed_parts ON l_partkey = p_partkey"),
+    described_sql(BUYER_RULE, "SELECT count(*) AS total, count(*) FILTER (WHERE s.customer_id IS NOT NULL AND c.customer_id IS NULL) "
+                              "AS bad FROM dirty_sales s LEFT JOIN clean_customers c ON s.customer_id = c.customer_id"),
+]
+
+
+def listed_parts(load: Loader):
+    """The parts that may be sold, as a table."""
+    return load("part").where(chosen(F.col("p_partkey"), "listed", 0.9)).select("p_partkey")
+
+
+def tables_with_lists(load: Loader) -> dict:
+    own = {"dirty_sales": inputs.dirty_sales(load), "clean_customers": inputs.staged_customers(load)}
+    return {"lineitem": load("lineitem"), "listed_parts": listed_parts(load), **own}
+
+
+@query(
+    "rule_in_table",
+    f"WITH {LISTED_PARTS}, {inputs.CLEAN_CUSTOMERS}, {inputs.DIRTY_SALES}, {results_sql(ALLOWED_COUNTS)} SELECT {SHOWN_SQL} FROM results",
+)
+def rule_in_table(load):
+    """Allowed values that stand in a table, by rules that went through the stored catalogue."""
+    stored = r.from_catalog(r.catalog(load.spark, [LISTED_RULE, BUYER_RULE]))
+    return ev.evaluate_tables(tables_with_lists(load), stored, run_id=RUN, as_of=AS_OF).select(*SHOWN)
+
+
+@query(
+    "rows_not_in_table",
+    f"WITH {LISTED_PARTS} SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey FROM lineitem "
+    "WHERE l_partkey NOT IN (SELECT p_partkey FROM listed_parts)",
+)
+def rows_not_in_table(load):
+    tables = {"lineitem": load("lineitem"), "listed_parts": listed_parts(load)}
+    return quarantine.rule_rows(tables, LISTED_RULE).select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+# --- the catalogue over time ------------------------------------------------------------------
+RECALIBRATED = "2001-02-01 00:00:00"
+
+
+@query(
+    "rule_versions",
+    f"""{ALL_RESULTS}, aims AS (SELECT *, CASE WHEN status = 'FAIL' THEN floor(pass_rate_pct) ELSE min_pass_pct END AS aim
+      FROM results)
+    SELECT rule_id, severity, min_pass_pct, '{AS_OF}' AS effective_from,
+      CASE WHEN aim <> min_pass_pct THEN '{RECALIBRATED}' END AS effective_to, aim = min_pass_pct AS is_current FROM aims
+    UNION ALL SELECT rule_id, severity, aim, '{RECALIBRATED}', NULL, true FROM aims WHERE aim <> min_pass_pct""",
+)
+def rule_versions(load):
+    """History of the rule catalogue: failing rules get the rate they reach as their aim, and a second version."""
+    results = writers.stored(all_results(load).select("rule_id", "status", "pass_rate_pct"), "results")
+    definitions = r.catalog(load.spark, RULES)
+    attributes = definitions.columns[1:]
+    first = definitions.select(
+        F.lit(None).cast("bigint").alias("rule_sk"), "*", moment(AS_OF).alias("effective_from"),
+        F.lit(None).cast("timestamp_ntz").alias("effective_to"), F.lit(True).alias("is_current"),
+    )
+    first = writers.stored(publish.number_rows(first.drop("rule_sk"), F.col("rule_id"), "rule_sk"), "rule_versions")
+    aim = F.when(F.col("status") == "FAIL", F.floor("pass_rate_pct").cast("double")).otherwise(F.col("min_pass_pct"))
+    second = definitions.join(results, "rule_id").withColumn("min_pass_pct", aim).select("rule_id", *attributes)
+    merged = publish.scd2_merge(first, second, key="rule_id", surrogate="rule_sk", attributes=attributes, as_of=RECALIBRATED)
+    return merged.select("rule_id", "severity", "min_pass_pct", "effective_from", "effective_to", "is_current")
+
+
+# --- whole runs that write evidence -------------------------------------------------------
+RUN_KEYS = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"], "customer": ["c_custkey"],
+            "supplier": ["s_suppkey"], "events": ["event_id"], "documents": ["doc_id"]}
+
+
+@query(
+    "run_quarantine",
+    f"{ALL_RESULTS} SELECT rule_id, table_name, severity, violation_count AS quarantined, violation_count AS ids "
+    "FROM results WHERE violation_count > 0",
+)
+def run_quarantine(load):
+    """Rules are run and the rows behind their violations captured, twice under one run id; the evidence is read back."""
+    tables, folder = tables_of(load), new_path(load.spark, "run")
+    runs.run_rules(load.spark, tables, RULES, folder, run_id=RUN, as_of=AS_OF)
+    for _ in range(2):
+        runs.run_quarantine(load.spark, tables, RULES, RUN_KEYS, folder, run_id=RUN, as_of=AS_OF)
+    captured = writers.read_evidence(load.spark, f"{folder}/bad_rows")
+    return captured.groupBy("rule_id", "table_name", "severity").agg(
+        F.count("*").alias("quarantined"), F.count_distinct("quarantine_id").alias("ids")
+    )
+
+
 @query(
     "rule_total_consistency",
     "SELECT o_orderkey, o_totalprice, s::DOUBLE AS line_total FROM orders JOIN "

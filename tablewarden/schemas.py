@@ -37,7 +37,7 @@ RULES = (
     "rule_id string, rule_name string, schema_name string, table_name string, column_name string, "
     "dimension string, severity string, expr string, min_pass_pct double, is_active boolean, "
     "data_domain string, description string, key_columns array<string>, parent_table string, parent_column string, "
-    "selector string"
+    "selector string, allowed_table string, allowed_column string"
 )
 
 CLASSIFICATION = (
