@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from tablewarden.functions.hashing import row_text
 from tablewarden.functions.timing import ago, moment, seconds_between
 from tablewarden.operators import allowed
-from tablewarden.operators.attach import unused
-from tablewarden.operators.dedup import surplus_rows
+from tablewarden.operators.attach import FEW
+from tablewarden.operators.dedup import CHUNK, surplus_rows
 from tablewarden.operators.evaluate import any_violation
 from tablewarden.operators.rules import Rule, Tables
 from tablewarden.schemas import OPEN_STATUSES, RESOLVED_STATUSES, SEVERITIES, SLA_CLOCKS
 
+CROWD = 10_000  # bad rows of one rule and key that one task ranks
+
 # fixed values: steward action -> new status
 ACTIONS = {
     "assign": "IN_REVIEW",
@@ -44,14 +46,8 @@ def _filed(
 ) -> DataFrame:
     """Shape rows that carry a ``bad`` struct into quarantine records."""
     row_key = F.col(key[0]).cast("string") if len(key) == 1 else row_text([F.col(k) for k in key])
-    identity = F.concat_ws("|", F.lit(run_id), F.col("bad.rule_id"), row_key)
-    if not unique_key:  # rows under one key are told apart by their rank, so that each has an id of its own
-        (nth,) = unused(df.columns, "_nth")
-        ranked = Window.partitionBy("bad.rule_id", *key).orderBy(F.sha2(F.to_json(F.struct(*payload)), 256))
-        df = df.withColumn(nth, F.row_number().over(ranked))
-        identity = F.concat_ws("|", identity, F.when(F.col(nth) > 1, F.concat(F.lit("row|"), F.col(nth))))
-    return df.select(
-        F.md5(identity).alias("quarantine_id"),
+    records = df.select(
+        F.concat_ws("|", F.lit(run_id), F.col("bad.rule_id"), row_key).alias("quarantine_id"),
         F.lit(run_id).alias("run_id"),
         "bad.rule_id",
         "bad.schema_name",
@@ -66,7 +62,50 @@ def _filed(
         F.lit(None).cast("timestamp_ntz").alias("resolved_at"),
         F.lit(None).cast("string").alias("resolution_note"),
         "bad.data_domain",
+        # what rows under one key are told apart by
+        *([] if unique_key else [row_text([F.col(k) for k in key]).alias("_key")]),
+        *([] if unique_key else [F.sha2(F.to_json(F.struct(*payload)), 256).alias("_digest")]),
+    )
+    if not unique_key:
+        records = _ranked(records)
+        nth = F.when(F.col("_nth") > 1, F.concat(F.lit("row|"), F.col("_nth")))
+        records = records.withColumn("quarantine_id", F.concat_ws("|", "quarantine_id", nth)).drop("_key", "_digest", "_nth")
+    return records.withColumn("quarantine_id", F.md5("quarantine_id"))
+
+
+def _ranked(records: DataFrame) -> DataFrame:
+    """Records with their rank by digest among those of their rule and key, so that each has an id of its own.
+
+    Keys with more than CROWD bad rows are looked for first. Those are ranked by ranges of their digests, and equal
+    records travel as one with a count, so that neither a hot key nor many copies of one row are a single task's work.
+    """
+    group = ["rule_id", "_key"]
+    order = F.row_number().over(Window.partitionBy(*group).orderBy("_digest"))
+    crowded = records.groupBy(*group).agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select(*group)
+    n_crowded = crowded.limit(FEW + 1).count()
+    if not n_crowded:
+        return records.withColumn("_nth", order.cast("bigint"))
+    if n_crowded <= FEW:
+        crowded = F.broadcast(crowded)
+    calm = records.join(crowded, group, "left_anti").withColumn("_nth", order.cast("bigint"))
+    columns = records.columns
+    copies = records.join(crowded, group, "left_semi").groupBy(*columns).agg(F.count("*").alias("_copies"))
+    copies = copies.withColumn("_range", F.substring("_digest", 1, 3))  # 4,096 ranges
+    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = copies.groupBy(*group, "_range").agg(F.sum("_copies").alias("_size"))
+    starts = sizes.select(*group, "_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    within = Window.partitionBy(*group, "_range").orderBy("_digest").rowsBetween(Window.unboundedPreceding, -1)
+    placed = copies.join(starts, [*group, "_range"]).withColumn(
+        "_start", F.col("_start") + F.coalesce(F.sum("_copies").over(within), F.lit(0))
     )
+    # copies are written out in chunks, dealt anew because one record may have very many
+    chunks = placed.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_copies") - 1) / CHUNK))))
+    tasks = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = chunks.repartition(tasks, "_digest", "_chunk")
+    first = F.col("_chunk") * CHUNK + 1
+    last = F.least(F.col("_copies"), first + CHUNK - 1)
+    written = dealt.withColumn("_copy", F.explode(F.sequence(first, last)))
+    return calm.unionByName(written.withColumn("_nth", F.col("_start") + F.col("_copy")).select(*columns, "_nth"))
 
 
 def quarantine(

@@ -138,3 +138,24 @@ def test_lists(frame):
     assert [r.quarantine_id for r in q.listing(rows, severity="CRITICAL", status="OPEN").collect()] == ["2"]
     assert len(q.listing(rows).first().reason) == 60
     assert [r.quarantine_id for r in q.triage(rows).collect()] == ["2", "1"]
+
+
+def test_crowded_keys_get_the_ids_of_a_single_ranking(spark, monkeypatch):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, 7).otherwise(F.col("id")).alias("k"),
+        F.when(F.col("id") % 3 == 1, F.lit("same")).otherwise((F.col("id") % 1500).cast("string")).alias("v"),
+    )
+    rules = [Rule("H", "hot", "t", "validity", violation="v <> ''"), Rule("S", "same", "t", "validity", violation="v = 'same'")]
+
+    def ids():
+        found = q.quarantine(rows, rules, key=["k"], run_id="r", as_of=NOW)
+        assert found.count() == 4000
+        return sorted((x.quarantine_id, x.rule_id, x.business_key or "", x.payload) for x in found.collect())
+
+    plainly = ids()
+    assert len({x[0] for x in plainly}) == 4000
+    monkeypatch.setattr(q, "CROWD", 50)
+    monkeypatch.setattr(q, "CHUNK", 64)
+    assert ids() == plainly
+    rows = rows.repartition(7)
+    assert ids() == plainly
