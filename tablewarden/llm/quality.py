@@ -119,8 +119,7 @@ def judge(
     shrunk towards all hosts, makes it ``trusted`` (at most that share), ``rejected`` (more than that share) or ``mixed``.
     A document that fails a base rule goes. Of the others a trusted host keeps all, a rejected one none, a mixed
     one those that fail no rule. NULL texts have no words and fail; repeated rows are judged each; no rows give none.
-    Counts are stored between the hosts' and the documents' verdicts where few columns are carried; whole rows are
-    counted again instead, so that texts are not written once more.
+    Carried columns and counts are stored between the hosts' and the documents' verdicts, so every text is counted once.
     """
     carried = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.struct("*")
     own = docs.select(
@@ -130,8 +129,7 @@ def judge(
     marks = own.select("row", "host", *[c.alias(name) for name, c in measures(F.col("text")).items()])
     marks = marks.withColumn("base_failed", F.expr(" OR ".join(f"({RULES[r]})" for r in BASE)))
     marks = marks.withColumn("failed", F.expr(" OR ".join(f"({r})" for r in RULES.values())))
-    if carry:
-        marks = settled(marks, "quality")
+    marks = settled(marks, "quality")
     hosts = marks.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("failed").cast("bigint")).alias("failed"))
     hosts = shrunk_rates(settled(hosts, "hosts"))
     verdict = F.when(F.col("rate") <= trusted, "trusted").when(F.col("rate") > rejected, "rejected").otherwise("mixed")
