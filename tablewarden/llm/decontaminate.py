@@ -10,9 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.llm.common import Rolling, char_class, flat, query, read, slices, word_hashes, word_spans
+from tablewarden.llm.common import Rolling, char_class, flat, query, read, settled, slices, word_hashes, word_spans
 
 LETTERS = char_class([*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)])
+OUTSIDE = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"  # what lies between words
 BLOCK_CHARS = 4 << 20  # benchmark text that a task holds at once; a larger benchmark takes several passes
 
 
@@ -183,6 +184,20 @@ def digest(parts: list[tuple[list[int], list[str]]]) -> tuple[int, int, str]:
     return n_hit, len(items), hashlib.sha256(",".join(items).encode()).hexdigest()
 
 
+def pieces(items: DataFrame, width: int, size: int) -> DataFrame:
+    """Items (item, text) of which those of more than ``size`` bytes come in pieces of about a quarter of that.
+
+    A piece has at least ``width`` words and shares all but one of them with the next, so every window is in one piece.
+    """
+    words = F.filter(F.split(F.col("text").cast("string"), OUTSIDE), lambda w: w != "")
+    long = items.where(F.octet_length("text") > size).select("item", F.octet_length("text").alias("bytes"), words.alias("words"))
+    step = F.greatest(F.lit(1), F.floor(F.size("words") * (size / 4) / F.col("bytes"))).cast("int")
+    last = F.greatest(F.lit(0), F.size("words") - width)
+    starts = long.select("item", "words", step.alias("step"), F.explode(F.sequence(F.lit(0), last, step)).alias("start"))
+    cut = F.array_join(F.slice("words", F.col("start") + 1, F.col("step") + (width - 1)), " ").cast("binary")
+    return items.where(F.octet_length("text") <= size).unionByName(starts.select("item", cut.alias("text")).distinct())
+
+
 def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -207,12 +222,14 @@ def contamination(
 
     Every window is found by its rarest shingle, counted over all documents; occurrences must lie inside one document
     and are compared word by word. The benchmark is read in blocks of about ``block_chars`` characters, so what a task
-    holds of it is bounded; each block is one more pass over the documents.
+    holds of it is bounded; each block is one more pass over the documents. Equal items are read once, and an item longer
+    than a block is cut into pieces that overlap, which have the same windows.
     """
     spark = docs.sparkSession
     items = benchmark.select(
         F.col(f"`{item_col}`").cast("string").alias("item"), F.col(f"`{item_text_col}`").cast("binary").alias("text")
-    ).where("item IS NOT NULL AND text IS NOT NULL")
+    ).where("item IS NOT NULL AND text IS NOT NULL").distinct()
+    items = settled(pieces(items, width, block_chars), "benchmark-items")
     chars = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n_blocks = max(1, -(-chars // block_chars))
     carried = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.struct("*")

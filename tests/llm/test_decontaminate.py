@@ -69,3 +69,17 @@ def test_several_blocks_keep_repeated_rows(frame):
     docs = frame([(1, "zebra alpha"), (1, "zebra alpha"), (None, None)], "doc_id bigint, text string")
     items = frame(ITEMS, "item_id string, text string")
     assert dc.contamination(docs, items, block_chars=30).count() == 3
+
+
+def test_repeated_and_very_long_items_are_bounded(frame):
+    long = " ".join(f"Long{i}" for i in range(4000))
+    items = frame([("long", long), ("tiny", "a b c")] + [("same", "x y z")] * 300, "item string, text string")
+    cut = dc.pieces(items.selectExpr("item", "cast(text as binary) as text").distinct(), 13, 4000).collect()
+    assert max(len(r.text) for r in cut) < 1500 and len(cut) > 20
+    assert sum(r.item == "same" for r in cut) == 1
+    windows = [set(zip(*[words(t)[k:] for k in range(13)])) for t in ([r.text.decode() for r in cut if r.item == "long"])]
+    assert all(windows) and set().union(*windows) == set(zip(*[words(long)[k:] for k in range(13)]))
+    docs = [(1, "long7 " + " ".join(f"long{i}" for i in range(990, 1040))), (2, "so x y z it is"), (3, "long3 long5")]
+    got = dc.contamination(frame(docs, "doc_id bigint, text string"), items, item_col="item", block_chars=4000, carry=["doc_id"])
+    got = got.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()
+    assert sorted(map(tuple, got), key=repr) == expected(docs, [("long", long), ("tiny", "a b c"), ("same", "x y z")])
