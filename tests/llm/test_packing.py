@@ -142,3 +142,28 @@ def test_pieces_and_places(odd_docs, capacity):
 
 def test_no_documents(no_docs):
     assert packing.pack(no_docs, VOCABULARY).count() == 0
+
+
+def test_a_worker_encodes_on_its_own_core(monkeypatch):
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    packing.encoder.cache_clear()
+    packing.encoder(VOCABULARY, packing.CACHE)
+    assert packing.os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    packing.encoder.cache_clear()
+
+
+def test_borders_by_class_bits():
+    rng = np.random.default_rng(5)
+    letters = np.frombuffer(b"  \n\naZ.,<|>0\t\x80\xc3\xe2", np.uint8)
+    for size in [1, 2, 3, *rng.integers(4, 80, 200)]:
+        data = rng.choice(letters, size)
+        offsets = np.unique([0, *rng.integers(0, size, 2), size])
+        expected = set(offsets.tolist())
+        for i in range(1, size):
+            if i + 1 < size and data[i] == 0x20 and packing.SOLID[data[i + 1]]:
+                expected.add(i)
+            if packing.LETTER[data[i - 1]] and packing.MARK[data[i]]:
+                expected.add(i)
+            if i + 1 < size and data[i] == 0x0A and packing.PLAIN[data[i - 1]] and packing.PLAIN[data[i + 1]]:
+                expected |= {i, i + 1}
+        assert packing.borders(data, offsets).tolist() == sorted(expected)
