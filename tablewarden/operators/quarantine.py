@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,13 +11,17 @@ from pyspark.sql import functions as F
 from tablewarden.functions.hashing import row_text
 from tablewarden.functions.timing import ago, moment, seconds_between
 from tablewarden.operators import allowed
-from tablewarden.operators.attach import FEW
+from tablewarden.operators.attach import FEW, unused
 from tablewarden.operators.dedup import CHUNK, surplus_rows
 from tablewarden.operators.evaluate import any_violation
 from tablewarden.operators.rules import Rule, Tables
 from tablewarden.schemas import OPEN_STATUSES, RESOLVED_STATUSES, SEVERITIES, SLA_CLOCKS
+from tablewarden.sources.writers import stored
 
-CROWD = 10_000  # bad rows of one rule and key that one task ranks
+CROWD = 10_000  # rows of one key that one task ranks
+SLOTS = 1 << 18  # hashes of keys by which rows are counted first
+# types whose values are equal exactly when their texts are
+PLAIN_KINDS = ("tinyint", "smallint", "int", "bigint", "string", "boolean", "date", "timestamp_ntz")
 
 # fixed values: steward action -> new status
 ACTIONS = {
@@ -41,55 +46,136 @@ def _record(rule: Rule) -> Column:
     )
 
 
-def _filed(
-    df: DataFrame, key: list[str], payload: list[str], run_id: str, at: Column, unique_key: bool = False
-) -> DataFrame:
-    """Shape rows that carry a ``bad`` struct into quarantine records."""
+def _shaped(df: DataFrame, bad: str, key: list[str], payload: list[str], run_id: str, at: Column, *more: Column) -> DataFrame:
+    """Quarantine records of rows that carry the broken rule as a struct, with ``more`` columns."""
     row_key = F.col(key[0]).cast("string") if len(key) == 1 else row_text([F.col(k) for k in key])
-    records = df.select(
-        F.concat_ws("|", F.lit(run_id), F.col("bad.rule_id"), row_key).alias("quarantine_id"),
+    return df.select(
+        F.concat_ws("|", F.lit(run_id), F.col(f"{bad}.rule_id"), row_key).alias("quarantine_id"),
         F.lit(run_id).alias("run_id"),
-        "bad.rule_id",
-        "bad.schema_name",
-        "bad.table_name",
+        f"{bad}.rule_id",
+        f"{bad}.schema_name",
+        f"{bad}.table_name",
         row_key.alias("business_key"),
         F.to_json(F.struct(*payload), {"ignoreNullFields": "false"}).alias("payload"),
-        F.concat("bad.rule_id", F.lit(" — "), "bad.rule_name").alias("failure_reason"),
-        "bad.severity",
+        F.concat(f"{bad}.rule_id", F.lit(" — "), f"{bad}.rule_name").alias("failure_reason"),
+        f"{bad}.severity",
         F.lit("OPEN").alias("status"),
         F.lit(None).cast("string").alias("assigned_to"),
         at.alias("quarantined_at"),
         F.lit(None).cast("timestamp_ntz").alias("resolved_at"),
         F.lit(None).cast("string").alias("resolution_note"),
-        "bad.data_domain",
-        # what rows under one key are told apart by
-        *([] if unique_key else [row_text([F.col(k) for k in key]).alias("_key")]),
-        *([] if unique_key else [F.sha2(F.to_json(F.struct(*payload)), 256).alias("_digest")]),
+        f"{bad}.data_domain",
+        *more,
     )
-    if not unique_key:
-        records = _ranked(records)
-        nth = F.when(F.col("_nth") > 1, F.concat(F.lit("row|"), F.col("_nth")))
-        records = records.withColumn("quarantine_id", F.concat_ws("|", "quarantine_id", nth)).drop("_key", "_digest", "_nth")
+
+
+def _named(records: DataFrame) -> DataFrame:
+    """The ids of records: the first of its rule and key has a plain one."""
+    nth = F.when(F.col("_nth") > 1, F.concat(F.lit("row|"), F.col("_nth")))
+    records = records.withColumn("quarantine_id", F.concat_ws("|", "quarantine_id", nth)).drop("_nth")
     return records.withColumn("quarantine_id", F.md5("quarantine_id"))
 
 
-def _ranked(records: DataFrame) -> DataFrame:
-    """Records with their rank by digest among those of their rule and key, so that each has an id of its own.
+def _told_apart(df: DataFrame, key: list[str]) -> list[str] | None:
+    """The key columns, if their values are equal exactly when their texts are; rows can then be dealt by the columns."""
+    kinds = [df.schema[k].dataType.simpleString() for k in key]
+    return list(key) if all(k in PLAIN_KINDS or k.startswith("decimal") for k in kinds) else None
+
 
-    Keys with more than CROWD bad rows are looked for first. Those are ranked by ranges of their digests, and equal
-    records travel as one with a count, so that neither a hot key nor many copies of one row are a single task's work.
+def crowded_keys(df: DataFrame, key: list[str]) -> DataFrame | None:
+    """Texts of the keys with more than CROWD rows, as ``_key``, or None.
+
+    Rows are counted by a hash of their key first, which shuffles SLOTS rows a task at most, and by the key itself only
+    where a hash has that many.
     """
-    group = ["rule_id", "_key"]
-    order = F.row_number().over(Window.partitionBy(*group).orderBy("_digest"))
-    crowded = records.groupBy(*group).agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select(*group)
+    keys = df.select(row_text([F.col(k) for k in key]).alias("_key"))
+    keys = keys.withColumn("_slot", F.pmod(F.xxhash64("_key"), F.lit(SLOTS)).cast("int"))
+    slots = keys.groupBy("_slot").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("_slot")
+    n_slots = slots.limit(FEW + 1).count()
+    if not n_slots:
+        return None
+    if n_slots <= FEW:
+        keys = keys.join(F.broadcast(slots), "_slot", "left_semi")
+    crowded = keys.groupBy("_key").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("_key")
     n_crowded = crowded.limit(FEW + 1).count()
     if not n_crowded:
-        return records.withColumn("_nth", order.cast("bigint"))
-    if n_crowded <= FEW:
-        crowded = F.broadcast(crowded)
-    calm = records.join(crowded, group, "left_anti").withColumn("_nth", order.cast("bigint"))
+        return None
+    return F.broadcast(crowded) if n_crowded <= FEW else crowded
+
+
+def _filed(
+    df: DataFrame, rules: list[Rule], key: list[str], payload: list[str], run_id: str, at: Column,
+    crowded: DataFrame | None = None,
+) -> DataFrame:
+    """Records of the rows of ``df`` under each rule they break, with an id of its own for each.
+
+    A rule that is no row predicate is broken by all rows, or, if the columns it wants unique are the key, by all rows of
+    a key but the first. Rows are dealt once by their key as they are, and become records where they arrive. Those of
+    ``crowded`` keys are ranked apart.
+    """
+    (text,) = unused(df.columns, "_key")
+    texted = df.withColumn(text, row_text([F.col(k) for k in key]))
+    hot = None
+    if crowded is not None:
+        crowded = crowded.withColumnRenamed("_key", text)
+        hot = texted.join(crowded, text, "left_semi").drop(text)
+        texted = texted.join(crowded, text, "left_anti")
+    by = _told_apart(df, key)
+    rows = (texted.drop(text) if by else texted).repartition(*(by or [text]))
+    by = by or [text]
+    number, digest, nth, bad, copy = unused(rows.columns, "_rule", "_digest", "_nth", "_bad", "_copy")
+    unique = [r for r in rules if r.key and set(r.key) == set(key)]
+    if unique:
+        rest = [F.col(f"`{c}`") for c in df.columns if c not in key]
+        rows = rows.withColumn(copy, F.row_number().over(Window.partitionBy(*by).orderBy(*(rest or [F.lit(0)]))))
+    broken = []
+    for i, rule in enumerate(rules):
+        hit = F.lit(True) if rule.violation is None else rule.bad
+        if rule in unique:
+            hit = F.col(copy) > 1
+            for k in key:
+                hit = hit & F.col(k).isNotNull()
+        broken.append(F.when(hit, F.lit(i)))
+    rows = rows.withColumn(digest, _digest(payload))
+    records = rows.select("*", F.explode(F.array_compact(F.array(*broken))).alias(number))
+    ids = F.get(F.array(*[F.lit(r.rule_id) for r in rules]), F.col(number))
+    order = F.row_number().over(Window.partitionBy(*by, ids).orderBy(digest))
+    records = records.withColumn(nth, order.cast("bigint"))
+    records = records.withColumn(bad, F.get(F.array(*[_record(r) for r in rules]), F.col(number)))
+    found = _shaped(records, bad, key, payload, run_id, at, F.col(nth).alias("_nth"))
+    if hot is not None:
+        for part in _broken_rows(hot, rules, unique, bad):
+            more = [row_text([F.col(k) for k in key]).alias("_key"), _digest(payload).alias("_digest")]
+            found = found.unionByName(_ranked(_shaped(part, bad, key, payload, run_id, at, *more)).drop("_key", "_digest"))
+    return _named(found)
+
+
+def _digest(payload: list[str]) -> Column:
+    """What rows under one key are told apart by."""
+    return F.sha2(F.to_json(F.struct(*payload), {"ignoreNullFields": "false"}), 256)
+
+
+def _broken_rows(df: DataFrame, rules: list[Rule], unique: list[Rule], bad: str) -> list[DataFrame]:
+    """The rows with a struct for each rule they break; surplus rows of a key are found apart."""
+    plain = [r for r in rules if r not in unique]
+    parts = []
+    if plain:
+        hits = [_record(r) if r.violation is None else F.when(r.bad, _record(r)) for r in plain]
+        parts.append(df.select("*", F.explode(F.array_compact(F.array(*hits))).alias(bad)))
+    for rule in unique:
+        parts.append(rule_rows({rule.table: df}, rule).withColumn(bad, _record(rule)))
+    return parts
+
+
+def _ranked(records: DataFrame) -> DataFrame:
+    """Records of crowded keys with their rank by digest among those of their rule and key.
+
+    They are ranked by ranges of their digests, and equal records travel as one with a count, so that neither a hot key
+    nor many copies of one row are a single task's work.
+    """
+    group = ["rule_id", "_key"]
     columns = records.columns
-    copies = records.join(crowded, group, "left_semi").groupBy(*columns).agg(F.count("*").alias("_copies"))
+    copies = records.groupBy(*columns).agg(F.count("*").alias("_copies"))
     copies = copies.withColumn("_range", F.substring("_digest", 1, 3))  # 4,096 ranges
     before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     sizes = copies.groupBy(*group, "_range").agg(F.sum("_copies").alias("_size"))
@@ -105,7 +191,7 @@ def _ranked(records: DataFrame) -> DataFrame:
     first = F.col("_chunk") * CHUNK + 1
     last = F.least(F.col("_copies"), first + CHUNK - 1)
     written = dealt.withColumn("_copy", F.explode(F.sequence(first, last)))
-    return calm.unionByName(written.withColumn("_nth", F.col("_start") + F.col("_copy")).select(*columns, "_nth"))
+    return written.withColumn("_nth", F.col("_start") + F.col("_copy")).select(*columns, "_nth")
 
 
 def quarantine(
@@ -124,9 +210,27 @@ def quarantine(
     an id of its own and running again writes the same ones; the bad rows are shuffled for that. Callers that know that
     no two rows share a key say so by ``unique_key=True``, and nothing is shuffled.
     """
-    found = F.array_compact(F.array(*[F.when(rule.bad, _record(rule)) for rule in rules]))
-    marked = df.select("*", F.explode(found).alias("bad"))
-    return _filed(marked, key, payload or df.columns, run_id, moment(as_of), unique_key)
+    rules, payload = list(rules), payload or df.columns
+    if unique_key:
+        found = F.array_compact(F.array(*[F.when(rule.bad, _record(rule)) for rule in rules]))
+        records = _shaped(df.select("*", F.explode(found).alias("bad")), "bad", key, payload, run_id, moment(as_of))
+        return records.withColumn("quarantine_id", F.md5("quarantine_id"))
+    rows = df.where(any_violation(rules))
+    return _filed(rows, rules, key, payload, run_id, moment(as_of), crowded_keys(rows, key))
+
+
+def quarantine_table(
+    df: DataFrame, rules: Iterable[Rule], *, key: list[str], run_id: str, as_of, payload: list[str] | None = None
+) -> DataFrame:
+    """Like ``quarantine``, for row rules and rules that want the key unique: rows are dealt by the key once for both."""
+    rules = list(rules)
+    rows = df if any(r.key for r in rules) else df.where(any_violation(rules))
+    return _filed(rows, rules, key, payload or df.columns, run_id, moment(as_of), crowded_keys(rows, key))
+
+
+def shares_key(df: DataFrame, rule: Rule, key: list[str]) -> bool:
+    """Whether the bad rows of a rule are found where rows are dealt by ``key``: a row rule, or one that wants it unique."""
+    return rule.violation is not None or bool(rule.key and set(rule.key) == set(key) and _told_apart(df, key))
 
 
 def rule_rows(tables: Tables, rule: Rule) -> DataFrame:
@@ -155,9 +259,13 @@ def quarantine_selected(
 ) -> DataFrame:
     """Records of one rule that is not a row predicate (unique key, parent reference, allowed values, selector)."""
     rows = rule_rows(tables, rule)
-    return _filed(
-        rows.withColumn("bad", _record(rule)), key, payload or tables[rule.table].columns, run_id, moment(as_of)
-    )
+    payload = payload or tables[rule.table].columns
+    if rule.selector:  # may return a row more often than the table has it, and is run once; other rules take rows of the table
+        rows = stored(rows, "selected")
+    crowded = crowded_keys(rows if rule.selector else tables[rule.table], key)
+    # the rows are the bad ones already, whatever their rule
+    return _filed(rows, [replace(rule, key=(), selector=rule_rows, parent=None, allowed=None, violation=None)],
+                  key, payload, run_id, moment(as_of), crowded)
 
 
 def split(df: DataFrame, rules: Iterable[Rule]) -> tuple[DataFrame, DataFrame]:

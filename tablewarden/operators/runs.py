@@ -101,7 +101,8 @@ def run_quarantine(
 ) -> DataFrame:
     """Capture the rows behind the violations of this run's rule results.
 
-    Only rules with violations are looked at; row rules of one table share a scan.
+    Only rules with violations are looked at; row rules of one table, and rules that want its key unique, share a scan
+    and are dealt by the key once.
     """
     day = as_of[:10]
     results = _written(spark, f"{folder}/rule_results", day, run_id)
@@ -110,11 +111,12 @@ def run_quarantine(
     active = [r for r in rules if r.rule_id in failing]
     active_tables = next(((r.table, r) for r in rules if r.violation is not None and r.table in keys), None)
     parts = []
-    for name in dict.fromkeys(r.table for r in active if r.violation is not None):
-        row_rules = [r for r in active if r.table == name and r.violation is not None]
-        parts.append(qr.quarantine(tables[name], row_rules, key=keys[name], run_id=run_id, as_of=as_of))
+    together = [r for r in active if qr.shares_key(tables[r.table], r, keys[r.table])]
+    for name in dict.fromkeys(r.table for r in together):
+        own = [r for r in together if r.table == name]
+        parts.append(qr.quarantine_table(tables[name], own, key=keys[name], run_id=run_id, as_of=as_of))
     for rule in active:
-        if rule.violation is None:
+        if rule not in together:
             parts.append(
                 qr.quarantine_selected(tables, rule, key=keys[rule.table], run_id=run_id, as_of=as_of)
             )

@@ -388,7 +388,7 @@ def run_quarantine(load):
         runs.run_quarantine(load.spark, tables, RULES, RUN_KEYS, folder, run_id=RUN, as_of=AS_OF)
     captured = writers.read_evidence(load.spark, f"{folder}/bad_rows")
     return captured.groupBy("rule_id", "table_name", "severity").agg(
-        F.count("*").alias("quarantined"), F.count_distinct("quarantine_id").alias("ids")
+        F.count("*").alias("quarantined"), F.count_distinct(F.unhex("quarantine_id")).alias("ids")
     )
 
 

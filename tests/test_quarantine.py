@@ -159,3 +159,31 @@ def test_crowded_keys_get_the_ids_of_a_single_ranking(spark, monkeypatch):
     assert ids() == plainly
     rows = rows.repartition(7)
     assert ids() == plainly
+
+
+@pytest.mark.parametrize("crowd", [10_000, 3])
+def test_row_and_key_rules_of_a_table_are_captured_together(spark, monkeypatch, crowd):
+    monkeypatch.setattr(q, "CROWD", crowd)
+    rows = spark.range(90).select(
+        F.when(F.col("id") % 9 == 0, None).otherwise(F.col("id") % 17).alias("k"), (F.col("id") % 2).cast("int").alias("l"),
+        F.when(F.col("id") % 4 == 0, "x").otherwise(F.col("id").cast("string")).alias("v"),
+    )
+    by_row = [Rule("X", "x", "t", "validity", violation="v = 'x'"), Rule("L", "l", "t", "validity", violation="l = 1")]
+    by_key = Rule("U", "unique", "t", "uniqueness", key=("l", "k"))
+    given = dict(key=["k", "l"], run_id="r", as_of=NOW)
+    assert q.shares_key(rows, by_key, ["k", "l"]) and not q.shares_key(rows, by_key, ["k"])
+
+    def shown(df):
+        return sorted((x.quarantine_id, x.rule_id, x.business_key, x.payload) for x in df.collect())
+
+    together = shown(q.quarantine_table(rows, [*by_row, by_key], **given))
+    apart = shown(q.quarantine(rows, by_row, **given)) + shown(q.quarantine_selected({"t": rows}, by_key, **given))
+    assert together == sorted(apart) and len({x[0] for x in together}) == len(together)
+
+
+def test_records_are_made_where_rows_arrive(spark):
+    """What is shuffled are rows; neither payloads nor ids travel."""
+    rows = spark.range(20).select((F.col("id") % 5).alias("k"), F.col("id").cast("string").alias("v"))
+    found = q.quarantine(rows, [Rule("A", "a", "t", "validity", violation="v <> '3'")], key=["k"], run_id="r", as_of=NOW)
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning(")
+    assert len(plan) == 2 and "_digest" in plan[0] and "_digest" not in plan[1]
