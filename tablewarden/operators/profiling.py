@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewarden.functions.hashing import LONG_TEXT, compact
+from tablewarden.functions.hashing import LONG_TEXT, compact, hex_to_long
 from tablewarden.functions.text import SEMANTIC_PATTERNS, semantic_label
 from tablewarden.operators.dedup import top_per_key
 
 TOP_N = 5  # fixed value
 COLUMN = ["column_name"]
 MIN_SHARE_TENTHS = 6  # fixed value: six tenths of the values decide a semantic type
+TIE_BITS = 40  # ten hexadecimal digits of a value's digest, below its count in one bigint
 
 
 def _carrier(kind: T.DataType) -> str:
@@ -113,17 +114,50 @@ def long_texts(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def _place(n: Column, tie: Column) -> Column:
+    """Count and start of the tie as one bigint, never smaller for a value that ranks before another.
+
+    Counts that leave no room for the tie all share the largest number.
+    """
+    start = F.lit((1 << TIE_BITS) - 1) - hex_to_long(tie, digits=TIE_BITS // 4)
+    return F.when(n >= 1 << (63 - TIE_BITS), F.lit((1 << 63) - 1)).otherwise(n * F.lit(1 << TIE_BITS) + start)
+
+
+def _contenders(counts: DataFrame, tie: Column, n: int, by: list[str]) -> DataFrame:
+    """Counts without most of the values that cannot be among the first ``n`` of their column; no first one is lost.
+
+    Values are dealt to buckets by hash. The n-th of the buckets' best places bounds the column: n values are at or above
+    it, so one below it has n values before it. Best places are a hash aggregate of fixed size, so the values
+    themselves are not sorted. NULLs, and columns with fewer buckets, have no bound and pass.
+    """
+    bucket = F.pmod(F.xxhash64("value"), F.lit(16 * max(n, 1))).alias("_bucket")
+    place = F.when(F.col("value").isNotNull(), _place(F.col("n"), tie))
+    best = counts.groupBy(*by, bucket).agg(F.max(place).alias("_place"))
+    bounds = (
+        top_per_key(best.where("_place IS NOT NULL"), by, [F.desc("_place")], n)
+        .groupBy(*by)
+        .agg(F.min("_place").alias("_bound"), F.count("*").alias("_places"))
+        .where(F.col("_places") == n)
+        .select(*by, "_bound")
+    )
+    # the count is looked at first: most values fail by it and their digests are not taken again
+    reaches = (F.col("n") >= F.shiftright("_bound", TIE_BITS)) & (place >= F.col("_bound"))
+    # a left join and coalesce, so that no filter reaches the counts and changes their exchange; a row per column at most
+    joined = counts.join(F.broadcast(bounds), by, "left")
+    return joined.where(F.coalesce(reaches, F.lit(True))).drop("_bound")
+
+
 def top_values(counts: DataFrame, texts: DataFrame, n: int = TOP_N, by: list[str] = COLUMN) -> DataFrame:
     """The most frequent values per column as ``v:c|v:c``; ties of any length in the order of their SHA-256.
 
-    Digests of long texts that made it to the top are swapped back for their texts, which takes a second look at the
+    Only values that reach a bound on the first ``n`` places are sorted. Digests of long texts that made it to the top are swapped back for their texts, which takes a second look at the
     text columns for at most ``n`` values each; so few are broadcast, and the texts stay where they are.
     """
     # NULLs rank last and go afterwards, so that the counts are the same exchange the statistics read
     tie = F.when(F.col("long_label").isNotNull(), F.right("value", F.lit(64))).otherwise(F.sha2("value", 256))
-    counts = counts.withColumn("_tie", tie)
+    contenders = _contenders(counts, tie, n, by).withColumn("_tie", tie)
     order = [F.col("value").isNull().asc(), F.desc("n"), F.asc("_tie")]
-    best = top_per_key(counts, by, order, n).where(F.col("value").isNotNull())
+    best = top_per_key(contenders, by, order, n).where(F.col("value").isNotNull())
     wanted = F.broadcast(best.where("long_label IS NOT NULL").select(*by, "value"))  # n rows per column at most
     found = texts.join(wanted, [*by, "value"], "left_semi").distinct()
     best = best.join(found, [*by, "value"], "left")

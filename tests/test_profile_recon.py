@@ -1,6 +1,7 @@
 import hashlib
 import random
 import statistics
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,6 +70,42 @@ def test_top_values_limits_before_the_shuffle(spark):
     assert "WindowGroupLimit" in best._jdf.queryExecution().executedPlan().toString()
 
 
+def test_top_values_sort_few_of_many(spark, monkeypatch):
+    numbers = spark.range(20000).select(
+        F.col("id").alias("k"),
+        F.when(F.col("id") < 9000, F.col("id") % 3000).otherwise(F.col("id")).alias("r"),
+        F.concat(F.lit("t"), F.col("id") % 7000).alias("t"),
+        F.when(F.col("id") % 2 == 0, F.concat(F.lit("x" * 200), F.col("id"))).alias("long"),
+        F.lit(None).cast("string").alias("none"),
+        F.when(F.col("id") > 1, F.lit("one")).alias("one"),
+    )
+    sizes, limited = [], profiling.top_per_key
+
+    def counted(df, *args):
+        sizes.append(df.count())
+        return limited(df, *args)
+
+    monkeypatch.setattr(profiling, "top_per_key", counted)
+    counts = profiling.value_counts(numbers, numbers.columns).localCheckpoint()
+    found = profiling.top_values(counts, profiling.long_texts(numbers, numbers.columns))
+    rows = {c: [r[c] for r in numbers.select(c).collect() if r[c] is not None] for c in numbers.columns}
+    expected = {}
+    for column, values in rows.items():
+        places = sorted((-n, hashlib.sha256(str(v).encode()).hexdigest(), v) for v, n in Counter(values).items())
+        expected[column] = "|".join(f"{v}:{-n}" for n, _, v in places[:5])
+    assert {r.column_name: r.top_values for r in found.collect()} == {c: v for c, v in expected.items() if v}
+    assert counts.count() > 50000 and max(sizes) < 1000  # buckets of a column, and what reaches its bound
+
+
+def test_top_values_of_counts_too_large_for_the_tie(frame):
+    sizes = [5, 1 << 23, (1 << 23) - 1, (1 << 23) + 1, 1 << 50, 1 << 62, 1 << 24, 1]
+    counts = frame([("c", f"v{i}", None, n) for i, n in enumerate(sizes)], "column_name string, value string, long_label string, n long")
+    texts = frame([], "column_name string, full_text string, value string")
+    for most in (1, 3, 5, 20):
+        expected = sorted(((n, i) for i, n in enumerate(sizes)), reverse=True)[:most]
+        assert profiling.top_values(counts, texts, most).first().top_values == "|".join(f"v{i}:{n}" for n, i in expected)
+
+
 @pytest.mark.parametrize("count", [1, 2, 3, 10, 1001])
 def test_exact_percentiles(frame, count):
     rng = random.Random(count)
